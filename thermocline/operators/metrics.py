@@ -63,7 +63,17 @@ def ocean_aggregations() -> dict[str, Column]:
     }
 
 
-ALL_METRICS = list(ocean_aggregations())
+# Output names in order (kept static: Columns need an active session).
+ALL_METRICS = [
+    "temp_avg", "temp_std", "temp_min", "temp_max",
+    "salinity_avg", "salinity_std", "density_avg",
+    "oxygen_avg", "oxygen_saturation_avg", "oxygen_min",
+    "ph_avg", "ph_max_deviation",
+    "turbidity_avg", "turbidity_max", "chlorophyll_avg", "chlorophyll_max",
+    "current_speed_avg", "current_speed_max", "current_direction_sin_avg", "current_direction_cos_avg",
+    "measurement_count", "min_depth", "max_depth",
+    "temp_qc_failures", "salinity_qc_failures", "oxygen_qc_failures", "ph_qc_failures", "gradient_qc_failures",
+]
 
 
 def window_bounds(window_col: str = "window") -> list[Column]:

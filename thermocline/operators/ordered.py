@@ -8,20 +8,25 @@ that plan has a straggler that grows with the data.
 Here the rows are range-partitioned on the *full* sort key (keys + order).
 Spark's range partitioner samples that composite key, so a hot key is spread over
 many consecutive slices of bounded size. Inside a slice ``lead``/``row_number``
-run as ordinary window functions over (key, slice). Only the last row of each
-(key, slice) piece needs a value from outside: the first row of the next slice
-holding the same key. Those boundary values and the row-count offsets come from a
-per-(key, slice) summary whose size is bounded by (#key groups + #slices), never
-by the data; a hot key contributes at most one summary row per slice.
+run as ordinary window functions over (key, slice) pieces.
+
+Only two kinds of piece need anything from outside their slice, and both exist
+only where a key crosses a slice boundary: the piece *before* a boundary needs
+the first row of the next piece (for its last row's ``lead``), and a piece
+*after* a boundary needs the count of the key's earlier rows (for
+``row_number``). There are at most ``#slices - 1`` boundaries, so the correction
+table has at most ``2 * #slices`` rows whatever the data size: a proven bound,
+which is why it is broadcast. It is derived from a per-(key, slice) summary
+computed with a partial aggregate.
 
 The slice id is ``spark_partition_id()`` after a *sampled* shuffle, so two
-separately planned copies of it could disagree. The windowed pieces are therefore
-written once with a reliable checkpoint into the cluster's shared checkpoint
-folder; the summary and the final join both read that one copy, and a lost
-executor re-reads it instead of re-sampling.
+separately planned copies of it could disagree. The windowed pieces are written
+once as Parquet into the cluster's shared checkpoint folder; the summary and the
+final join both read that copy, and a lost executor re-reads it instead of
+re-sampling.
 
-Cost: range shuffle + hash shuffle on (key, slice) + one checkpoint write; the
-summary side is small. No collect, no cross join, no Python.
+Cost: range shuffle + hash shuffle on (key, slice) + one columnar write; the
+corrections side is small. No collect, no cross join, no Python.
 """
 
 from __future__ import annotations
@@ -31,9 +36,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermocline.session import cut_lineage
+from thermocline.session import materialize
 
-_PK, _SLICE, _RN, _CNT, _OFF = "_tc_pk", "_tc_slice", "_tc_rn", "_tc_cnt", "_tc_off"
+_PK, _SLICE, _RN, _CNT, _OFF, _LAST = "_tc_pk", "_tc_slice", "_tc_rn", "_tc_cnt", "_tc_off", "_tc_last"
 
 
 def _names(carry: Sequence[str], names: dict[str, str] | None) -> dict[str, str]:
@@ -72,30 +77,37 @@ def with_successor(
     )
     piece = Window.partitionBy(_PK, _SLICE).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     local = ranged.withColumns(
-        {**{f"_tc_n_{i}": F.lead(c, 1).over(piece) for i, c in enumerate(carry)}, _RN: F.row_number().over(piece)}
+        {
+            **{f"_tc_n_{i}": F.lead(c, 1).over(piece) for i, c in enumerate(carry)},
+            _RN: F.row_number().over(piece),
+            _LAST: F.lead(F.lit(1), 1).over(piece).isNull(),
+        }
     )
-    local = cut_lineage(local)
+    local = materialize(local, "profile-pieces")
 
-    # Per (key, slice): row count and the first row's carried values. The pinned
-    # copy is hash-partitioned on (key, slice), so this aggregate adds no shuffle.
+    # Per (key, slice) piece: row count and first row (partial aggregate).
     summary = local.groupBy(_PK, _SLICE).agg(
         F.count(F.lit(1)).alias(_CNT),
         *[F.min_by(F.col(c), F.col(_RN)).alias(f"_tc_f_{i}") for i, c in enumerate(carry)],
     )
     across = Window.partitionBy(_PK).orderBy(_SLICE)
-    summary = summary.select(
+    fixes = summary.select(
         _PK,
         _SLICE,
-        _CNT,
         F.coalesce(F.sum(_CNT).over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF),
+        F.lead(_SLICE, 1).over(across).isNotNull().alias("_tc_more"),
         *[F.lead(f"_tc_f_{i}", 1).over(across).alias(f"_tc_x_{i}") for i in range(len(carry))],
     )
-
-    joined = local.join(summary, on=[_PK, _SLICE], how="inner")
-    is_last = F.col(_RN) == F.col(_CNT)
-    out = {names[c]: F.when(is_last, F.col(f"_tc_x_{i}")).otherwise(F.col(f"_tc_n_{i}")) for i, c in enumerate(carry)}
+    # Only pieces next to a slice boundary: at most 2 * #slices rows.
+    fixes = fixes.filter(F.col("_tc_more") | (F.col(_OFF) > 0)).drop("_tc_more")
+
+    joined = local.join(F.broadcast(fixes), on=[_PK, _SLICE], how="left")
+    out = {
+        names[c]: F.when(F.col(_LAST), F.col(f"_tc_x_{i}")).otherwise(F.col(f"_tc_n_{i}"))
+        for i, c in enumerate(carry)
+    }
     if position_col:
-        out[position_col] = (F.col(_OFF) + F.col(_RN)).cast("int")
+        out[position_col] = (F.coalesce(F.col(_OFF), F.lit(0)) + F.col(_RN)).cast("int")
     return joined.select(*df.columns, *[v.alias(k) for k, v in out.items()])
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +64,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss, unlike a local checkpoint)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, label: str = "pinned") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it
+    back: cuts lineage like ``checkpoint()``, but columnar and compressed, so
+    later branches read only the columns they need. Every branch that reads the
+    result sees the same rows, even if a sampled shuffle upstream would not
+    repeat itself."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/thermocline/{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
