@@ -17,7 +17,7 @@ def r7(expr: str) -> str:
 
 READINGS = """
 readings AS (
-  SELECT event_id,
+  SELECT event_id, user_id, event_type,
          ts AS "timestamp",
          'station_' || CAST(user_id % 5 AS VARCHAR) AS location,
          CAST(k * k AS DOUBLE) / 5.0 AS depth,

@@ -1 +1,128 @@
-"""Oracle SQL for the feed and stream queries (registered on import)."""
+"""Oracle SQL for the feed, message and time-range queries (registered on import)."""
+
+from __future__ import annotations
+
+from thermocline.plans.oracle_sql import ORACLE, READINGS, r7, with_ctes
+
+COMMON = [
+    "timestamp",
+    "location",
+    "depth",
+    "temperature",
+    "salinity",
+    "dissolved_oxygen",
+    "ph",
+    "turbidity",
+    "chlorophyll",
+    "current_speed",
+    "current_direction",
+]
+NULL_D = "CAST(NULL AS DOUBLE)"
+
+
+def common(overrides: dict[str, str] | None = None, extra: tuple[str, ...] = ()) -> str:
+    """Select list of the common columns (doubles rounded), with per-column
+    expression overrides."""
+    o = overrides or {}
+    cols = list(extra)
+    for c in COMMON:
+        e = o.get(c, f'"{c}"' if c == "timestamp" else c)
+        if c in ("timestamp", "location") or e == NULL_D:
+            cols.append(f"{e} AS {c}")
+        else:
+            cols.append(f"{r7(f'CAST({e} AS DOUBLE)')} AS {c}")
+    return ", ".join(cols)
+
+
+R = with_ctes(READINGS)
+AS_OF = "TIMESTAMP '2024-01-15 12:00:00'"
+
+ORACLE["parse_json_readings"] = R + f" SELECT {common(extra=('event_id',))} FROM readings"
+ORACLE["json_reading_defaults"] = R + (
+    " SELECT "
+    + common(
+        {
+            "depth": "CASE WHEN event_id % 17 = 0 THEN 0.0 ELSE depth END",
+            "salinity": "CASE WHEN event_id % 19 = 0 THEN 0.0 ELSE salinity END",
+        },
+        extra=("event_id",),
+    )
+    + " FROM readings WHERE event_id % 97 <> 0"
+)
+ORACLE["last_24_hours"] = R + (
+    f" SELECT {common(extra=('event_id',))} FROM readings"
+    f' WHERE "timestamp" >= {AS_OF} - INTERVAL 24 HOUR AND "timestamp" <= {AS_OF}'
+)
+
+BAD_STATIONS = """,
+bad AS (SELECT DISTINCT user_id % 50 AS st FROM readings WHERE user_id % 50 = 3 AND event_id % 7 = 0)
+"""
+STATION_SELECT = "SELECT " + common(
+    {
+        "timestamp": "date_trunc('minute', \"timestamp\")",
+        "location": "CAST(41000 + user_id % 50 AS VARCHAR)",
+        "depth": "0.0",
+        "temperature": "CASE WHEN event_id % 13 = 0 THEN 0.0 ELSE temperature END",
+        "dissolved_oxygen": NULL_D,
+        "ph": NULL_D,
+        "turbidity": NULL_D,
+        "chlorophyll": NULL_D,
+        "current_speed": "coalesce(current_speed, 0.0)",
+        "current_direction": "coalesce(current_direction, 0.0)",
+    }
+) + " FROM readings WHERE user_id % 50 NOT IN (SELECT st FROM bad)"
+ORACLE["ndbc_station_feed"] = R + BAD_STATIONS + STATION_SELECT
+ORACLE["ndbc_station_list"] = "SELECT DISTINCT CAST(41000 + user_id % 50 AS VARCHAR) AS station_id FROM events"
+
+OBSERVATORY = R + " SELECT " + common(
+    {
+        "chlorophyll": "coalesce(chlorophyll, 0.0)",
+        "current_speed": "coalesce(current_speed, 0.0)",
+        "current_direction": "coalesce(current_direction, 0.0)",
+    }
+) + " FROM readings WHERE event_type <> 'error'"
+ORACLE["ooi_feed"] = OBSERVATORY
+ORACLE["ooi_inventory"] = (
+    "SELECT DISTINCT 'station_' || CAST(user_id % 5 AS VARCHAR) AS node, event_type AS instrument"
+    " FROM events WHERE event_type <> 'error'"
+)
+
+FLOATS = R + " SELECT " + common(
+    {
+        "depth": "(depth / 10.0) * 10.0",
+        **{c: NULL_D for c in ["dissolved_oxygen", "ph", "turbidity", "chlorophyll", "current_speed", "current_direction"]},
+    }
+) + " FROM readings"
+ORACLE["argo_profiles"] = FLOATS
+ORACLE["argo_float_list"] = R + " SELECT DISTINCT location AS float_id FROM readings"
+ORACLE["cmems_catalogue"] = R + (
+    " SELECT DISTINCT location || '_' || strftime(\"timestamp\", '%Y-%m-%d') AS dataset_id FROM readings"
+)
+PRODUCTS = R + " SELECT " + common() + " FROM readings"
+ORACLE["cmems_products"] = PRODUCTS
+
+ORACLE["source_validity"] = R + """,
+station AS (SELECT * FROM readings WHERE user_id % 50 NOT IN
+            (SELECT DISTINCT user_id % 50 FROM readings WHERE user_id % 50 = 3 AND event_id % 7 = 0))
+SELECT 'station' AS source, true AS has_columns, count(temperature) > 0 AS has_temperature,
+       count(*) AS n_rows, count(temperature) > 0 AS valid FROM station
+UNION ALL
+SELECT 'observatory', true, count(temperature) > 0, count(*), count(temperature) > 0 FROM readings
+UNION ALL
+SELECT 'product', true, count(temperature) > 0, count(*), count(temperature) > 0 FROM readings
+UNION ALL
+SELECT 'float', true, count(temperature) > 0, count(*), true FROM readings"""
+
+
+def _body(sql: str) -> str:
+    return sql[len(R):]
+
+
+ORACLE["all_sources_union"] = (
+    R
+    + BAD_STATIONS
+    + f"SELECT *, 'station' AS source FROM ({STATION_SELECT})"
+    + f" UNION ALL SELECT *, 'observatory' AS source FROM ({_body(OBSERVATORY)})"
+    + f" UNION ALL SELECT *, 'float' AS source FROM ({_body(FLOATS)})"
+    + f" UNION ALL SELECT *, 'product' AS source FROM ({_body(PRODUCTS)})"
+)
