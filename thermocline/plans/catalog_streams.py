@@ -1 +1,95 @@
-"""Queries over Structured Streaming jobs and ML (registered on import)."""
+"""Queries over Structured Streaming jobs and Spark ML (registered on import)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from thermocline import feed_fixtures as FF
+from thermocline import fixtures as FX
+from thermocline.ml.models import AIR_FEATURES, AIR_LABEL, feature_assembler, fit_and_score, gbt_pipeline
+from thermocline.operators.metrics import air_quality_metrics
+from thermocline.plans.catalog import query, rounded
+from thermocline.plans.pipeline import run_pipeline
+from thermocline.session import checkpoint_root
+from thermocline.sources.messages import read_message_stream
+from thermocline.streaming.metrics_stream import (
+    air_metrics_from_messages,
+    ocean_metrics_from_messages,
+    start_append_stream,
+)
+
+
+def _run_available_now(spark, messages, build):
+    """Land ``messages`` as JSON lines in the shared folder, run ``build`` over the
+    folder as a stream with trigger(availableNow) and return the sink table."""
+    root = f"{checkpoint_root(spark)}/thermocline/stream-{uuid.uuid4().hex}"
+    messages.write.text(f"{root}/in")
+    metrics = build(read_message_stream(spark, "text", path=f"{root}/in"))
+    q = start_append_stream(metrics, f"{root}/out", f"{root}/chk", trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("window_date")
+
+
+@query("ocean_metrics_stream")
+def ocean_metrics_stream(spark, sf_dir):
+    """The metrics job as an append stream; emitted = closed windows."""
+    out = _run_available_now(spark, FF.reading_messages(spark, sf_dir), ocean_metrics_from_messages)
+    return rounded(out)
+
+
+@query("air_quality_stream")
+def air_quality_stream(spark, sf_dir):
+    """S17, A31-A34 on the air-quality message stream (closed windows)."""
+    air = FX.air_readings(spark, sf_dir)
+    msgs = air.select(
+        F.to_json(
+            F.struct(
+                F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+                *[c for c in air.columns if c not in ("timestamp", "event_id")],
+            )
+        ).alias("value")
+    )
+    return rounded(_run_available_now(spark, msgs, air_metrics_from_messages))
+
+
+def _air_table(spark, sf_dir):
+    m = air_quality_metrics(FX.air_readings(spark, sf_dir))
+    return m.withColumn(
+        AIR_LABEL,
+        FX.impact_score(F.col("avg_co2"), F.col("avg_temp"), F.col("avg_humidity"), F.col("max_pm25")),
+    )
+
+
+@query("air_features")
+def air_features(spark, sf_dir):
+    """M1: the assembled feature vector, unpacked to columns for comparison."""
+    v = feature_assembler(AIR_FEATURES).transform(_air_table(spark, sf_dir))
+    arr = vector_to_array("features")
+    return rounded(
+        v.select(
+            "window_start",
+            "location",
+            *[arr[i].alias(f"feature_{i}") for i in range(len(AIR_FEATURES))],
+            AIR_LABEL,
+        )
+    )
+
+
+@query("impact_model")
+def impact_model(spark, sf_dir):
+    """M2-M4: GBT on hourly air-quality metrics; one prediction per row."""
+    _, preds, _ = fit_and_score(
+        gbt_pipeline(AIR_FEATURES, AIR_LABEL), _air_table(spark, sf_dir), AIR_LABEL, keys=["window_start", "location"]
+    )
+    return preds.select("window_start", "location", AIR_LABEL, "is_test", "prediction")
+
+
+@query("ocean_model")
+def ocean_model(spark, sf_dir):
+    """M5, M6: readings -> ocean metrics -> GBT (oxygen saturation from
+    temperature, salinity, oxygen and pH means)."""
+    _, _, preds, _ = run_pipeline(FX.readings(spark, sf_dir))
+    return preds.select("window_start", "location", "depth_layer", "oxygen_saturation_avg", "is_test", "prediction")

@@ -126,3 +126,39 @@ ORACLE["all_sources_union"] = (
     + f" UNION ALL SELECT *, 'float' AS source FROM ({_body(FLOATS)})"
     + f" UNION ALL SELECT *, 'product' AS source FROM ({_body(PRODUCTS)})"
 )
+
+
+# --- streams (closed windows only) and ML features -------------------------------
+
+from thermocline.plans.oracle_sql import ALL_AGGS, enrich_for, hourly_sql  # noqa: E402
+
+CLOSED = "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE"
+ORACLE["ocean_metrics_stream"] = hourly_sql(
+    None, enrich=enrich_for(list(ALL_AGGS)), gradient_partition="w, location, depth_layer", where=CLOSED
+)
+
+AIR = """
+WITH air AS (
+  SELECT ts AS "timestamp", 'sensor_' || CAST(user_id % 5 + 1 AS VARCHAR) AS location,
+         350.0 + CAST(event_id % 151 AS DOUBLE) AS co2_level,
+         15.0 + CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 16 AS DOUBLE) AS temperature,
+         30.0 + CAST(event_id % 41 AS DOUBLE) AS humidity,
+         value % 50.0 AS particulate_matter
+  FROM events
+),
+m AS (
+  SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS window_start,
+         time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour' AS window_end,
+         location, avg(co2_level) AS avg_co2, avg(temperature) AS avg_temp,
+         avg(humidity) AS avg_humidity, max(particulate_matter) AS max_pm25
+  FROM air GROUP BY 1, 2, 3
+)"""
+ORACLE["air_quality_stream"] = AIR + (
+    f" SELECT window_start, window_end, location, {r7('avg_co2')} AS avg_co2, {r7('avg_temp')} AS avg_temp,"
+    f" {r7('avg_humidity')} AS avg_humidity, {r7('max_pm25')} AS max_pm25 FROM m {CLOSED}"
+)
+ORACLE["air_features"] = AIR + (
+    f" SELECT window_start, location, {r7('avg_co2')} AS feature_0, {r7('avg_temp')} AS feature_1,"
+    f" {r7('avg_humidity')} AS feature_2, {r7('max_pm25')} AS feature_3,"
+    f" {r7('0.01 * avg_co2 + 0.5 * avg_temp + 0.1 * avg_humidity + 0.2 * max_pm25')} AS impact_score FROM m"
+)
