@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 
 def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value): each file of ``path`` (a folder or glob) as one row."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    """(file, value): each file under ``path`` (a folder, searched recursively,
+    or a glob) as one row."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def landed_lines(text: DataFrame) -> DataFrame:
