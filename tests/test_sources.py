@@ -139,3 +139,19 @@ def test_json_map_rules(spark):
     assert len(r) == 1 and r[0]["temperature"] == 10.5 and r[0]["depth"] == 0.0 and r[0]["salinity"] == 0.0
     assert r[0]["ph"] == 8.0 and r[0]["chlorophyll"] is None
     assert sorted(x["reason"] for x in rejects.collect()) == ["depth is not a number", "missing temperature"]
+
+
+def test_whole_text_parser_matches_line_parser(spark, tmp_path):
+    from thermocline.sources.station_text import parse_station_text
+
+    _write(tmp_path, "w/41001.txt", HEADER + ROW + "2024 02 07 10 00 180 1.5\n")
+    _write(tmp_path, "w/41002.txt", HEADER + ROW.replace("20.5  17.0", "MM  17.0") + "\n" + ROW)
+    _write(tmp_path, "w/41003.txt", HEADER.replace("WTMP  DEWP", "DEWP  WTMP") + ROW)
+    path = str(tmp_path / "w")
+    for mode in ("drop_file", "drop_row"):
+        a, ra = parse_station_text(read_landed_text(spark, path), on_bad_row=mode)
+        b, rb = parse_station_lines(read_landed_lines(spark, path), on_bad_row=mode)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        assert sorted(map(tuple, ra.collect())) == sorted(map(tuple, rb.collect()))
+    rows = parse_station_text(read_landed_text(spark, path))[0].collect()
+    assert sorted((r["location"], r["temperature"]) for r in rows) == [("41002", 0.0), ("41002", 20.5), ("41003", 17.0)]

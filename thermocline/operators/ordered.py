@@ -127,3 +127,20 @@ def with_successor_window(
     if position_col:
         cols[position_col] = F.row_number().over(w)
     return df.withColumns(cols)
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows in the largest key group, total rows): one aggregate job with
+    map-side combine, reading only the key columns."""
+    sizes = df.groupBy(*keys).count()
+    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("total")).first()
+    return int(row["mx"] or 0), int(row["total"] or 0)
+
+
+def needs_slicing(df: DataFrame, keys: Sequence[str], min_rows: int = 1_000_000, share: float = 2.0) -> bool:
+    """True when one key group is larger than ``share`` times a task's fair share
+    of the rows (and above ``min_rows``): then a per-key window would leave one
+    task doing most of the work."""
+    biggest, total = largest_group(df, keys)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return biggest > max(min_rows, share * total / max(parts, 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from thermocline import thresholds as TH
 from thermocline.functions.ocean import bounds_flag, gradient_flag
-from thermocline.operators.ordered import with_successor, with_successor_window
+from thermocline.operators.ordered import needs_slicing, with_successor, with_successor_window
 
 # The four range checks that feed qc_score, and the three extra ones.
 CORE_BOUNDED = ["temperature", "salinity", "dissolved_oxygen", "ph"]
@@ -47,17 +47,21 @@ def add_profile_neighbours(
     order: Sequence[str] = DEFAULT_ORDER,
     measurements: Sequence[str] = ("temperature",),
     position_col: str | None = None,
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """next_depth and next_<measurement> along each profile, optionally the
     1-based ``position_col`` (the original ``depth_ordered``).
 
     A profile is all readings with equal ``keys``, ordered by depth, then time,
-    then event id. ``skew_safe`` spreads hot profiles over many tasks (see
-    ``operators.ordered``); False uses one window task per profile.
+    then event id. ``skew_safe=True`` spreads hot profiles over many tasks (see
+    ``operators.ordered``); False uses one window task per profile; "auto"
+    measures the largest profile first (one aggregate over the key columns) and
+    slices only when it exceeds a task's fair share.
     """
     carry = ["depth", *measurements]
     names = {c: NEXT_NAMES.get(c, f"next_{c}") for c in carry}
+    if skew_safe == "auto":
+        skew_safe = needs_slicing(df, keys)
     fn = with_successor if skew_safe else with_successor_window
     return fn(df, keys, profile_order(df, order), carry, names=names, position_col=position_col)
 
@@ -68,7 +72,7 @@ def add_gradient_flags(
     order: Sequence[str] = DEFAULT_ORDER,
     measurements: Sequence[str] = ("temperature",),
     keep_neighbours: bool = False,
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """Q5 (and Q9, Q10 for salinity and oxygen): |d value| / d depth above the
     limit -> 'fail'; equal depths and a profile's last row -> 'pass'."""

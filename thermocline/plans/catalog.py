@@ -96,7 +96,9 @@ def qc_bounds_fixed(spark, sf_dir):
 def profile_positions(spark, sf_dir):
     """W1-W3 in the original's shape: one profile per location over all time
     (five huge groups: the hot-key case the skew-safe operator is built for)."""
-    df = add_profile_neighbours(FX.readings(spark, sf_dir), keys=["location"], position_col="profile_position")
+    df = add_profile_neighbours(
+        FX.readings(spark, sf_dir), keys=["location"], position_col="profile_position", skew_safe=True
+    )
     return df.select("event_id", "location", "depth", "profile_position", "next_depth", "next_temp")
 
 

@@ -39,7 +39,7 @@ def flag_readings(
     gradient_scope: str = "profile",
     bounded: Sequence[str] = CORE_BOUNDED,
     gradients: Sequence[str] = ("temperature",),
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
     keep_neighbours: bool = False,
 ) -> DataFrame:
     """Row level: derived quantities, range flags and gradient flags."""
@@ -62,7 +62,7 @@ def ocean_metrics_batch(
     duration: str = TH.WINDOW_DURATION,
     metrics: Sequence[str] | None = None,
     gradient_scope: str = "profile",
-    skew_safe: bool = True,
+    skew_safe: bool | str = "auto",
     enrich: bool = True,
 ) -> DataFrame:
     """Per (window, location, depth_layer): the statistics of §2.5 plus E1-E5.

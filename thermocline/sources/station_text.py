@@ -48,6 +48,65 @@ def _number(name: str, missing: str) -> Column:
     return F.coalesce(parsed, F.lit(0.0)) if missing == "zero" else parsed
 
 
+def _names_from_header(header: Column) -> Column:
+    return F.coalesce(_tokens(F.regexp_replace(header, r"^\s*#", "")), F.array().cast("array<string>"))
+
+
+def _finish(data: DataFrame, missing: str, on_bad_row: str, fmap: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """data: (file, line_no, line, _fields, _names, _bad, _file_bad) -> (readings, rejects)."""
+    if on_bad_row == "drop_file":
+        drop = F.col("_file_bad")
+    elif on_bad_row == "drop_row":
+        drop = F.col("_bad")
+    else:
+        raise ValueError(f"on_bad_row must be drop_file or drop_row, not {on_bad_row!r}")
+    reason = F.when(F.col("_bad"), F.lit("fewer than 15 fields")).otherwise(F.lit("file has a short row"))
+    rejects = data.filter(drop).select("file", "line_no", "line", reason.alias("reason"))
+    good = data.filter(~drop)
+    t = [_field(f).try_cast("int") for f in TIME_FIELDS]
+    event_time = F.try_make_timestamp(t[0], t[1], t[2], t[3], t[4], F.lit(0), F.lit("UTC"))
+    readings = good.select(
+        event_time.alias("timestamp"),
+        file_stem("file").alias("location"),
+        _number(fmap["temperature"], missing).alias("temperature"),
+        _number(fmap["salinity"], missing).alias("salinity"),
+        _number(fmap["current_speed"], missing).alias("current_speed"),
+        _number(fmap["current_direction"], missing).alias("current_direction"),
+    )
+    return readings, rejects
+
+
+def parse_station_text(
+    text: DataFrame,
+    missing: str = "zero",
+    on_bad_row: str = "drop_file",
+    field_for: dict[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(file, value) whole station files -> (readings, rejects), in one pass with
+    no shuffle: the header and the "any short row" test are evaluated on each
+    file's own line array (a whole-text read keeps a file in one row anyway).
+    Same rules as ``parse_station_lines``."""
+    lines = F.split(F.regexp_replace(F.col("value"), r"\r?\n$", ""), r"\r?\n")
+    per_file = text.select(
+        "file",
+        _names_from_header(F.element_at(lines, 1)).alias("_names"),
+        F.filter(
+            F.transform(lines, lambda line, i: F.struct(i.cast("long").alias("line_no"), line.alias("line"))),
+            lambda x: (x["line_no"] >= HEADER_LINES) & (F.trim(x["line"]) != ""),
+        ).alias("_rows"),
+    )
+    per_file = per_file.withColumn(
+        "_file_bad", F.exists("_rows", lambda x: F.size(_tokens(x["line"])) < F.lit(TH.STATION_MIN_FIELDS))
+    )
+    data = per_file.select("file", "_names", "_file_bad", F.explode("_rows").alias("_r")).select(
+        "file", "_names", "_file_bad", "_r.line_no", "_r.line"
+    )
+    data = data.withColumn("_fields", _tokens(F.col("line"))).withColumn(
+        "_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS)
+    )
+    return _finish(data, missing, on_bad_row, {**FIELD_FOR, **(field_for or {})})
+
+
 def parse_station_lines(
     lines: DataFrame,
     missing: str = "zero",
@@ -65,45 +124,29 @@ def parse_station_lines(
     readings: the station frame with the common column names (timestamp from the
     row's own date fields, location = file name without extension).
     rejects: (file, line_no, line, reason).
+
+    Per-file facts (header names, whether any row is short) come from one
+    aggregate over the lines (map-side combined, at most one row per file) that is
+    joined back once; AQE broadcasts it when it is small.
     """
-    fmap = {**FIELD_FOR, **(field_for or {})}
-    header = lines.filter(F.col("line_no") == 0).select(
-        F.col("file").alias("_hfile"), _tokens(F.regexp_replace("line", r"^\s*#", "")).alias("_names")
+    is_data = (F.col("line_no") >= HEADER_LINES) & (F.trim("line") != "")
+    short = F.size(_tokens(F.col("line"))) < F.lit(TH.STATION_MIN_FIELDS)
+    info = lines.groupBy("file").agg(
+        F.max(F.when(F.col("line_no") == 0, F.col("line"))).alias("_header"),
+        F.max(is_data & short).alias("_file_bad"),
     )
-    data = lines.filter((F.col("line_no") >= HEADER_LINES) & (F.trim("line") != ""))
-    data = data.withColumn("_fields", _tokens(F.col("line")))
+    data = lines.filter(is_data).withColumn("_fields", _tokens(F.col("line")))
     data = data.withColumn("_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS))
-
-    bad_rows = data.filter("_bad").select("file", "line_no", "line", F.lit("fewer than 15 fields").alias("reason"))
-    if on_bad_row == "drop_file":
-        bad_files = data.filter("_bad").select("file").distinct()
-        dropped = data.join(bad_files, "file", "left_semi").filter(~F.col("_bad"))
-        rejects = bad_rows.unionByName(
-            dropped.select("file", "line_no", "line", F.lit("file has a short row").alias("reason"))
-        )
-        good = data.join(bad_files, "file", "left_anti")
-    elif on_bad_row == "drop_row":
-        rejects = bad_rows
-        good = data.filter(~F.col("_bad"))
-    else:
-        raise ValueError(f"on_bad_row must be drop_file or drop_row, not {on_bad_row!r}")
-
-    # One header row per file: small side of the join (AQE broadcasts it at run
-    # time when it is below the threshold; files without a header use defaults).
-    good = good.join(header, good["file"] == header["_hfile"], "left").withColumn(
-        "_names", F.coalesce(F.col("_names"), F.array().cast("array<string>"))
+    data = data.join(info, "file", "left").select(
+        "file",
+        "line_no",
+        "line",
+        "_fields",
+        "_bad",
+        F.coalesce(F.col("_file_bad"), F.lit(False)).alias("_file_bad"),
+        _names_from_header(F.col("_header")).alias("_names"),
     )
-    t = [_field(f).try_cast("int") for f in TIME_FIELDS]
-    event_time = F.try_make_timestamp(t[0], t[1], t[2], t[3], t[4], F.lit(0), F.lit("UTC"))
-    readings = good.select(
-        event_time.alias("timestamp"),
-        file_stem("file").alias("location"),
-        _number(fmap["temperature"], missing).alias("temperature"),
-        _number(fmap["salinity"], missing).alias("salinity"),
-        _number(fmap["current_speed"], missing).alias("current_speed"),
-        _number(fmap["current_direction"], missing).alias("current_direction"),
-    )
-    return readings, rejects
+    return _finish(data, missing, on_bad_row, {**FIELD_FOR, **(field_for or {})})
 
 
 def station_list(lines: DataFrame) -> DataFrame:
