@@ -40,6 +40,17 @@ def ocean_metrics_stream(spark, sf_dir):
     return rounded(out)
 
 
+@query("ocean_metrics_stream_profile")
+def ocean_metrics_stream_profile(spark, sf_dir):
+    """T1-T8 with gradient pairs across layers (chained stateful aggregation)."""
+    out = _run_available_now(
+        spark,
+        FF.reading_messages(spark, sf_dir),
+        lambda raw: ocean_metrics_from_messages(raw, gradient_scope="profile"),
+    )
+    return rounded(out)
+
+
 @query("air_quality_stream")
 def air_quality_stream(spark, sf_dir):
     """S17, A31-A34 on the air-quality message stream (closed windows)."""

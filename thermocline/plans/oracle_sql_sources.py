@@ -137,6 +137,8 @@ ORACLE["ocean_metrics_stream"] = hourly_sql(
     None, enrich=enrich_for(list(ALL_AGGS)), gradient_partition="w, location, depth_layer", where=CLOSED
 )
 
+ORACLE["ocean_metrics_stream_profile"] = hourly_sql(None, enrich=enrich_for(list(ALL_AGGS)), where=CLOSED)
+
 AIR = """
 WITH air AS (
   SELECT ts AS "timestamp", 'sensor_' || CAST(user_id % 5 + 1 AS VARCHAR) AS location,
