@@ -64,3 +64,13 @@ def test_gradient_edge_cases(spark, make_readings):
     out = add_gradient_flags(df, keys=["location"], order=["depth", "event_id"], keep_neighbours=True)
     got = [r["temp_gradient_qc"] for r in out.orderBy("depth", "event_id").collect()]
     assert got == ["pass", "fail", "pass", "pass"]
+
+
+def test_plan_slices_detects_hot_key(spark):
+    from thermocline.operators.ordered import plan_slices
+
+    df = _skewed(spark)
+    assert plan_slices(df, ["location"], min_rows=0) >= 8  # "hot" holds half the rows
+    balanced = df.withColumn("k", F.col("event_id") % 1000)
+    assert plan_slices(balanced, ["k"], min_rows=0) is None
+    assert plan_slices(df, ["location"], min_rows=0, rows_per_slice=100) == 200  # sized from the row count

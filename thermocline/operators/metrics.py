@@ -111,6 +111,7 @@ def ocean_metrics(
     time_col: str = "timestamp",
     gradient_from: str = "flag",
     profile_fields: Sequence[str] = ("depth", "timestamp", "event_id", "temperature"),
+    window_start_col: str | None = None,
 ) -> DataFrame:
     """Group by (tumbling window, location, depth_layer) and compute ``metrics``
     (default: all of A1-A28). Output: window_start, window_end, location,
@@ -119,6 +120,11 @@ def ocean_metrics(
     ``gradient_from="flag"`` sums the row-level ``temp_gradient_qc`` flag (batch);
     ``"array"`` computes it from the group's collected profile (W4; legal on a
     stream, pairs only within the group).
+
+    ``window_start_col`` (batch only): group by an existing window-start column
+    instead of ``window(time_col)``. When the frame is already hash-partitioned
+    on (that column, location) — as after the profile window — the aggregate
+    reuses that partitioning and needs no exchange of its own.
     """
     metrics = list(metrics or ALL_METRICS)
     all_aggs = ocean_aggregations()
@@ -127,8 +133,17 @@ def ocean_metrics(
     if want_array:
         fields = [f for f in profile_fields if f in df.columns]
         aggs.append(profile_array(fields).alias("_profile"))
-    grouped = df.groupBy(F.window(time_col, duration).alias("window"), *GROUP_KEYS).agg(*aggs)
-    cols = [*window_bounds(), *GROUP_KEYS]
+    if window_start_col:
+        grouped = df.filter(F.col(window_start_col).isNotNull()).groupBy(window_start_col, *GROUP_KEYS).agg(*aggs)
+        start = F.col(window_start_col)
+        cols = [
+            start.cast("timestamp_ntz").alias("window_start"),
+            (start + F.expr(f"INTERVAL {duration}")).cast("timestamp_ntz").alias("window_end"),
+            *GROUP_KEYS,
+        ]
+    else:
+        grouped = df.groupBy(F.window(time_col, duration).alias("window"), *GROUP_KEYS).agg(*aggs)
+        cols = [*window_bounds(), *GROUP_KEYS]
     for m in metrics:
         if m == "gradient_qc_failures" and want_array:
             cols.append(gradient_failures_in_array("_profile").alias(m))

@@ -137,10 +137,26 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return int(row["mx"] or 0), int(row["total"] or 0)
 
 
-def needs_slicing(df: DataFrame, keys: Sequence[str], min_rows: int = 1_000_000, share: float = 2.0) -> bool:
-    """True when one key group is larger than ``share`` times a task's fair share
-    of the rows (and above ``min_rows``): then a per-key window would leave one
-    task doing most of the work."""
+def plan_slices(
+    df: DataFrame,
+    keys: Sequence[str],
+    min_rows: int = 1_000_000,
+    share: float = 2.0,
+    rows_per_slice: int = 4_000_000,
+) -> int | None:
+    """Decide how to order profiles, from one aggregate over the key columns.
+
+    Returns None when the largest key group is within ``share`` times a task's
+    fair share of the rows (or below ``min_rows``): a per-key window is then
+    balanced enough. Otherwise returns the number of range slices: enough for
+    about ``rows_per_slice`` rows each, and at least the shuffle partition count.
+    """
     biggest, total = largest_group(df, keys)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return biggest > max(min_rows, share * total / max(parts, 1))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    if biggest <= max(min_rows, share * total / parts):
+        return None
+    return max(parts, -(-total // rows_per_slice))
+
+
+def needs_slicing(df: DataFrame, keys: Sequence[str], **kw) -> bool:
+    return plan_slices(df, keys, **kw) is not None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from thermocline import thresholds as TH
 from thermocline.functions.ocean import bounds_flag, gradient_flag
-from thermocline.operators.ordered import needs_slicing, with_successor, with_successor_window
+from thermocline.operators.ordered import plan_slices, with_successor, with_successor_window
 
 # The four range checks that feed qc_score, and the three extra ones.
 CORE_BOUNDED = ["temperature", "salinity", "dissolved_oxygen", "ph"]
@@ -60,10 +60,14 @@ def add_profile_neighbours(
     """
     carry = ["depth", *measurements]
     names = {c: NEXT_NAMES.get(c, f"next_{c}") for c in carry}
+    order = profile_order(df, order)
+    slices = None
     if skew_safe == "auto":
-        skew_safe = needs_slicing(df, keys)
-    fn = with_successor if skew_safe else with_successor_window
-    return fn(df, keys, profile_order(df, order), carry, names=names, position_col=position_col)
+        slices = plan_slices(df, keys)
+        skew_safe = slices is not None
+    if not skew_safe:
+        return with_successor_window(df, keys, order, carry, names=names, position_col=position_col)
+    return with_successor(df, keys, order, carry, names=names, position_col=position_col, num_slices=slices)
 
 
 def add_gradient_flags(

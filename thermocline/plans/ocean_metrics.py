@@ -41,8 +41,11 @@ def flag_readings(
     gradients: Sequence[str] = ("temperature",),
     skew_safe: bool | str = "auto",
     keep_neighbours: bool = False,
+    keep_window: bool = False,
 ) -> DataFrame:
-    """Row level: derived quantities, range flags and gradient flags."""
+    """Row level: derived quantities, range flags and gradient flags. With
+    ``keep_window`` the profile's window-start column is kept (as
+    ``_profile_window``) so a following aggregate can reuse its partitioning."""
     df = add_bound_flags(add_derived(readings), bounded)
     if not gradients:
         return df
@@ -54,7 +57,7 @@ def flag_readings(
         keep_neighbours=keep_neighbours,
         skew_safe=skew_safe,
     )
-    return df.drop(PROFILE_WINDOW)
+    return df if keep_window else df.drop(PROFILE_WINDOW)
 
 
 def ocean_metrics_batch(
@@ -72,6 +75,8 @@ def ocean_metrics_batch(
     """
     metrics = list(metrics or ALL_METRICS)
     gradients = ("temperature",) if "gradient_qc_failures" in metrics else ()
-    flagged = flag_readings(readings, duration, gradient_scope, gradients=gradients, skew_safe=skew_safe)
-    out = ocean_metrics(flagged, duration, metrics)
+    flagged = flag_readings(
+        readings, duration, gradient_scope, gradients=gradients, skew_safe=skew_safe, keep_window=bool(gradients)
+    )
+    out = ocean_metrics(flagged, duration, metrics, window_start_col=PROFILE_WINDOW if gradients else None)
     return enrich_metrics(out) if enrich else out
