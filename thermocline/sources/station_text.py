@@ -34,12 +34,31 @@ def _tokens(text: Column) -> Column:
     return F.split(F.trim(text), r"\s+")
 
 
-def _field(name: str) -> Column:
-    """Value of header field ``name`` on this row (1-based position from the
-    file's header, falling back to the standard position)."""
-    pos = F.array_position(F.col("_names"), F.lit(name))
+def _wanted(fmap: dict[str, str]) -> list[str]:
+    return list(dict.fromkeys([*TIME_FIELDS, *fmap.values()]))
+
+
+def _pos_col(name: str) -> str:
+    # Field names differ only by case ("MM" month, "mm" minute) and Spark column
+    # names are case-insensitive, so the position columns are numbered.
+    return f"_i{STANDARD_FIELDS.index(name) if name in STANDARD_FIELDS else 'x_' + name.lower()}"
+
+
+def _position(names: Column, name: str) -> Column:
+    """1-based position of header field ``name``, else its standard position."""
+    pos = F.array_position(names, F.lit(name))
     fallback = F.lit(STANDARD_FIELDS.index(name) + 1) if name in STANDARD_FIELDS else F.lit(None)
-    idx = F.when(pos > 0, pos).otherwise(fallback).cast("int")
+    return F.when(pos > 0, pos).otherwise(fallback).cast("int").alias(_pos_col(name))
+
+
+def _positions(names: Column, fmap: dict[str, str]) -> list[Column]:
+    """Field positions, computed once per file from its header (never per row)."""
+    return [_position(names, n) for n in _wanted(fmap)]
+
+
+def _field(name: str) -> Column:
+    """Value of header field ``name`` on this row (NULL past the row's end)."""
+    idx = F.col(_pos_col(name))
     return F.when(idx <= F.size("_fields"), F.element_at(F.col("_fields"), idx))
 
 
@@ -53,7 +72,7 @@ def _names_from_header(header: Column) -> Column:
 
 
 def _finish(data: DataFrame, missing: str, on_bad_row: str, fmap: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """data: (file, line_no, line, _fields, _names, _bad, _file_bad) -> (readings, rejects)."""
+    """data: (file, line_no, line, _fields, field positions, _bad, _file_bad) -> (readings, rejects)."""
     if on_bad_row == "drop_file":
         drop = F.col("_file_bad")
     elif on_bad_row == "drop_row":
@@ -86,6 +105,7 @@ def parse_station_text(
     no shuffle: the header and the "any short row" test are evaluated on each
     file's own line array (a whole-text read keeps a file in one row anyway).
     Same rules as ``parse_station_lines``."""
+    fmap = {**FIELD_FOR, **(field_for or {})}
     lines = F.split(F.regexp_replace(F.col("value"), r"\r?\n$", ""), r"\r?\n")
     per_file = text.select(
         "file",
@@ -98,13 +118,15 @@ def parse_station_text(
     per_file = per_file.withColumn(
         "_file_bad", F.exists("_rows", lambda x: F.size(_tokens(x["line"])) < F.lit(TH.STATION_MIN_FIELDS))
     )
-    data = per_file.select("file", "_names", "_file_bad", F.explode("_rows").alias("_r")).select(
-        "file", "_names", "_file_bad", "_r.line_no", "_r.line"
+    per_file = per_file.select("file", "_file_bad", "_rows", *_positions(F.col("_names"), fmap))
+    pos_cols = [_pos_col(n) for n in _wanted(fmap)]
+    data = per_file.select("file", "_file_bad", *pos_cols, F.explode("_rows").alias("_r")).select(
+        "file", "_file_bad", *pos_cols, "_r.line_no", "_r.line"
     )
     data = data.withColumn("_fields", _tokens(F.col("line"))).withColumn(
         "_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS)
     )
-    return _finish(data, missing, on_bad_row, {**FIELD_FOR, **(field_for or {})})
+    return _finish(data, missing, on_bad_row, fmap)
 
 
 def parse_station_lines(
@@ -129,14 +151,18 @@ def parse_station_lines(
     aggregate over the lines (map-side combined, at most one row per file) that is
     joined back once; AQE broadcasts it when it is small.
     """
+    fmap = {**FIELD_FOR, **(field_for or {})}
     is_data = (F.col("line_no") >= HEADER_LINES) & (F.trim("line") != "")
     short = F.size(_tokens(F.col("line"))) < F.lit(TH.STATION_MIN_FIELDS)
     info = lines.groupBy("file").agg(
         F.max(F.when(F.col("line_no") == 0, F.col("line"))).alias("_header"),
         F.max(is_data & short).alias("_file_bad"),
     )
+    info = info.select("file", "_file_bad", *_positions(_names_from_header(F.col("_header")), fmap))
+    pos_cols = [_pos_col(n) for n in _wanted(fmap)]
     data = lines.filter(is_data).withColumn("_fields", _tokens(F.col("line")))
     data = data.withColumn("_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS))
+    defaults = _positions(F.array().cast("array<string>"), fmap)  # files missing from info
     data = data.join(info, "file", "left").select(
         "file",
         "line_no",
@@ -144,9 +170,9 @@ def parse_station_lines(
         "_fields",
         "_bad",
         F.coalesce(F.col("_file_bad"), F.lit(False)).alias("_file_bad"),
-        _names_from_header(F.col("_header")).alias("_names"),
+        *[F.coalesce(F.col(c), d).alias(c) for c, d in zip(pos_cols, defaults)],
     )
-    return _finish(data, missing, on_bad_row, {**FIELD_FOR, **(field_for or {})})
+    return _finish(data, missing, on_bad_row, fmap)
 
 
 def station_list(lines: DataFrame) -> DataFrame:
