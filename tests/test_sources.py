@@ -155,3 +155,31 @@ def test_whole_text_parser_matches_line_parser(spark, tmp_path):
         assert sorted(map(tuple, ra.collect())) == sorted(map(tuple, rb.collect()))
     rows = parse_station_text(read_landed_text(spark, path))[0].collect()
     assert sorted((r["location"], r["temperature"]) for r in rows) == [("41002", 0.0), ("41002", 20.5), ("41003", 17.0)]
+
+
+def test_ingest_time_is_separate(spark, tmp_path):
+    _write(tmp_path, "i/41001.txt", HEADER + ROW)
+    r = parse_station_lines(read_landed_lines(spark, str(tmp_path / "i")), ingest_time=True)[0].first()
+    assert r["timestamp"].isoformat().startswith("2024-02-07T09:00") and r["ingest_time"] > r["timestamp"]
+
+
+def test_landed_profile_and_product_readers(spark, tmp_path):
+    from thermocline.sources.float_profiles import profiles_of_listed_floats, read_float_profiles
+    from thermocline.sources.product_tables import products_of_catalogue, read_products
+
+    _write(tmp_path, "floats/p.csv", "timestamp,float_id,pressure,temperature,salinity\n"
+           "2024-01-01 00:00:00,f1,1.5,10.0,35.0\n2024-01-01 01:00:00,f9,2.0,9.0,35.1\n")
+    prof = read_float_profiles(spark, str(tmp_path / "floats"), fmt="csv")
+    listed = spark.createDataFrame([("f1",)], "float_id string")
+    rows = conform_float(profiles_of_listed_floats(prof, listed)).collect()
+    assert len(rows) == 1 and rows[0]["depth"] == 15.0 and rows[0]["location"] == "f1"
+
+    src = spark.createDataFrame(
+        [("2024-01-01 00:00:00", "s1", 5.0, 10.0, "s1_2024-01-01"), ("2024-01-01 00:00:00", "s2", 5.0, 11.0, "other")],
+        "time string, station_id string, depth double, temperature double, dataset string",
+    ).withColumn("time", F.col("time").cast("timestamp"))
+    src.write.parquet(str(tmp_path / "products"))
+    prods = read_products(spark, str(tmp_path / "products"))
+    cat = spark.createDataFrame([("s1_2024-01-01",)], "dataset_id string")
+    got = conform_product(products_of_catalogue(prods, cat)).collect()
+    assert [r["location"] for r in got] == ["s1"] and got[0]["salinity"] is None

@@ -59,3 +59,29 @@ def test_late_row_ignored_and_restart_idempotent(spark, tmp_path):
     assert sorted(rows) == [0, 2]  # 02:00 closed now; 05:00 still open
     third = _run(spark, str(inp), out, chk)  # restart with nothing new
     assert third.count() == second.count()
+
+
+def test_profile_scope_stream_equals_batch(spark, tmp_path):
+    inp = str(tmp_path / "in")
+    FF.reading_messages(spark, SMALL).write.text(inp)
+    q = start_append_stream(
+        ocean_metrics_from_messages(read_message_stream(spark, "text", path=inp), gradient_scope="profile"),
+        str(tmp_path / "out"), str(tmp_path / "chk"), trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    streamed = spark.read.parquet(str(tmp_path / "out")).drop("window_date")
+    r = FX.readings(spark, SMALL)
+    cutoff = r.agg(F.max("timestamp")).first()[0]
+    batch = ocean_metrics_batch(r, gradient_scope="profile").filter(
+        F.col("window_end") <= F.lit(cutoff).cast("timestamp_ntz") - F.expr("INTERVAL 15 MINUTES")
+    )
+    assert _rows(streamed.select(*batch.columns)) == _rows(batch)
+
+
+def test_metrics_table_round_trip_and_model(spark, tmp_path):
+    from thermocline.plans.pipeline import run_pipeline
+
+    metrics, model, preds, evaluation = run_pipeline(FX.readings(spark, SMALL), metrics_path=str(tmp_path / "m"))
+    assert metrics.count() == spark.read.parquet(str(tmp_path / "m")).count() > 0
+    assert preds.count() == metrics.count()  # every row predicted (no NULL features here)
+    assert set(evaluation) == {"rmse", "r2"} and evaluation["rmse"] >= 0

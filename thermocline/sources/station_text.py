@@ -71,7 +71,9 @@ def _names_from_header(header: Column) -> Column:
     return F.coalesce(_tokens(F.regexp_replace(header, r"^\s*#", "")), F.array().cast("array<string>"))
 
 
-def _finish(data: DataFrame, missing: str, on_bad_row: str, fmap: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+def _finish(
+    data: DataFrame, missing: str, on_bad_row: str, fmap: dict[str, str], ingest_time: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """data: (file, line_no, line, _fields, field positions, _bad, _file_bad) -> (readings, rejects)."""
     if on_bad_row == "drop_file":
         drop = F.col("_file_bad")
@@ -92,6 +94,9 @@ def _finish(data: DataFrame, missing: str, on_bad_row: str, fmap: dict[str, str]
         _number(fmap["current_speed"], missing).alias("current_speed"),
         _number(fmap["current_direction"], missing).alias("current_direction"),
     )
+    if ingest_time:
+        # when the row was read, kept apart from the observation time
+        readings = readings.withColumn("ingest_time", F.current_timestamp())
     return readings, rejects
 
 
@@ -100,6 +105,7 @@ def parse_station_text(
     missing: str = "zero",
     on_bad_row: str = "drop_file",
     field_for: dict[str, str] | None = None,
+    ingest_time: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(file, value) whole station files -> (readings, rejects), in one pass with
     no shuffle: the header and the "any short row" test are evaluated on each
@@ -126,7 +132,7 @@ def parse_station_text(
     data = data.withColumn("_fields", _tokens(F.col("line"))).withColumn(
         "_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS)
     )
-    return _finish(data, missing, on_bad_row, fmap)
+    return _finish(data, missing, on_bad_row, fmap, ingest_time)
 
 
 def parse_station_lines(
@@ -134,6 +140,7 @@ def parse_station_lines(
     missing: str = "zero",
     on_bad_row: str = "drop_file",
     field_for: dict[str, str] | None = None,
+    ingest_time: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(file, line_no, line) -> (readings, rejects).
 
@@ -142,6 +149,7 @@ def parse_station_lines(
     * A data row with fewer than 15 fields is bad; on_bad_row="drop_file"
       discards the whole file (the original's behaviour), "drop_row" only the row.
     * Blank lines are ignored.
+    * ingest_time=True adds the read time as a separate ``ingest_time`` column.
 
     readings: the station frame with the common column names (timestamp from the
     row's own date fields, location = file name without extension).
@@ -172,7 +180,7 @@ def parse_station_lines(
         F.coalesce(F.col("_file_bad"), F.lit(False)).alias("_file_bad"),
         *[F.coalesce(F.col(c), d).alias(c) for c, d in zip(pos_cols, defaults)],
     )
-    return _finish(data, missing, on_bad_row, fmap)
+    return _finish(data, missing, on_bad_row, fmap, ingest_time)
 
 
 def station_list(lines: DataFrame) -> DataFrame:
