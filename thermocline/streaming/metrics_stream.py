@@ -120,7 +120,9 @@ def start_append_stream(
     out = metrics
     writer_cols = []
     if partition_by_date:
-        out = out.withColumn("window_date", F.to_date("window_start"))
+        # Aggregated rows are few; grouping them by date first gives one file per
+        # date per micro-batch instead of one per task and date.
+        out = out.withColumn("window_date", F.to_date("window_start")).repartition("window_date")
         writer_cols = ["window_date"]
     writer = (
         out.writeStream.format(fmt)
