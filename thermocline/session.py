@@ -55,6 +55,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a shared folder (e.g. on HDFS or object "
+            "storage) that every executor can reach; a machine-local folder is not safe on a cluster"
+        )
     scratch = tempfile.mkdtemp(prefix="thermocline-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch
