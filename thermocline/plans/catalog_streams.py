@@ -15,6 +15,7 @@ from thermocline.plans.catalog import query, rounded
 from thermocline.plans.pipeline import run_pipeline
 from thermocline.session import checkpoint_root
 from thermocline.sources.messages import read_message_stream
+from thermocline.streaming.staged_stream import read_staged_metrics, start_staged_metrics_stream
 from thermocline.streaming.metrics_stream import (
     air_metrics_from_messages,
     ocean_metrics_from_messages,
@@ -51,6 +52,23 @@ def ocean_metrics_stream_profile(spark, sf_dir):
     return rounded(out)
 
 
+@query("ocean_metrics_stream_staged")
+def ocean_metrics_stream_staged(spark, sf_dir):
+    """T1-T8 without per-group state: micro-batches are landed and closed windows
+    are computed with the (skew-safe) batch plan; profile gradient scope."""
+    root = f"{checkpoint_root(spark)}/thermocline/staged-{uuid.uuid4().hex}"
+    FF.reading_messages(spark, sf_dir).write.text(f"{root}/in")
+    q = start_staged_metrics_stream(
+        read_message_stream(spark, "text", path=f"{root}/in"),
+        f"{root}/stage",
+        f"{root}/out",
+        f"{root}/chk",
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    return rounded(read_staged_metrics(spark, f"{root}/out"))
+
+
 @query("air_quality_stream")
 def air_quality_stream(spark, sf_dir):
     """S17, A31-A34 on the air-quality message stream (closed windows)."""

@@ -138,6 +138,7 @@ ORACLE["ocean_metrics_stream"] = hourly_sql(
 )
 
 ORACLE["ocean_metrics_stream_profile"] = hourly_sql(None, enrich=enrich_for(list(ALL_AGGS)), where=CLOSED)
+ORACLE["ocean_metrics_stream_staged"] = ORACLE["ocean_metrics_stream_profile"]
 
 AIR = """
 WITH air AS (
