@@ -32,6 +32,7 @@ HEADLINE = [
     "hourly_temperature",
     "qc_score_categories",
     "ocean_metrics_stream",
+    "ocean_metrics_stream_staged",
     "air_quality_metrics",
     "all_sources_union",
     "ndbc_station_feed",

@@ -18,7 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from thermocline.plans.catalog import registry  # noqa: E402
 from thermocline.session import local_session  # noqa: E402
 
-SKIP = {"impact_model", "ocean_model", "ocean_metrics_stream", "ocean_metrics_stream_profile", "air_quality_stream"}
+SKIP = {
+    "impact_model",
+    "ocean_model",
+    "ocean_metrics_stream",
+    "ocean_metrics_stream_profile",
+    "ocean_metrics_stream_staged",
+    "air_quality_stream",
+}
 
 
 def final_plan(df) -> str:
