@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 
 from thermocline import fixtures as FX
 from thermocline.operators.derive import add_derived
-from thermocline.operators.enrich import enrich_metrics
-from thermocline.operators.metrics import air_quality_metrics, ocean_metrics, ph_global_deviation
+from thermocline.operators.metrics import air_quality_metrics, ph_global_deviation
 from thermocline.operators.qc import add_bound_flags, add_profile_neighbours
 from thermocline.plans.ocean_metrics import flag_readings, ocean_metrics_batch
 
@@ -53,10 +52,6 @@ def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     )
 
 
-def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
-
-
 WINDOW_KEYS = ["window_start", "window_end", "location", "depth_layer"]
 
 
@@ -219,4 +214,4 @@ def registry() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-__all__ = ["QUERIES", "query", "registry", "rounded", "enrich_metrics", "ocean_metrics", "_ntz"]
+__all__ = ["QUERIES", "query", "registry", "rounded"]
