@@ -74,3 +74,35 @@ def test_plan_slices_detects_hot_key(spark):
     balanced = df.withColumn("k", F.col("event_id") % 1000)
     assert plan_slices(balanced, ["k"], min_rows=0) is None
     assert plan_slices(df, ["location"], min_rows=0, rows_per_slice=100) == 200  # sized from the row count
+
+
+def test_empty_input(spark):
+    df = _skewed(spark).limit(0)
+    out = with_successor(df, ["location"], ["depth", "event_id"], ["depth"], position_col="pos", num_slices=4)
+    assert out.count() == 0 and "next_depth" in out.columns and "pos" in out.columns
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", "c", None]),  # key, NULL included
+        st.one_of(st.none(), st.integers(0, 5).map(float)),  # depth with NULLs and ties
+        st.one_of(st.none(), st.floats(-5, 5, allow_nan=False)),  # carried value
+    ),
+    min_size=0,
+    max_size=60,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_rows, slices=st.integers(1, 7))
+def test_successor_property(spark, rows, slices):
+    data = [(i, k, d, v) for i, (k, d, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "event_id long, location string, depth double, temperature double")
+    keys, order, carry = ["location"], ["depth", "event_id"], ["depth", "temperature"]
+    fast = with_successor(df, keys, order, carry, position_col="pos", num_slices=slices)
+    slow = with_successor_window(df, keys, order, carry, position_col="pos")
+    cols = ["event_id", "next_depth", "next_temperature", "pos"]
+    assert sorted(map(tuple, fast.select(*cols).collect())) == sorted(map(tuple, slow.select(*cols).collect()))
