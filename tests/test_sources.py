@@ -183,3 +183,46 @@ def test_landed_profile_and_product_readers(spark, tmp_path):
     cat = spark.createDataFrame([("s1_2024-01-01",)], "dataset_id string")
     got = conform_product(products_of_catalogue(prods, cat)).collect()
     assert [r["location"] for r in got] == ["s1"] and got[0]["salinity"] is None
+
+
+def test_feed_entry_points(spark, tmp_path):
+    from thermocline.sources.feeds import all_feeds, float_feed, observatory_feed_from, product_feed, station_feed
+
+    _write(tmp_path, "st/41001.txt", HEADER + ROW)
+    _write(tmp_path, "st/41009.txt", HEADER + ROW)
+    _write(tmp_path, "table.txt", "h1\nh2\n41001 First\n")
+    stations, _ = station_feed(spark, str(tmp_path / "st"), str(tmp_path / "table.txt"))
+    assert [r["location"] for r in stations.collect()] == ["41001"]
+    _write(tmp_path, "empty/41002.txt", HEADER)
+    with pytest.raises(ValueError, match="No data could be retrieved"):
+        station_feed(spark, str(tmp_path / "empty"))
+
+    _write(tmp_path, "obs/n1/ctd/a.json", '{"data":[{"time":"2024-01-01T00:00:00","platform_code":"p1","depth":5}]}')
+    _write(tmp_path, "inv/i.json", '[{"node":"n1","instrument":"ctd"}]')
+    obs, _ = observatory_feed_from(spark, str(tmp_path / "obs"), str(tmp_path / "inv"))
+
+    _write(tmp_path, "floats.txt", "f1\n")
+    _write(tmp_path, "prof/p.csv", "timestamp,float_id,pressure,temperature,salinity\n2024-01-01 00:00:00,f1,1.5,10.0,35.0\n")
+    floats = float_feed(spark, str(tmp_path / "floats.txt"), str(tmp_path / "prof"), fmt="csv")
+
+    _write(tmp_path, "cat.xml", "<products><dataset>d1</dataset></products>")
+    _write(tmp_path, "prod/p.csv", "time,station_id,depth,temperature,dataset\n2024-01-01 00:00:00,s1,5.0,10.0,d1\n")
+    prods = product_feed(spark, str(tmp_path / "cat.xml"), str(tmp_path / "prod"), fmt="csv")
+
+    merged = all_feeds({"station": stations, "observatory": obs, "float": floats, "product": prods})
+    assert sorted(r["source"] for r in merged.collect()) == ["float", "observatory", "product", "station"]
+
+
+def test_run_metrics_stream_from_landing(spark, tmp_path):
+    import json
+
+    from thermocline.streaming.metrics_stream import run_metrics_stream
+
+    _write(tmp_path, "in/m.json", "\n".join(
+        json.dumps({"timestamp": f"2024-01-01T0{h}:10:00", "location": "a", "depth": 5.0, "temperature": 10.0,
+                    "salinity": 35.0}) for h in range(4)))
+    q = run_metrics_stream(spark, str(tmp_path / "out"), str(tmp_path / "chk"), landing_path=str(tmp_path / "in"),
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    # last event 03:10 -> watermark 02:55: hours 0 and 1 are closed, 2 and 3 still open
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2

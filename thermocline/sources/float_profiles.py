@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from thermocline import thresholds as TH
 from thermocline.schemas import FLOAT_PROFILE_SCHEMA, READING_COLUMNS
+from thermocline.sources.landing import read_landed_table
 
 
 def float_list(lines: DataFrame) -> DataFrame:
@@ -21,11 +22,8 @@ def float_list(lines: DataFrame) -> DataFrame:
 
 
 def read_float_profiles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Landed profile rows with a fixed schema (no inference)."""
-    reader = spark.read.schema(FLOAT_PROFILE_SCHEMA)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    return reader.format(fmt).load(path)
+    """Landed profile rows with a fixed schema (no inference), by column name."""
+    return read_landed_table(spark, path, FLOAT_PROFILE_SCHEMA, fmt)
 
 
 def profiles_of_listed_floats(profiles: DataFrame, floats: DataFrame) -> DataFrame:

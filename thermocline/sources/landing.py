@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
@@ -40,3 +41,23 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(message)
     return df
+
+
+def read_landed_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A landed table with ``schema``'s columns, matched by *name*.
+
+    Parquet/ORC/JSON are read with the schema (columns resolve by name; absent
+    ones are NULL). CSV is read with its header as text and each schema column is
+    ``try_cast`` from the same-named header column (NULL when absent), because a
+    CSV reader given a schema would apply it by position.
+    """
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    raw = spark.read.option("header", "true").csv(path)
+    have = {c.lower(): c for c in raw.columns}
+    cols = [
+        (F.col(have[f.name.lower()]).try_cast(f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType))
+        .alias(f.name)
+        for f in schema.fields
+    ]
+    return raw.select(*cols)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermocline.schemas import PRODUCT_SCHEMA, READING_COLUMNS
+from thermocline.sources.landing import read_landed_table
 
 
 def catalogue_datasets(docs: DataFrame) -> DataFrame:
@@ -24,10 +25,7 @@ def catalogue_datasets(docs: DataFrame) -> DataFrame:
 def read_products(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Landed product rows (native schema plus the dataset id)."""
     schema = T.StructType(PRODUCT_SCHEMA.fields + [T.StructField("dataset", T.StringType(), True)])
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    return reader.format(fmt).load(path)
+    return read_landed_table(spark, path, schema, fmt)
 
 
 def products_of_catalogue(products: DataFrame, datasets: DataFrame) -> DataFrame:

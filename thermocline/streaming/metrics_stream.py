@@ -143,3 +143,27 @@ def closed_window_cutoff(max_event_time_col: str, watermark: str = TH.WATERMARK_
     """Batch-side expression of which windows an append stream has emitted:
     window_end <= max event time - watermark delay."""
     return F.col(max_event_time_col) - F.expr(f"INTERVAL {watermark}")
+
+
+def run_metrics_stream(
+    spark,
+    output_path: str,
+    checkpoint_path: str,
+    bootstrap_servers: str | None = None,
+    topic: str = "environmental-sensors",
+    landing_path: str | None = None,
+    fmt: str = "parquet",
+    gradient_scope: str = "layer",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The whole job in one call: messages from a bus topic (``bootstrap_servers``)
+    or from a JSON-lines landing folder -> hourly metrics appended to
+    ``output_path`` (``fmt`` parquet or delta), checkpointed. Returns the handle."""
+    from thermocline.sources.messages import read_message_stream
+
+    if bootstrap_servers:
+        raw = read_message_stream(spark, "kafka", bootstrap_servers=bootstrap_servers, topic=topic)
+    else:
+        raw = read_message_stream(spark, "text", path=landing_path)
+    metrics = ocean_metrics_from_messages(raw, gradient_scope=gradient_scope)
+    return start_append_stream(metrics, output_path, checkpoint_path, fmt=fmt, trigger=trigger)
