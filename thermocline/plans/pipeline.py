@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from thermocline.ml.models import OCEAN_FEATURES, OCEAN_LABEL, fit_and_score, gbt_pipeline
 from thermocline.plans.ocean_metrics import ocean_metrics_batch
@@ -22,8 +23,10 @@ def run_pipeline(
     Returns (metrics, model, predictions, evaluation)."""
     metrics = ocean_metrics_batch(readings)
     if metrics_path:
-        metrics.write.mode("overwrite").partitionBy("location").parquet(metrics_path)
-        metrics = readings.sparkSession.read.parquet(metrics_path)
+        # same layout as the stream sink: one folder per window date
+        dated = metrics.withColumn("window_date", F.to_date("window_start"))
+        dated.repartition("window_date").write.mode("overwrite").partitionBy("window_date").parquet(metrics_path)
+        metrics = readings.sparkSession.read.parquet(metrics_path).drop("window_date")
     model, predictions, evaluation = fit_and_score(
         gbt_pipeline(features, label, seed=seed), metrics, label, keys=["window_start", "location", "depth_layer"]
     )
