@@ -143,19 +143,22 @@ def plan_slices(
     min_rows: int = 1_000_000,
     share: float = 2.0,
     rows_per_slice: int = 4_000_000,
+    max_slices: int = 100_000,
 ) -> int | None:
     """Decide how to order profiles, from one aggregate over the key columns.
 
     Returns None when the largest key group is within ``share`` times a task's
     fair share of the rows (or below ``min_rows``): a per-key window is then
     balanced enough. Otherwise returns the number of range slices: enough for
-    about ``rows_per_slice`` rows each, and at least the shuffle partition count.
+    about ``rows_per_slice`` rows each, at least the shuffle partition count and
+    at most ``max_slices`` (Spark samples at most 1e6 keys to place range bounds,
+    and the broadcast correction table holds up to 2 rows per slice).
     """
     biggest, total = largest_group(df, keys)
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     if biggest <= max(min_rows, share * total / parts):
         return None
-    return max(parts, -(-total // rows_per_slice))
+    return min(max(parts, -(-total // rows_per_slice)), max(parts, max_slices))
 
 
 def needs_slicing(df: DataFrame, keys: Sequence[str], **kw) -> bool:
