@@ -119,3 +119,15 @@ def test_staged_stream_late_rows_and_replay(spark, tmp_path):
         process_batch(replay, 7, stage, out)
     got = read_staged_metrics(spark, out)
     assert got.count() == 3 and got.filter("hour(window_start) = 5").count() == 1
+
+
+def test_bad_messages_dropped_at_windowing(spark, tmp_path):
+    inp, out, chk = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "chk")
+    inp.mkdir()
+    good = [json.dumps({"timestamp": f"2024-01-01T0{h}:10:00", "location": "a", "depth": 5.0, "temperature": 10.0,
+                        "salinity": 35.0}) for h in range(3)]
+    bad = ["{not json", json.dumps({"timestamp": "yesterday", "location": "a", "depth": 5.0, "temperature": 99.0})]
+    (inp / "m.json").write_text("\n".join(good + bad))
+    got = _run(spark, str(inp), out, chk)
+    rows = sorted((r["window_start"].hour, r["measurement_count"], r["temp_max"]) for r in got.collect())
+    assert rows == [(0, 1, 10.0), (1, 1, 10.0)]  # hour 2 still open; bad rows counted nowhere
