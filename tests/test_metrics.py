@@ -66,3 +66,24 @@ def test_global_ph_deviation(spark, make_readings):
     assert out["a"]["ph_global_mean"] == pytest.approx(8.0)
     assert out["a"]["ph_max_global_deviation"] == pytest.approx(1.0)
     assert out["b"]["ph_max_global_deviation"] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("scope,keys", [("location", ["location"]), ("layer", ["w", "location", "depth_layer"])])
+def test_gradient_scopes_match_brute_force(spark, scope, keys):
+    from conftest import SMALL
+    from pyspark.sql import Window as W
+
+    r = FX.readings(spark, SMALL)
+    got = ocean_metrics_batch(r, gradient_scope=scope, metrics=["gradient_qc_failures"], skew_safe=True)
+    d = add_derived(r).withColumn("w", F.window("timestamp", "1 hour").start)
+    w = W.partitionBy(*keys).orderBy("depth", "timestamp", "event_id")
+    rate = F.try_divide(
+        F.abs(F.lead("temperature").over(w) - F.col("temperature")), F.lead("depth").over(w) - F.col("depth")
+    )
+    brute = (
+        d.withColumn("fail", F.when(rate > 0.5, 1).otherwise(0))
+        .groupBy(F.col("w").cast("timestamp_ntz").alias("window_start"), "location", "depth_layer")
+        .agg(F.sum("fail").cast("bigint").alias("gradient_qc_failures"))
+    )
+    cols = ["window_start", "location", "depth_layer", "gradient_qc_failures"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, brute.select(*cols).collect()))
