@@ -103,6 +103,11 @@ def main() -> None:
     print("|---" * (len(cols) + 1) + "|")
     for name, s in rows:
         print(f"| {name} | " + " | ".join(s[c] for c in cols) + " |")
+    flagship = registry()["ocean_metrics"](spark, sf_dir)
+    print("\n## Flagship (`ocean_metrics`) final plan\n")
+    print("```")
+    print(re.sub(r"#\d+L?\b", "", final_plan(flagship)))
+    print("```")
     spark.stop()
 
 
