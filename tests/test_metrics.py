@@ -25,6 +25,10 @@ def test_circular_mean_wraps(spark, make_readings):
     rows = [reading(current_direction=350.0), reading(current_direction=10.0, ts="2024-01-01 00:20:00")]
     out = ocean_metrics_batch(make_readings(rows)).first()
     assert out["current_direction_avg"] == pytest.approx(0.0, abs=1e-9)
+    west = [reading(current_direction=260.0), reading(current_direction=270.0, ts="2024-01-01 00:20:00")]
+    out = ocean_metrics_batch(make_readings(west)).first()
+    assert out["current_direction_avg"] == pytest.approx(-95.0)  # signed, as the original
+    assert out["current_direction_compass"] == pytest.approx(265.0)
 
 
 @pytest.mark.parametrize("fails,score,category", [(0, 100, "excellent"), (1, 95, "excellent"), (3, 85, "good"),

@@ -86,6 +86,11 @@ def circular_mean_degrees(sin_avg: str | Column, cos_avg: str | Column) -> Colum
     return F.degrees(F.atan2(col_of(sin_avg), col_of(cos_avg)))
 
 
+def compass_degrees(direction: str | Column) -> Column:
+    """A direction in (-180, 180] as a compass bearing in [0, 360)."""
+    return F.pmod(col_of(direction), F.lit(360.0))
+
+
 def classify(value: Column, classes: list[tuple[str, float]], default: str) -> Column:
     """First class whose lower edge the value reaches, else ``default``."""
     expr = None

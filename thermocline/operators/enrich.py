@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermocline import thresholds as TH
-from thermocline.functions.ocean import circular_mean_degrees, classify
+from thermocline.functions.ocean import circular_mean_degrees, classify, compass_degrees
 
 
 def enrich_metrics(df: DataFrame) -> DataFrame:
     """Add whichever of E1-E5 the available columns allow:
 
-    E1 current_direction_avg = degrees(atan2(sin_avg, cos_avg)), in (-180, 180]
+    E1 current_direction_avg = degrees(atan2(sin_avg, cos_avg)), in (-180, 180], and
+       current_direction_compass, the same bearing in [0, 360)
     E2 temp_gradient = (temp_max - temp_min) / (max_depth - min_depth), NULL on zero span
     E3 data_quality from measurement_count
     E4 qc_score = 100 - 5 * (sum of the five failure counts), may be negative
@@ -21,7 +22,9 @@ def enrich_metrics(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     cols = {}
     if {"current_direction_sin_avg", "current_direction_cos_avg"} <= have:
-        cols["current_direction_avg"] = circular_mean_degrees("current_direction_sin_avg", "current_direction_cos_avg")
+        mean = circular_mean_degrees("current_direction_sin_avg", "current_direction_cos_avg")
+        cols["current_direction_avg"] = mean
+        cols["current_direction_compass"] = compass_degrees(mean)
     if {"temp_max", "temp_min", "max_depth", "min_depth"} <= have:
         cols["temp_gradient"] = F.try_divide(
             F.col("temp_max") - F.col("temp_min"), F.col("max_depth") - F.col("min_depth")

@@ -151,6 +151,12 @@ ENRICH = {
         ["current_direction_sin_avg", "current_direction_cos_avg"],
         r7("degrees(atan2(u_current_direction_sin_avg, u_current_direction_cos_avg))"),
     ),
+    "current_direction_compass": (
+        ["current_direction_sin_avg", "current_direction_cos_avg"],
+        r7(
+            "((degrees(atan2(u_current_direction_sin_avg, u_current_direction_cos_avg)) % 360.0) + 360.0) % 360.0"
+        ),
+    ),
     "temp_gradient": (
         ["temp_max", "temp_min", "max_depth", "min_depth"],
         r7("(u_temp_max - u_temp_min) / NULLIF(u_max_depth - u_min_depth, 0)"),
