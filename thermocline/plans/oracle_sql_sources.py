@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from thermocline.plans.oracle_sql import ORACLE, READINGS, r7, with_ctes
+from thermocline.plans.oracle_sql import ALL_AGGS, ORACLE, READINGS, enrich_for, hourly_sql, r7, with_ctes
 
 COMMON = [
     "timestamp",
@@ -130,7 +130,6 @@ ORACLE["all_sources_union"] = (
 
 # --- streams (closed windows only) and ML features -------------------------------
 
-from thermocline.plans.oracle_sql import ALL_AGGS, enrich_for, hourly_sql  # noqa: E402
 
 CLOSED = "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE"
 ORACLE["ocean_metrics_stream"] = hourly_sql(
