@@ -38,3 +38,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "qc_score" in df.columns
+
+
+def test_non_utc_session_gives_same_results(spark, con):
+    """A caller's session in another zone must not shift windows or times."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("hourly_temperature", "ndbc_station_feed", "data_quality_classes"):
+            got = E.queries()[name](spark, SMALL).toPandas()
+            assert rows(got) == rows(con.execute(ORACLE[name]).df()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
