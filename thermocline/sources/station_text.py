@@ -44,11 +44,15 @@ def _pos_col(name: str) -> str:
     return f"_i{STANDARD_FIELDS.index(name) if name in STANDARD_FIELDS else 'x_' + name.lower()}"
 
 
-def _position(names: Column, name: str) -> Column:
+def _position_expr(names: Column, name: str) -> Column:
     """1-based position of header field ``name``, else its standard position."""
     pos = F.array_position(names, F.lit(name))
     fallback = F.lit(STANDARD_FIELDS.index(name) + 1) if name in STANDARD_FIELDS else F.lit(None)
-    return F.when(pos > 0, pos).otherwise(fallback).cast("int").alias(_pos_col(name))
+    return F.when(pos > 0, pos).otherwise(fallback).cast("int")
+
+
+def _position(names: Column, name: str) -> Column:
+    return _position_expr(names, name).alias(_pos_col(name))
 
 
 def _positions(names: Column, fmap: dict[str, str]) -> list[Column]:
@@ -155,18 +159,20 @@ def parse_station_lines(
     row's own date fields, location = file name without extension).
     rejects: (file, line_no, line, reason).
 
-    Per-file facts (header names, whether any row is short) come from one
-    aggregate over the lines (map-side combined, at most one row per file) that is
-    joined back once; AQE broadcasts it when it is small.
+    Per-file facts (field positions from the header, whether any row is short)
+    come from one aggregate over the lines — numeric and boolean buffers only, so
+    it is a map-side-combined hash aggregate, at most one row per file — joined
+    back once; AQE broadcasts it when it is small.
     """
     fmap = {**FIELD_FOR, **(field_for or {})}
     is_data = (F.col("line_no") >= HEADER_LINES) & (F.trim("line") != "")
     short = F.size(_tokens(F.col("line"))) < F.lit(TH.STATION_MIN_FIELDS)
+    names = _names_from_header(F.col("line"))  # evaluated on header rows only
+    is_header = F.col("line_no") == 0
     info = lines.groupBy("file").agg(
-        F.max(F.when(F.col("line_no") == 0, F.col("line"))).alias("_header"),
         F.max(is_data & short).alias("_file_bad"),
+        *[F.max(F.when(is_header, _position_expr(names, n))).alias(_pos_col(n)) for n in _wanted(fmap)],
     )
-    info = info.select("file", "_file_bad", *_positions(_names_from_header(F.col("_header")), fmap))
     pos_cols = [_pos_col(n) for n in _wanted(fmap)]
     data = lines.filter(is_data).withColumn("_fields", _tokens(F.col("line")))
     data = data.withColumn("_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS))
