@@ -226,3 +226,18 @@ def test_run_metrics_stream_from_landing(spark, tmp_path):
     q.awaitTermination()
     # last event 03:10 -> watermark 02:55: hours 0 and 1 are closed, 2 and 3 still open
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_run_metrics_stream_staged_mode(spark, tmp_path):
+    import json
+
+    from thermocline.streaming.metrics_stream import run_metrics_stream
+    from thermocline.streaming.staged_stream import read_staged_metrics
+
+    _write(tmp_path, "in/m.json", "\n".join(
+        json.dumps({"timestamp": f"2024-01-01T0{h}:10:00", "location": "a", "depth": 5.0, "temperature": 10.0,
+                    "salinity": 35.0}) for h in range(4)))
+    q = run_metrics_stream(spark, str(tmp_path / "out"), str(tmp_path / "chk"), landing_path=str(tmp_path / "in"),
+                           trigger={"availableNow": True}, mode="staged", stage_path=str(tmp_path / "stage"))
+    q.awaitTermination()
+    assert read_staged_metrics(spark, str(tmp_path / "out")).count() == 2

@@ -155,15 +155,30 @@ def run_metrics_stream(
     fmt: str = "parquet",
     gradient_scope: str = "layer",
     trigger: dict | None = None,
+    mode: str = "stateful",
+    stage_path: str | None = None,
 ) -> StreamingQuery:
     """The whole job in one call: messages from a bus topic (``bootstrap_servers``)
-    or from a JSON-lines landing folder -> hourly metrics appended to
-    ``output_path`` (``fmt`` parquet or delta), checkpointed. Returns the handle."""
+    or from a JSON-lines landing folder -> hourly metrics in ``output_path``,
+    checkpointed. Returns the handle.
+
+    mode="stateful": append-mode stateful aggregation (``fmt`` parquet or delta).
+    mode="staged": ``streaming.staged_stream`` (no per-group state; needs
+    ``stage_path`` on shared storage; profile gradient scope; Parquet output).
+    """
     from thermocline.sources.messages import read_message_stream
 
     if bootstrap_servers:
         raw = read_message_stream(spark, "kafka", bootstrap_servers=bootstrap_servers, topic=topic)
     else:
         raw = read_message_stream(spark, "text", path=landing_path)
+    if mode == "staged":
+        from thermocline.streaming.staged_stream import start_staged_metrics_stream
+
+        if not stage_path:
+            raise ValueError("mode='staged' needs stage_path (a shared folder)")
+        return start_staged_metrics_stream(raw, stage_path, output_path, checkpoint_path, trigger=trigger)
+    if mode != "stateful":
+        raise ValueError(f"mode must be stateful or staged, not {mode!r}")
     metrics = ocean_metrics_from_messages(raw, gradient_scope=gradient_scope)
     return start_append_stream(metrics, output_path, checkpoint_path, fmt=fmt, trigger=trigger)
