@@ -29,6 +29,7 @@ HEADLINE = [
     "ocean_metrics",
     "gradient_qc",
     "profile_positions",
+    "ocean_metrics_location_profiles",
     "hourly_temperature",
     "qc_score_categories",
     "ocean_metrics_stream",

@@ -198,6 +198,14 @@ def ocean_metrics_q(spark, sf_dir):
     return _hourly(spark, sf_dir, None)
 
 
+@query("ocean_metrics_location_profiles")
+def ocean_metrics_location_profiles(spark, sf_dir):
+    """The flagship with the original batch gradient semantics: one profile per
+    location over all time (few, huge profiles; the skew-safe path)."""
+    out = ocean_metrics_batch(FX.readings(spark, sf_dir), gradient_scope="location", skew_safe=True)
+    return rounded(out)
+
+
 # --- air quality ----------------------------------------------------------------
 
 

@@ -269,6 +269,9 @@ def _register_core() -> None:
         f"SELECT window_start, window_end, location, depth_layer, qc_score, quality_category FROM ({full})"
     )
     o["ocean_metrics"] = hourly_sql(None, enrich=enrich_for(list(ALL_AGGS)))
+    o["ocean_metrics_location_profiles"] = hourly_sql(
+        None, enrich=enrich_for(list(ALL_AGGS)), gradient_partition="location"
+    )
     o["ph_global_deviation"] = with_ctes(READINGS, DERIVED) + f"""
 SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS window_start,
        time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour' AS window_end,
