@@ -74,6 +74,12 @@ def with_successor(
         df.repartitionByRange(n, *sort_key)
         .withColumn(_SLICE, F.spark_partition_id())
         .withColumn(_PK, F.struct(*[F.col(k) for k in keys]))
+        # Move each slice whole to a task of its own: slices are equal-sized and
+        # numbered in order, so ranges of slice ids balance where hashing
+        # (key, slice) would pile colliding pieces onto one task. A range on the
+        # slice id also satisfies the window's (key, slice) clustering, so the
+        # window adds no exchange of its own.
+        .repartitionByRange(n, F.col(_SLICE))
     )
     piece = Window.partitionBy(_PK, _SLICE).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     local = ranged.withColumns(
