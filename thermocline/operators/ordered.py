@@ -25,7 +25,8 @@ once as Parquet into the cluster's shared checkpoint folder; the summary and the
 final join both read that copy, and a lost executor re-reads it instead of
 re-sampling.
 
-Cost: range shuffle + hash shuffle on (key, slice) + one columnar write; the
+Cost: range shuffle on the sort key + a second range shuffle on the slice id
+(each slice moves whole to one task, balanced) + one columnar write; the
 corrections side is small. No collect, no cross join, no Python.
 """
 
