@@ -241,3 +241,26 @@ def test_run_metrics_stream_staged_mode(spark, tmp_path):
                            trigger={"availableNow": True}, mode="staged", stage_path=str(tmp_path / "stage"))
     q.awaitTermination()
     assert read_staged_metrics(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_options_missing_null_and_field_override(spark, tmp_path):
+    _write(tmp_path, "obs2/n1/ctd/a.json", '{"data":[{"time":"2024-01-01T00:00:00","platform_code":"p1","depth":"x"}]}')
+    points, _ = parse_observatory_docs(read_landed_text(spark, str(tmp_path / "obs2")), missing="null")
+    r = points.first()
+    assert r["depth"] is None and r["temperature"] is None  # unparsable / absent stay NULL
+    _write(tmp_path, "ov/41001.txt", HEADER + ROW)
+    readings, _ = parse_station_lines(read_landed_lines(spark, str(tmp_path / "ov")), field_for={"salinity": "PRES"})
+    assert readings.first()["salinity"] == 1019.2
+
+
+def test_last_hours_with_datetime(spark):
+    import datetime as dt
+
+    from thermocline.operators.timerange import last_hours
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 2, 0, 0),), (dt.datetime(2024, 1, 1, 0, 0),), (dt.datetime(2024, 1, 2, 0, 0, 1),)],
+        "timestamp timestamp",
+    )
+    got = [r[0] for r in last_hours(df, dt.datetime(2024, 1, 2, 0, 0), 24).orderBy("timestamp").collect()]
+    assert got == [dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 2, 0, 0)]  # both ends inclusive
