@@ -13,6 +13,7 @@ from thermocline.plans.catalog import query, rounded
 from thermocline.schemas import READING_COLUMNS
 from thermocline.sources.combine import source_validity, union_sources
 from thermocline.sources.float_profiles import conform_float, float_list, profiles_of_listed_floats
+from thermocline.sources.landing import file_stem
 from thermocline.sources.messages import message_schema, readings_from_json_map
 from thermocline.sources.observatory_json import (
     conform_observatory,
@@ -75,6 +76,16 @@ def ndbc_station_feed(spark, sf_dir):
     return _out(conform_station(_station(spark, sf_dir)))
 
 
+@query("station_rejects")
+def station_rejects(spark, sf_dir):
+    """Rejected station lines per file and reason (short rows, and the other
+    rows of files that contain one)."""
+    _, rejects = parse_station_lines(FF.station_lines(spark, sf_dir))
+    return rejects.groupBy(file_stem("file").alias("location"), "reason").agg(
+        F.count(F.lit(1)).alias("n_lines")
+    )
+
+
 @query("ndbc_station_list")
 def ndbc_station_list(spark, sf_dir):
     return station_list(FF.station_table_lines(spark, sf_dir))

@@ -72,6 +72,13 @@ STATION_SELECT = "SELECT " + common(
     }
 ) + " FROM readings WHERE user_id % 50 NOT IN (SELECT st FROM bad)"
 ORACLE["ndbc_station_feed"] = R + BAD_STATIONS + STATION_SELECT
+ORACLE["station_rejects"] = R + """,
+bad AS (SELECT DISTINCT user_id % 50 AS st FROM readings WHERE user_id % 50 = 3 AND event_id % 7 = 0)
+SELECT CAST(41000 + user_id % 50 AS VARCHAR) AS location,
+       CASE WHEN user_id % 50 = 3 AND event_id % 7 = 0 THEN 'fewer than 15 fields'
+            ELSE 'file has a short row' END AS reason,
+       count(*) AS n_lines
+FROM readings WHERE user_id % 50 IN (SELECT st FROM bad) GROUP BY 1, 2"""
 ORACLE["ndbc_station_list"] = "SELECT DISTINCT CAST(41000 + user_id % 50 AS VARCHAR) AS station_id FROM events"
 
 OBSERVATORY = R + " SELECT " + common(
