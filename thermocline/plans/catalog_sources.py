@@ -65,6 +65,13 @@ def json_reading_defaults(spark, sf_dir):
     return _out(readings.withColumn("event_id", F.col("event_id").cast("long")))
 
 
+@query("json_reading_rejects")
+def json_reading_rejects(spark, sf_dir):
+    """S14 rejects: messages lacking a required field, counted per reason."""
+    _, rejects = readings_from_json_map(FF.reading_messages(spark, sf_dir, drop_fields=True), keep=["event_id"])
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_messages"))
+
+
 @query("last_24_hours")
 def last_24_hours(spark, sf_dir):
     return _out(last_hours(FX.readings(spark, sf_dir), AS_OF, 24))

@@ -49,6 +49,9 @@ ORACLE["json_reading_defaults"] = R + (
     )
     + " FROM readings WHERE event_id % 97 <> 0"
 )
+ORACLE["json_reading_rejects"] = (
+    "SELECT 'missing temperature' AS reason, count(*) AS n_messages FROM events WHERE event_id % 97 = 0"
+)
 ORACLE["last_24_hours"] = R + (
     f" SELECT {common(extra=('event_id',))} FROM readings"
     f' WHERE "timestamp" >= {AS_OF} - INTERVAL 24 HOUR AND "timestamp" <= {AS_OF}'
