@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermocline.functions.ocean import density, depth_layer, oxygen_saturation
+from thermocline.functions.parsing import parse_json_once
 from thermocline.schemas import READING_MESSAGE_SCHEMA
 
 
@@ -22,7 +23,8 @@ def parse_messages(
     a NULL timestamp (``try_to_timestamp``; plain ``to_timestamp`` raises under
     ANSI). Such rows carry no event time and fall out at windowing.
     """
-    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), schema).alias("data")).select("data.*")
+    text = raw.select(F.col(value_col).cast("string").alias("_v"))
+    parsed = text.select(parse_json_once("_v", schema).alias("data")).select("data.*")
     return parsed.withColumn(time_col, F.try_to_timestamp(F.col(time_col)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from thermocline.functions.parsing import parse_json_once
 from thermocline.schemas import MEASUREMENT_COLUMNS, READING_MESSAGE_SCHEMA
 
 DEFAULT_TOPIC = "environmental-sensors"
@@ -65,24 +66,23 @@ def readings_from_json_map(raw: DataFrame, value_col: str = "value", keep: list[
     text_schema = T.StructType(
         [T.StructField(f, T.StringType()) for f in ["timestamp", "location", *MEASUREMENT_COLUMNS, *keep]]
     )
-    parsed = raw.select(F.col(value_col).cast("string").alias("_raw")).withColumn(
-        "_m", F.from_json("_raw", text_schema)
+    text_cols = ["timestamp", "location", *MEASUREMENT_COLUMNS, *keep]
+    parsed = raw.select(F.col(value_col).cast("string").alias("_raw"))
+    parsed = parsed.select("_raw", parse_json_once("_raw", text_schema).alias("_m")).select(
+        "_raw", *[F.col(f"_m.{c}").alias(f"_t_{c}") for c in text_cols]
     )
-    nums = {c: F.col(f"_m.{c}").try_cast("double") for c in MEASUREMENT_COLUMNS}
+    nums = {c: F.col(f"_t_{c}").try_cast("double") for c in MEASUREMENT_COLUMNS}
     typed = parsed.select(
         "_raw",
-        *[F.col(f"_m.{k}").alias(k) for k in keep],
-        F.try_to_timestamp(F.col("_m.timestamp")).alias("timestamp"),
-        F.col("_m.location").alias("location"),
+        *[F.col(f"_t_{k}").alias(k) for k in keep],
+        F.try_to_timestamp(F.col("_t_timestamp")).alias("timestamp"),
+        F.col("_t_location").alias("location"),
         *[
             (F.coalesce(v, F.lit(DEFAULTED_FIELDS[c])) if c in DEFAULTED_FIELDS else v).alias(c)
             for c, v in nums.items()
         ],
         # a field that is present but not a number is an error, as in the original
-        *[
-            (F.col(f"_m.{c}").isNotNull() & nums[c].isNull()).alias(f"_bad_{c}")
-            for c in MEASUREMENT_COLUMNS
-        ],
+        *[(F.col(f"_t_{c}").isNotNull() & nums[c].isNull()).alias(f"_bad_{c}") for c in MEASUREMENT_COLUMNS],
     )
     reason = F.when(F.col("_raw").isNull() | F.col("timestamp").isNull(), F.lit("missing or bad timestamp"))
     reason = reason.when(F.col("location").isNull(), F.lit("missing location"))
