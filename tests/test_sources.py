@@ -264,3 +264,12 @@ def test_last_hours_with_datetime(spark):
     )
     got = [r[0] for r in last_hours(df, dt.datetime(2024, 1, 2, 0, 0), 24).orderBy("timestamp").collect()]
     assert got == [dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 2, 0, 0)]  # both ends inclusive
+
+
+def test_kafka_source_is_wired(spark):
+    """The bus source is a format argument; without the Kafka package the error
+    names the missing source (with it, the same call subscribes from earliest)."""
+    from thermocline.sources.messages import read_message_stream
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_message_stream(spark, "kafka", bootstrap_servers="localhost:9092")
