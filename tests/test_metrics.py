@@ -91,3 +91,13 @@ def test_gradient_scopes_match_brute_force(spark, scope, keys):
     )
     cols = ["window_start", "location", "depth_layer", "gradient_qc_failures"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, brute.select(*cols).collect()))
+
+
+def test_narrow_gradient_equals_wide(spark):
+    r = FX.readings(spark, MEDIUM)
+    narrow = ocean_metrics_batch(r, narrow_gradient=True)
+    wide = ocean_metrics_batch(r, narrow_gradient=False)
+    assert narrow.columns == wide.columns
+    from thermocline.plans.catalog import rounded
+
+    assert sorted(map(tuple, rounded(narrow).collect())) == sorted(map(tuple, rounded(wide).collect()))

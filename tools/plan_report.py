@@ -89,9 +89,10 @@ def main() -> None:
     print("Counts are of the executed plan of each registered batch query; jobs a query runs")
     print("while being built (the profile-size check, the pinned slices) are not included.\n")
     print("Reading notes:")
-    print("* `ocean_metrics` (flagship): one hash shuffle on (hour, location) feeds both the profile")
-    print("  window and the per-layer aggregate, which reuses that partitioning (partial and final")
-    print("  aggregate in one stage).")
+    print("* `ocean_metrics` (flagship): the statistics are a partial + final aggregate (only partials")
+    print("  move); the gradient check runs its profile window on a 6-column projection shuffled on")
+    print("  (hour, location) and counts failures reusing that partitioning; the two aggregated")
+    print("  results are joined.")
     print("* `profile_positions` takes the skew-safe path: the range shuffle and the window run in the")
     print("  job that pins the slices; this plan reads the pinned Parquet, builds the per-slice summary")
     print("  (two small shuffles) and broadcasts only boundary corrections (at most 2 x #slices rows).")
