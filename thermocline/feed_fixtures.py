@@ -153,6 +153,7 @@ def float_profile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def float_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, line_no, line): the float list, one distinct float id per line."""
     r = _readings_plus(spark, sf_dir)
     ids = r.select("location").distinct()
     return ids.select(

@@ -14,6 +14,7 @@ from thermocline.session import ensure_utc
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given ``events`` table of a scale-factor folder."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 

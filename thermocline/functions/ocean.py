@@ -14,6 +14,7 @@ from thermocline import thresholds as TH
 
 
 def col_of(c: str | Column) -> Column:
+    """A column name or a Column, as a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 

@@ -169,4 +169,5 @@ def plan_slices(
 
 
 def needs_slicing(df: DataFrame, keys: Sequence[str], **kw) -> bool:
+    """Whether ``plan_slices`` would slice (see there)."""
     return plan_slices(df, keys, **kw) is not None

@@ -12,6 +12,7 @@ ORACLE: dict[str, str] = {}
 
 
 def r7(expr: str) -> str:
+    """Round to 7 decimals with the same IEEE steps as the Spark side."""
     return f"(floor(({expr}) * 1e7 + 0.5) / 1e7)"
 
 
@@ -78,6 +79,8 @@ flagged AS (
 
 
 def gradient_cte(bucket: str = "1 hour", partition: str = "w, location", name: str = "graded") -> str:
+    """Rows with next depth/values along each profile (``partition``) and the
+    three gradient flags, as plain SQL window functions."""
     over = f"OVER (PARTITION BY {partition} ORDER BY depth NULLS FIRST, \"timestamp\" NULLS FIRST, event_id)"
     return f"""
 {name} AS (
@@ -100,6 +103,7 @@ def gradient_cte(bucket: str = "1 hour", partition: str = "w, location", name: s
 
 
 def with_ctes(*ctes: str) -> str:
+    """WITH clause of the given CTE bodies."""
     return "WITH " + ",".join(ctes)
 
 
@@ -107,6 +111,7 @@ BASE = with_ctes(READINGS, DERIVED, FLAGGED)
 
 
 def fails(flag: str) -> str:
+    """Count of 'fail' values of a flag column, as BIGINT."""
     return f"CAST(sum(CASE WHEN {flag} = 'fail' THEN 1 ELSE 0 END) AS BIGINT)"
 
 
@@ -180,6 +185,7 @@ def hourly_sql(
     gradient_partition: str = "w, location",
     where: str = "",
 ) -> str:
+    """Per (bucket, location, layer) statistics with optional E1-E5 columns."""
     metrics = list(metrics or ALL_AGGS)
     ctes = [READINGS, DERIVED, FLAGGED, gradient_cte(bucket, gradient_partition)]
     ctes.append(
@@ -216,6 +222,7 @@ agg AS (
 
 
 def enrich_for(metrics: list[str]) -> list[str]:
+    """E1-E5 outputs computable from ``metrics``, in output order."""
     have = set(metrics)
     out = [e for e, (need, _) in ENRICH.items() if set(need) <= have]
     if "qc_score" in out:

@@ -43,4 +43,5 @@ def validity(name: str, native: DataFrame) -> DataFrame:
 
 
 def source_validity(natives: dict[str, DataFrame]) -> DataFrame:
+    """One ``validity`` row per named native frame."""
     return reduce(lambda a, b: a.unionByName(b), [validity(n, df) for n, df in natives.items()])

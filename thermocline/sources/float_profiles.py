@@ -27,6 +27,7 @@ def read_float_profiles(spark: SparkSession, path: str, fmt: str = "parquet") ->
 
 
 def profiles_of_listed_floats(profiles: DataFrame, floats: DataFrame) -> DataFrame:
+    """Profile rows of floats in the list (left-semi join; the list is small)."""
     return profiles.join(floats.distinct(), "float_id", "left_semi")
 
 

@@ -28,6 +28,7 @@ def landed_lines(text: DataFrame) -> DataFrame:
 
 
 def read_landed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, line) for every file under ``path``."""
     return landed_lines(read_landed_text(spark, path))
 
 

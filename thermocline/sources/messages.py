@@ -46,6 +46,7 @@ def read_message_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def message_schema(extra: T.StructType | None = None, base: T.StructType = READING_MESSAGE_SCHEMA) -> T.StructType:
+    """The reading message schema with ``extra`` fields appended."""
     return T.StructType(base.fields + (extra.fields if extra else []))
 
 

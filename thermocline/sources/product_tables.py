@@ -29,6 +29,7 @@ def read_products(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def products_of_catalogue(products: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Product rows of catalogued datasets (left-semi join on the dataset id)."""
     return products.join(
         datasets.select(F.col("dataset_id").alias("dataset")).distinct(), "dataset", "left_semi"
     )

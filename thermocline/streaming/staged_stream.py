@@ -139,4 +139,5 @@ def start_staged_metrics_stream(
 
 
 def read_staged_metrics(spark, sink_path: str) -> DataFrame:
+    """The staged stream's output table without its partition columns."""
     return spark.read.parquet(sink_path).drop("window_date", _BATCH)
