@@ -166,8 +166,3 @@ def plan_slices(
     if biggest <= max(min_rows, share * total / parts):
         return None
     return min(max(parts, -(-total // rows_per_slice)), max(parts, max_slices))
-
-
-def needs_slicing(df: DataFrame, keys: Sequence[str], **kw) -> bool:
-    """Whether ``plan_slices`` would slice (see there)."""
-    return plan_slices(df, keys, **kw) is not None

@@ -65,13 +65,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return scratch
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, label: str = "pinned") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it
     back: cuts lineage like ``checkpoint()``, but columnar and compressed, so

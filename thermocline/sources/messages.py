@@ -40,11 +40,6 @@ def read_message_stream(
     return reader.load(path)
 
 
-def read_message_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Batch twin of ``read_message_stream`` for a folder of JSON lines."""
-    return spark.read.text(path)
-
-
 def message_schema(extra: T.StructType | None = None, base: T.StructType = READING_MESSAGE_SCHEMA) -> T.StructType:
     """The reading message schema with ``extra`` fields appended."""
     return T.StructType(base.fields + (extra.fields if extra else []))
