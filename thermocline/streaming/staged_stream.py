@@ -45,6 +45,17 @@ def _interval(text: str):
     return F.expr(f"INTERVAL {text}")
 
 
+def _watermark_micros(progress: DataFrame, delay: str):
+    """Largest event time in ``progress`` minus the delay, as epoch microseconds
+    (an integer, so no time zone is involved on the way through the driver)."""
+    row = progress.agg(F.unix_micros(F.max("max_event_time") - _interval(delay)).alias("wm")).first()
+    return row["wm"] if row else None
+
+
+def _at(micros: int):
+    return F.timestamp_micros(F.lit(micros))
+
+
 def _previous_watermark(spark, progress_path: str, batch_id: int, delay: str):
     """Watermark in force before ``batch_id``: largest event time of earlier
     batches minus the delay (None before any data)."""
@@ -52,10 +63,7 @@ def _previous_watermark(spark, progress_path: str, batch_id: int, delay: str):
         progress = spark.read.schema(PROGRESS_SCHEMA).parquet(progress_path)
     except Exception:  # nothing landed yet (path absent)
         return None
-    row = progress.filter(F.col(_BATCH) < batch_id).agg(
-        (F.max("max_event_time") - _interval(delay)).alias("wm")
-    ).first()
-    return row["wm"] if row else None
+    return _watermark_micros(progress.filter(F.col(_BATCH) < batch_id), delay)
 
 
 def _overwrite_own_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
@@ -88,7 +96,7 @@ def process_batch(
     )
     landed = landed.withColumn(_WDATE, F.to_date("_wstart"))
     if prev is not None:
-        landed = landed.filter(F.col("_wend") > F.lit(prev))  # late: window already emitted
+        landed = landed.filter(F.col("_wend") > _at(prev))  # late: window already emitted
     _overwrite_own_partitions(landed, rows_path, _WDATE, _BATCH)
 
     batch_max = batch.agg(F.max("timestamp").alias("m")).first()["m"]
@@ -97,17 +105,17 @@ def process_batch(
     _overwrite_own_partitions(progress, progress_path, _BATCH)
 
     latest = spark.read.schema(PROGRESS_SCHEMA).parquet(progress_path).filter(F.col(_BATCH) <= batch_id)
-    now = latest.agg((F.max("max_event_time") - _interval(delay)).alias("wm")).first()["wm"]
+    now = _watermark_micros(latest, delay)
     if now is None or (prev is not None and now <= prev):
         return
-    closing = F.col("_wend") <= F.lit(now)
-    date_hi = F.to_date(F.lit(now))
+    closing = F.col("_wend") <= _at(now)
+    date_hi = F.to_date(_at(now))
     staged = spark.read.parquet(rows_path).filter(F.col(_WDATE) <= date_hi)
     if prev is not None:
         # windows ending after the previous watermark start no earlier than one
         # window length before it
-        date_lo = F.to_date(F.lit(prev) - _interval(duration))
-        staged = staged.filter((F.col(_WDATE) >= date_lo) & (F.col("_wend") > F.lit(prev)))
+        date_lo = F.to_date(_at(prev) - _interval(duration))
+        staged = staged.filter((F.col(_WDATE) >= date_lo) & (F.col("_wend") > _at(prev)))
     staged = staged.filter(closing).drop("_wstart", "_wend", _WDATE, _BATCH)
     metrics = ocean_metrics_batch(staged, duration, gradient_scope=gradient_scope)
     out = metrics.withColumns({"window_date": F.to_date("window_start"), _BATCH: F.lit(batch_id).cast("long")})
