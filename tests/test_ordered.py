@@ -106,3 +106,27 @@ def test_successor_property(spark, rows, slices):
     slow = with_successor_window(df, keys, order, carry, position_col="pos")
     cols = ["event_id", "next_depth", "next_temperature", "pos"]
     assert sorted(map(tuple, fast.select(*cols).collect())) == sorted(map(tuple, slow.select(*cols).collect()))
+
+
+_rows2 = st.lists(
+    st.tuples(
+        st.sampled_from([0, 1, None]),  # first key (e.g. hour)
+        st.sampled_from(["a", "b", None]),  # second key (e.g. location)
+        st.one_of(st.none(), st.integers(0, 3).map(float)),
+        st.floats(-5, 5, allow_nan=False),
+    ),
+    min_size=1,
+    max_size=50,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_rows2, slices=st.integers(2, 6))
+def test_successor_property_two_keys(spark, rows, slices):
+    data = [(i, h, k, d, v) for i, (h, k, d, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "event_id long, hour int, location string, depth double, temperature double")
+    keys, order, carry = ["hour", "location"], ["depth", "event_id"], ["temperature"]
+    fast = with_successor(df, keys, order, carry, position_col="pos", num_slices=slices)
+    slow = with_successor_window(df, keys, order, carry, position_col="pos")
+    cols = ["event_id", "next_temperature", "pos"]
+    assert sorted(map(tuple, fast.select(*cols).collect())) == sorted(map(tuple, slow.select(*cols).collect()))
