@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
 
@@ -30,3 +33,8 @@ def query(name: str, sql: str | None = None):
 )
 def op6(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_byte_bpe")
+def op3(spark, sf_dir):
+    return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
