@@ -7,6 +7,7 @@ import public_tokenizers
 from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
+from thermocline.llm.packing import pack_documents
 
 QUERIES = {}
 ORACLE = {}
@@ -38,3 +39,8 @@ def op6(spark, sf_dir):
 @query("op3_byte_bpe")
 def op3(spark, sf_dir):
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op8_packing")
+def op8(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
