@@ -8,6 +8,7 @@ from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
 from thermocline.llm.packing import pack_documents
+from thermocline.llm.toxicity import score_documents
 
 QUERIES = {}
 ORACLE = {}
@@ -44,3 +45,8 @@ def op3(spark, sf_dir):
 @query("op8_packing")
 def op8(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
