@@ -9,6 +9,7 @@ from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
 from thermocline.llm.packing import pack_documents
 from thermocline.llm.toxicity import score_documents
+from thermocline.llm.url_filter import judge_urls
 
 QUERIES = {}
 ORACLE = {}
@@ -50,3 +51,8 @@ def op8(spark, sf_dir):
 @query("op2_toxicity")
 def op2(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_url_filter")
+def op5(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"))
