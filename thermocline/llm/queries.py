@@ -8,6 +8,7 @@ from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
 from thermocline.llm.packing import pack_documents
+from thermocline.llm.secret_scan import scan
 from thermocline.llm.toxicity import score_documents
 from thermocline.llm.url_filter import judge_urls
 
@@ -56,3 +57,8 @@ def op2(spark, sf_dir):
 @query("op5_url_filter")
 def op5(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op1_secret_scan")
+def op1(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))
