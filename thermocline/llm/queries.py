@@ -11,6 +11,7 @@ from thermocline.llm.packing import pack_documents
 from thermocline.llm.secret_scan import scan
 from thermocline.llm.toxicity import score_documents
 from thermocline.llm.url_filter import judge_urls
+from thermocline.llm.vector_dedup import near_duplicate_vectors
 
 QUERIES = {}
 ORACLE = {}
@@ -62,3 +63,25 @@ def op5(spark, sf_dir):
 @query("op1_secret_scan")
 def op1(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op10_vector_dedup",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    ), n AS (
+        SELECT vec_id, [x / sqrt(list_dot_product(e, e)) FOR x IN e] AS u FROM v
+        WHERE len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND list_dot_product(e, e) > 0
+    ), link AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND list_dot_product(a.u, b.u) >= 0.9
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+    ), c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+    ), d AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+    SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+    FROM c LEFT JOIN d USING (vec_id)
+    """,
+)
+def op10(spark, sf_dir):
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
