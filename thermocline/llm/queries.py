@@ -7,6 +7,7 @@ import public_tokenizers
 from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
+from thermocline.llm.ngram_join import ngram_components
 from thermocline.llm.packing import pack_documents
 from thermocline.llm.secret_scan import scan
 from thermocline.llm.toxicity import score_documents
@@ -85,3 +86,8 @@ def op1(spark, sf_dir):
 )
 def op10(spark, sf_dir):
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_ngram_join")
+def op7(spark, sf_dir):
+    return ngram_components(table(spark, sf_dir, "documents"))
