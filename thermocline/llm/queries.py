@@ -10,6 +10,7 @@ from thermocline.llm.exact_dedup import exact_duplicates
 from thermocline.llm.ngram_join import ngram_components
 from thermocline.llm.packing import pack_documents
 from thermocline.llm.secret_scan import scan
+from thermocline.llm.substring_dedup import repeated_paragraphs
 from thermocline.llm.toxicity import score_documents
 from thermocline.llm.url_filter import judge_urls
 from thermocline.llm.vector_dedup import near_duplicate_vectors
@@ -91,3 +92,8 @@ def op10(spark, sf_dir):
 @query("op7_ngram_join")
 def op7(spark, sf_dir):
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def op4(spark, sf_dir):
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
