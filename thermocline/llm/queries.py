@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from thermocline.llm import language_model
 from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
@@ -97,3 +98,8 @@ def op7(spark, sf_dir):
 @query("op4_substring_dedup")
 def op4(spark, sf_dir):
     return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_model")
+def op9(spark, sf_dir):
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
