@@ -41,7 +41,9 @@ from thermocline.session import materialize
 DEPTH = 5
 #: Bytes of text in a block, on average.
 BLOCK_BYTES = 32 << 20
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Keys that are gathered before they are summed up again.
+MERGE_KEYS = 1_000_000
 #: Grams whose trees one task works out.
 TREE_GRAMS = 200_000
 GRAM, WORD, TOTAL = 0, 1, 2
@@ -80,25 +82,35 @@ def _chunks(texts: list[str]):
         at = stop
 
 
-def _distinct(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and how often each stands where ``learn`` is true."""
-    key, trained = np.unique(keys), np.sort(keys[learn])
-    return key, np.searchsorted(trained, key, "right") - np.searchsorted(trained, key)
+class Counts:
+    """Sorted distinct keys with counts, summed up whenever MERGE_KEYS have come."""
 
+    def __init__(self):
+        self.parts, self.waiting = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return key, np.bincount(at, np.concatenate([n for _, n in parts]), minlength=len(key)).astype(np.int64)
+    def add(self, keys: np.ndarray, learn: np.ndarray) -> None:
+        key, trained = np.unique(keys), np.sort(keys[learn])
+        self.parts.append((key, np.searchsorted(trained, key, "right") - np.searchsorted(trained, key)))
+        self.waiting += len(key)
+        if self.waiting > MERGE_KEYS:
+            self.parts, self.waiting = [self.summed()], 0
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        key = np.concatenate([k for k, _ in self.parts])
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], np.concatenate([n for _, n in self.parts])[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+        return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _count_block(block: int, ids: list, texts: list[str]) -> pa.RecordBatch:
     """block, kind, key, n: training count of each distinct gram and word of a block, and its training texts."""
-    learn, grams, words = np.array([not is_held_out(i) for i in ids]), [], []
+    learn, grams, words = np.array([not is_held_out(i) for i in ids]), Counts(), Counts()
     for at, lengths, keys, counts, hashes in _chunks(texts):
         own = learn[at : at + len(lengths)]
-        grams.append(_distinct(keys, np.repeat(own, lengths)))
-        words.append(_distinct(hashes, np.repeat(own, counts)))
-    parts = [(GRAM, *_merged(grams)), (WORD, *_merged(words)), (TOTAL, np.zeros(1, np.int64), np.array([learn.sum()], np.int64))]
+        grams.add(keys, np.repeat(own, lengths))
+        words.add(hashes, np.repeat(own, counts))
+    parts = [(GRAM, *grams.summed()), (WORD, *words.summed()), (TOTAL, np.zeros(1, np.int64), np.array([learn.sum()], np.int64))]
     columns = [
         pa.array(np.full(sum(len(k) for _, k, _ in parts), block), pa.int64()),
         pa.array(np.concatenate([np.full(len(k), kind) for kind, k, _ in parts]), pa.int32()),

@@ -13,7 +13,7 @@ class WordHashes(dict):
     """64-bit hashes of words, each worked out once (emptied when it has grown large)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 600_000:
+        if len(self) > 250_000:
             self.clear()
         h = xxhash.xxh3_64_intdigest(word)
         if len(word) <= 64:
