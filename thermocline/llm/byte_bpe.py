@@ -25,7 +25,7 @@ from thermocline.llm.common import id_and_text
 
 NO_PAIR = 1 << 60
 #: Entries of the two per-process caches (pieces between spaces, matches); a full cache is emptied.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -30,7 +30,7 @@ CAPACITY = 4096
 END_ID = 2
 GROUP_DOCS = 2048
 MAX_PADDING = 64
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 500_000
 
 
 class WordIds:

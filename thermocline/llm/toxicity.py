@@ -69,7 +69,7 @@ class Words(dict):
         return any(word[:n] in self.learned for n in range(STEM[0], min(len(word), STEM[1]) + 1))
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 800_000:
+        if len(self) > 400_000:
             self.clear()
         low, flags = bare(word), 0
         if low in INSULTS:
