@@ -9,7 +9,7 @@ import pytest
 
 from thermocline.llm.ngram_join import keep_one_of_each, ngram_components
 from thermocline.llm.queries import QUERIES
-from thermocline.llm.set_join import CountTree, connect, similar
+from thermocline.llm.set_join import CountTree, _vectors, candidates, point, similar
 
 
 def shingles(text):
@@ -91,8 +91,9 @@ def test_tree_finds_all_similar_sets():
     pool = rng.integers(-(2**63), 2**63 - 1, 400)
     sets = [np.unique(rng.choice(pool[a : a + 120], rng.integers(1, 110))) for a in rng.integers(0, 280, 200)]
     sets += [np.unique(np.concatenate([s[: int(0.9 * len(s)) + 1], rng.choice(pool, 3)])) for s in sets]
-    tree = CountTree(sets)
+    counts, sizes = _vectors([point(s) for s in sets]), np.array([len(s) for s in sets])
+    tree = CountTree(counts, sizes)
     for i, s in enumerate(sets):
-        assert {j for j, t in enumerate(sets) if similar(s, t)} <= set(tree.search(tree.counts[i], len(s)).tolist())
-    linked = connect(list(range(len(sets))), sets, [False] * len(sets))
-    assert len(linked) >= 150 and all(similar(sets[a], sets[b]) for a, b in linked)
+        assert {j for j, t in enumerate(sets) if similar(s, t)} <= set(tree.search(counts[i], sizes[i]).tolist())
+    pairs = candidates(np.arange(len(sets)), sizes, counts, np.arange(len(sets)) // 3)
+    assert {(i, j) for i in range(len(sets)) for j in range(i) if i // 3 != j // 3 and similar(sets[i], sets[j])} <= set(pairs)

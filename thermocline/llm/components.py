@@ -38,23 +38,3 @@ def components(edges: DataFrame) -> DataFrame:
         if state == old:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
-
-class Groups:
-    """Union-find over the positions 0..n-1 of one task's rows."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, x: int) -> int:
-        p = self.parent
-        while p[x] != x:
-            p[x] = p[p[x]]
-            x = p[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        """Whether this brought two groups together."""
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-        return a != b

@@ -22,41 +22,35 @@ from pyspark.sql import functions as F
 
 from thermocline.llm.common import id_and_text
 from thermocline.llm.components import components
-from thermocline.llm.set_join import HOT, groups_of, links
+from thermocline.llm.set_join import HOT, groups_of, links, point
 from thermocline.llm.shingles import set_digest, shingle_set
 from thermocline.session import materialize
 
 
 def _describe(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, n_shingles, node and check of every row; node and check are null for empty sets."""
-
-    def run(batches):
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), seed) for t in batch.column("text")]
-            digests = [set_digest(s) if len(s) else (None, None) for s in sets]
-            columns = [pa.array([len(s) for s in sets], pa.int64()), *[pa.array([d[k] for d in digests], pa.int64()) for k in (0, 1)]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "n_shingles", "node", "check"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, check long")
-
-
-def _keys(docs: DataFrame, seed: int) -> DataFrame:
-    """(key, node): the keys of every set; a set that a task has had is not repeated."""
+    """doc_id, n, node, check, counts (the node's point) and keys of every row; node and check are null for empty
+    sets, counts and keys also where the task has had the set already."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            keys, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for t in batch.column("text"):
-                s = shingle_set(t.as_py(), seed)
-                n = len(s)
-                if n and (node := set_digest(s)[0]) not in seen:
-                    seen.add(node)
-                    keys.append(s[: n - (3 * n + 3) // 4 + 1].view(np.int64))
-                    nodes.append(np.full(len(keys[-1]), node, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
-
-    return docs.mapInArrow(run, "key long, node long")
+            for at in range(0, batch.num_rows, 512):
+                part, out = batch.slice(at, 512), []
+                for t in part.column("text").to_pylist():
+                    s = shingle_set(t, seed)
+                    n = len(s)
+                    node, check = set_digest(s) if n else (None, None)
+                    if n and node not in seen:
+                        seen.add(node)
+                        own = s.view(np.int64)
+                        out.append((n, node, check, point(own), own[: n - (3 * n + 3) // 4 + 1]))
+                    else:
+                        out.append((n, node, check, None, None))
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n", "node", "check", "counts", "keys"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, node long, check long, counts binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
@@ -87,16 +81,21 @@ def ngram_components(docs: DataFrame, hot: int = HOT) -> DataFrame:
         if nodes.where("c <> d").isEmpty():
             break
         seed += 1
-    groups = groups_of(_keys(docs, seed))
+    groups = groups_of(rows.select(F.explode("keys").alias("key"), "node"))
     active = groups.select("node").distinct()
-    wanted = nodes.join(active, "node").groupBy(F.col("least_id").alias("doc_id")).agg(F.collect_set("node").alias("nodes"))  # the sets of one doc_id's rows
-    sets = materialize(_sets(docs, materialize(wanted, "sets-wanted"), seed).dropDuplicates(["node"]), "set-elements")
-    roots = materialize(components(materialize(links(groups, sets, hot), "set-links")), "set-roots")
+    points = rows.where("counts is not null").join(active, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("counts").alias("counts"))
+    points = materialize(points, "set-points")
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        homes = nodes.join(wanted, "node").groupBy(F.col("least_id").alias("doc_id")).agg(F.collect_set("node").alias("nodes"))  # the sets of one doc_id's rows
+        return _sets(docs, materialize(homes, "sets-wanted"), seed).dropDuplicates(["node"])
+
+    roots = materialize(components(materialize(links(groups, points, fetch, hot), "set-links")), "set-roots")
     placed = materialize(nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "sets-placed")
     ids = materialize(placed.groupBy("root").agg(F.min("least_id").alias("component_id")), "set-components")
     of_node = materialize(placed.join(ids, "root").select("node", "component_id"), "set-results")
-    own = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return rows.where("node is not null").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(own)
+    own = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return rows.where("node is not null").join(of_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(own)
 
 
 def keep_one_of_each(docs: DataFrame, hot: int = HOT) -> DataFrame:

@@ -2,33 +2,37 @@
 
 Input are rows (key, node): two nodes with similar sets are known to share a key. Rows are
 sorted by key over the cluster, a frequent key over several tasks, and each node is put
-into the group of the smallest node that it shares a key with. Within a group, nodes are
-points of a count-vector R-tree: the elements of a set are hashed into GROUPS groups, whose
-counts are the coordinates. The sum of the coordinate minima of a query and of a box's upper
-corner bounds the overlap with every set in the box; sets that the bound leaves are compared
-exactly. Links within what is connected already are not looked for, so that many copies of one
-another give one link each.
-
-A group of more than HOT nodes is not one task's work. Its nodes are first compared with the
-group's first node, a row each; those linked with it are connected. Only the others still need
-all: the group's nodes are dealt into blocks of one size class each (boxes of the top level,
-in the coordinate of the sum), and blocks of which one holds such a node and whose sizes can
-match are joined in a task each.
+into the group of the smallest node that it shares a key with. A set is a point: its
+elements are hashed into GROUPS groups, whose counts are the coordinates. The sum of the
+coordinate minima of two points bounds the overlap of their sets, and that of a point and of
+a box's upper corner bounds it for all points in the box: a count-vector R-tree. Only points,
+not sets, go through the groups; pairs that the bound leaves are compared exactly.
+
+Each node is compared with its groups' first nodes, a row each, which connects copies of one
+another by one link each. Pairs of other nodes of a group are then looked for in its R-tree,
+unless they are connected already. A group of more than HOT nodes is dealt into blocks of one
+size class each (boxes of the top level, in the coordinate of the sum); blocks of which one
+holds a node that is not connected with the group's first, and whose sizes can match, are
+searched in a task each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermocline.llm.components import Groups
+from thermocline.llm.components import components
 from thermocline.llm.shingles import enough
 from thermocline.session import materialize
 
-GROUPS = 64
+GROUPS = 256
+#: A count that stands for itself and all larger ones.
+MOST = 65535
 LEAF = 16
 HOT = 512
 
@@ -71,14 +75,23 @@ def groups_of(keyed: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select("center", F.col("center").alias("node")).distinct())
 
 
+def point(elements: np.ndarray) -> bytes:
+    """Count vector of a set, as 16-bit integers."""
+    return np.minimum(np.bincount((elements >> 56) & (GROUPS - 1), minlength=GROUPS), MOST).astype("<u2").tobytes()
+
+
+def _vectors(points) -> np.ndarray:
+    counts = np.frombuffer(b"".join(points), "<u2").reshape(-1, GROUPS).astype(np.int64)
+    counts[counts == MOST] = 1 << 40
+    return counts
+
+
 class CountTree:
     """R-tree over count vectors, bulk-loaded in order of the sets' sizes; LEAF children to a box."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        counts = np.array([np.bincount((s >> 58) & (GROUPS - 1), minlength=GROUPS) for s in sets], np.int64).reshape(-1, GROUPS)
-        self.size = np.array([len(s) for s in sets], np.int64)
-        self.counts, self.order = counts, np.argsort(self.size, kind="stable")
-        corner, low, high = counts[self.order], self.size[self.order], self.size[self.order]
+    def __init__(self, counts: np.ndarray, sizes: np.ndarray):
+        self.order = np.argsort(sizes, kind="stable")
+        corner, low, high = counts[self.order], sizes[self.order], sizes[self.order]
         self.levels = []  # from the points up: upper corners, least and greatest size
         while True:
             self.levels.append((corner, low, high))
@@ -93,9 +106,9 @@ class CountTree:
         at = np.arange(len(self.levels[top][0]))
         for level in range(top, -1, -1):
             corner, low, high = self.levels[level]
-            bound = np.minimum(corner[at], counts).sum(axis=1)
+            at = at[(4 * high[at] >= 3 * size) & (3 * low[at] <= 4 * size)]
             # similar: 7 * overlap >= 3 * (both sizes)
-            at = at[(7 * bound >= 3 * (size + low[at])) & (4 * high[at] >= 3 * size) & (3 * low[at] <= 4 * size)]
+            at = at[7 * np.minimum(corner[at], counts).sum(axis=1) >= 3 * (size + low[at])]
             if level:
                 below = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
                 at = below[below < len(self.levels[level - 1][0])]
@@ -106,60 +119,92 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
 
 
-def connect(nodes: list[int], sets: list[np.ndarray], linked: list[bool]) -> list[tuple[int, int]]:
-    """Links that connect what is connected among ``nodes``; the linked ones are connected already."""
-    tree, groups, out = CountTree(sets), Groups(len(nodes)), []
-    known = [k for k, x in enumerate(linked) if x]
-    for k in known[1:]:
-        groups.join(known[0], k)
+def candidates(nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, roots: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of nodes of different roots that the bound leaves."""
+    tree, out = CountTree(counts, sizes), []
     for i in range(len(nodes)):
-        if linked[i]:
-            continue
-        for j in tree.search(tree.counts[i], tree.size[i]).tolist():
-            if (j < i or linked[j]) and groups.find(i) != groups.find(j) and similar(sets[i], sets[j]):
-                groups.join(i, j)
-                out.append((nodes[i], nodes[j]))
+        found = tree.search(counts[i], sizes[i])
+        found = found[(nodes[found] < nodes[i]) & (roots[found] != roots[i])]
+        out += [(int(nodes[i]), int(j)) for j in nodes[found]]
     return out
 
 
-def _connect_group(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _search_group(key, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.drop_duplicates("node")
-    out = connect(rows["node"].tolist(), [np.asarray(s, np.int64) for s in rows["elements"]], rows["linked"].tolist())
+    out = candidates(rows["node"].to_numpy(), rows["n"].to_numpy(), _vectors(rows["counts"]), rows["root"].to_numpy())
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _compare(batches):
+def _bounded(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            part = batch.slice(at, 2048)
+            n, m = part.column("n").to_numpy(), part.column("m").to_numpy()
+            most = np.minimum(_vectors(part.column("counts").to_pylist()), _vectors(part.column("others").to_pylist())).sum(axis=1)
+            keep = (7 * most >= 3 * (n + m)) & (4 * n >= 3 * m) & (4 * m >= 3 * n)
+            yield part.select(["center", "node"]).filter(pa.array(keep))
+
+
+def _compared(batches):
     for batch in batches:
-        pairs = zip(batch.column("elements").to_pylist(), batch.column("other").to_pylist(), strict=True)
-        same = [similar(np.array(a, np.int64), np.array(b, np.int64)) for a, b in pairs]
-        yield pa.RecordBatch.from_arrays([batch.column("center"), batch.column("node"), pa.array(same, pa.bool_())], names=["center", "node", "linked"])
-
-
-def links(groups: DataFrame, sets: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b): links that connect all nodes with similar sets, from ``groups`` (center, node) and ``sets``
-    (node, elements: distinct longs)."""
-    sizes = materialize(groups.groupBy("center").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
-    members = materialize(groups.join(sizes, "center"), "group-members")
-    few = members.where(F.col("size") <= hot).select("center", "node", F.lit(False).alias("linked")).join(sets, "node")
-    found = few.groupBy("center").applyInPandas(_connect_group, "a long, b long")
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            pairs = zip(part.column("elements"), part.column("others"), strict=True)
+            same = [similar(x.values.to_numpy(), y.values.to_numpy()) for x, y in pairs]
+            yield part.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+
+def _compare(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar."""
+    one, two = sets.select(F.col("node").alias("a"), "elements"), sets.select(F.col("node").alias("b"), F.col("elements").alias("others"))
+    return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "elements", "others").mapInArrow(_compared, "a long, b long"), label)
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
+    own = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(own, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def _searched(members: DataFrame, hot: int) -> DataFrame:
+    """(a, b): pairs that the groups' R-trees leave, from rows (center, node, n, counts, root, main, size)."""
+    found = members.where(F.col("size") <= hot).groupBy("center").applyInPandas(_search_group, "a long, b long")
     many = members.where(F.col("size") > hot)
     if many.isEmpty():
         return found
-    star = many.where("node <> center").select("center", "node").join(sets, "node").join(sets.select(F.col("node").alias("center"), F.col("elements").alias("other")), "center")
-    star = materialize(star.select("center", "node", "elements", "other").mapInArrow(_compare, "center long, node long, linked boolean"), "group-stars")
-    found = found.unionByName(star.where("linked").select(F.col("center").alias("a"), F.col("node").alias("b")))
-    state = star.unionByName(many.where("node = center").select("center", "node", F.lit(True).alias("linked")))
-    counts = materialize(sets.join(many.select("node").distinct(), "node", "left_semi").select("node", F.size("elements").alias("n")), "group-node-sizes")
     # a size class spans a factor of 4/3: similar sets are in the same or in neighbouring classes
-    placed = state.join(counts, "node").withColumn("class", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + 1e-9))
-    fill = materialize(placed.groupBy("center", "class").agg(F.ceil(F.count(F.lit(1)) / hot).alias("parts")), "group-classes")
-    placed = materialize(placed.join(fill, ["center", "class"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))), "group-placed")
-    blocks = placed.groupBy("center", "class", "part").agg(F.max((~F.col("linked")).cast("int")).alias("open"))
-    blocks = materialize(blocks.withColumn("block", F.col("class") * F.lit(1 << 32) + F.col("part")), "group-blocks")
-    one, two = blocks.select("center", "class", "block", "open"), blocks.select("center", F.col("class").alias("class_b"), F.col("block").alias("block_b"), F.col("open").alias("open_b"))
-    met = one.join(two, "center").where("block <= block_b AND class_b - class <= 1 AND (open = 1 OR open_b = 1)").select("center", "block", "block_b")
-    ends = met.select("center", "block", "block_b", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("mine"))
-    ends = materialize(ends, "group-block-pairs")
-    rows = placed.select("center", (F.col("class") * F.lit(1 << 32) + F.col("part")).alias("mine"), "node", "linked").join(ends, ["center", "mine"])
-    blockwise = rows.join(sets, "node").groupBy("center", "block", "block_b").applyInPandas(_connect_group, "a long, b long")
-    return found.unionByName(blockwise)
+    many = many.withColumn("class", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + 1e-9))
+    fill = materialize(many.groupBy("center", "class").agg(F.ceil(F.count(F.lit(1)) / hot).alias("parts")), "group-classes")
+    placed = many.join(fill, ["center", "class"]).withColumn("mine", F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = materialize(placed.select("center", "class", "mine", "node", "n", "counts", "root", "main"), "group-placed")
+    blocks = materialize(placed.groupBy("center", "class", "mine").agg(F.max((F.col("root") != F.col("main")).cast("int")).alias("open")), "group-blocks")
+    one, two = blocks.withColumnRenamed("mine", "block"), blocks.toDF("center", "class_b", "block_b", "open_b")
+    met = one.join(two, "center").where("block <= block_b AND class_b - class <= 1 AND (open = 1 OR open_b = 1)")
+    ends = materialize(met.select("center", "block", "block_b", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("mine")), "group-block-pairs")
+    rows = placed.join(ends, ["center", "mine"])
+    return found.unionByName(rows.groupBy("center", "block", "block_b").applyInPandas(_search_group, "a long, b long"))
+
+
+def links(groups: DataFrame, points: DataFrame, fetch: Callable[[DataFrame], DataFrame], hot: int = HOT) -> DataFrame:
+    """(a, b): links that connect all nodes with similar sets, from ``groups`` (center, node) and ``points``
+    (node, n, counts); ``fetch`` gives (node, elements: distinct longs) for a table of nodes."""
+    other = points.select(F.col("node").alias("center"), F.col("n").alias("m"), F.col("counts").alias("others"))
+    stars = groups.where("center <> node").join(points, "node").join(other, "center").select("center", "node", "n", "m", "counts", "others")
+    stars = materialize(stars.mapInArrow(_bounded, "center long, node long"), "stars")
+    sets = materialize(fetch(stars.select("node").union(stars.select("center")).distinct()), "sets")
+    first = materialize(stars.groupBy("node").agg(F.min("center").alias("center")), "stars-first")
+    found = _compare(first.select(F.col("center").alias("a"), F.col("node").alias("b")), sets, "links-first")
+    roots = materialize(components(found), "roots-first")
+    rest = stars.join(first.withColumnRenamed("center", "least"), "node").where("center <> least").select("node", "center")
+    rest = _rooted(_rooted(rest, roots, "node", "root"), roots, "center", "main").where("root <> main")
+    found = materialize(found.unionByName(_compare(rest.select(F.col("center").alias("a"), F.col("node").alias("b")), sets, "links-rest")), "links-stars")
+    roots = materialize(components(found), "roots-stars")
+    sizes = groups.groupBy("center").agg(F.count(F.lit(1)).alias("size")).where("size > 2")
+    members = groups.join(materialize(sizes, "group-sizes"), "center").join(points, "node")
+    members = materialize(_rooted(_rooted(members, roots, "node", "root"), roots, "center", "main"), "group-members")
+    mixed = materialize(members.where("root <> main").select("center").distinct(), "groups-mixed")
+    left = materialize(_searched(members.join(mixed, "center", "left_semi"), hot).distinct(), "pairs-left")
+    if left.isEmpty():
+        return found
+    new = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().join(sets, "node", "left_anti")
+    sets = materialize(sets.unionByName(fetch(new)), "sets-all")
+    return found.unionByName(_compare(left, sets, "links-left"))

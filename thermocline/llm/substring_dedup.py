@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from thermocline.llm.common import attach_group, id_and_text
 from thermocline.llm.components import components
-from thermocline.llm.set_join import groups_of, links
+from thermocline.llm.set_join import groups_of, links, point
 from thermocline.llm.shingles import WORDS, mixed, shingle_hashes, word_hashes
 from thermocline.session import materialize
 
@@ -122,6 +122,13 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(lambda b: _batches(b, one, schema), "node long, elements array<long>")
 
 
+def _points(batches):
+    for batch in batches:
+        own = [x.values.to_numpy() for x in batch.column("elements")]
+        columns = [batch.column("node"), pa.array([len(x) for x in own], pa.int64()), pa.array([point(x) for x in own], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "counts"])
+
+
 def _repeated(batches):
     """From occurrences sorted by node: all lines, and pieces whose node has another occurrence or stands at
     the edge of the task, where the other one may be in the next."""
@@ -153,7 +160,9 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     homes = found.where("line").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(active, "node")
     wanted = materialize(homes.groupBy("doc_id").agg(F.collect_list("node").alias("nodes")), "lines-wanted")  # at most the document's lines
     sets = materialize(_sets(docs, wanted).dropDuplicates(["node"]), "line-sets")
-    roots = materialize(components(materialize(links(groups, sets), "line-links")), "line-roots")
+    points = materialize(sets.mapInArrow(_points, "node long, n long, counts binary"), "line-points")
+    of = lambda nodes: sets.join(nodes, "node", "left_semi")
+    roots = materialize(components(materialize(links(groups, points, of), "line-links")), "line-roots")
     placed = materialize(found.join(roots, "node", "left").select(F.coalesce("root", "node").alias("cluster_id"), "doc_id", "start", "n_words").distinct(), "paragraphs-placed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start"))
     out = attach_group(placed, ["cluster_id"], {"first": first, "occurrences": F.count(F.lit(1))}).where("occurrences > 1")
