@@ -94,6 +94,6 @@ def test_tree_finds_all_similar_sets():
     counts, sizes = _vectors([point(s) for s in sets]), np.array([len(s) for s in sets])
     tree = CountTree(counts, sizes)
     for i, s in enumerate(sets):
-        assert {j for j, t in enumerate(sets) if similar(s, t)} <= set(tree.search(counts[i], sizes[i]).tolist())
+        assert {j for j, t in enumerate(sets) if similar(s, t)} <= set(tree.search(i).tolist())
     pairs = candidates(np.arange(len(sets)), sizes, counts, np.arange(len(sets)) // 3)
     assert {(i, j) for i in range(len(sets)) for j in range(i) if i // 3 != j // 3 and similar(sets[i], sets[j])} <= set(pairs)

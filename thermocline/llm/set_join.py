@@ -5,7 +5,8 @@ sorted by key over the cluster, a frequent key over several tasks, and each node
 into the group of the smallest node that it shares a key with. A set is a point: its
 elements are hashed into GROUPS groups, whose counts are the coordinates. The sum of the
 coordinate minima of two points bounds the overlap of their sets, and that of a point and of
-a box's upper corner bounds it for all points in the box: a count-vector R-tree. Only points,
+a box's upper corner bounds it for all points in the box: a count-vector R-tree (its boxes are
+in the COARSE sums of neighbouring coordinates, its points in all). Only points,
 not sets, go through the groups; pairs that the bound leaves are compared exactly.
 
 Each node is compared with its groups' first nodes, a row each, which connects copies of one
@@ -30,9 +31,11 @@ from thermocline.llm.components import components
 from thermocline.llm.shingles import enough
 from thermocline.session import materialize
 
-GROUPS = 256
+GROUPS = 1024
+#: Coordinates of the tree's boxes: sums of neighbouring groups.
+COARSE = 64
 #: A count that stands for itself and all larger ones.
-MOST = 65535
+MOST = 255
 LEAF = 16
 HOT = 512
 
@@ -76,22 +79,29 @@ def groups_of(keyed: DataFrame) -> DataFrame:
 
 
 def point(elements: np.ndarray) -> bytes:
-    """Count vector of a set, as 16-bit integers."""
-    return np.minimum(np.bincount((elements >> 56) & (GROUPS - 1), minlength=GROUPS), MOST).astype("<u2").tobytes()
+    """Count vector of a set, a byte for each group."""
+    return np.minimum(np.bincount((elements >> 54) & (GROUPS - 1), minlength=GROUPS), MOST).astype(np.uint8).tobytes()
 
 
 def _vectors(points) -> np.ndarray:
-    counts = np.frombuffer(b"".join(points), "<u2").reshape(-1, GROUPS).astype(np.int64)
-    counts[counts == MOST] = 1 << 40
-    return counts
+    return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least the overlap of sets with these count vectors."""
+    least = np.minimum(a, b)
+    return least.sum(axis=1, dtype=np.int64) + ((least == MOST).any(axis=1).astype(np.int64) << 40)
 
 
 class CountTree:
     """R-tree over count vectors, bulk-loaded in order of the sets' sizes; LEAF children to a box."""
 
     def __init__(self, counts: np.ndarray, sizes: np.ndarray):
-        self.order = np.argsort(sizes, kind="stable")
-        corner, low, high = counts[self.order], sizes[self.order], sizes[self.order]
+        self.order, self.counts, self.sizes = np.argsort(sizes, kind="stable"), counts, sizes
+        wide = counts.astype(np.int64)
+        wide[counts == MOST] = 1 << 40
+        self.coarse = wide.reshape(-1, COARSE, GROUPS // COARSE).sum(axis=2)
+        corner, low, high = self.coarse[self.order], sizes[self.order], sizes[self.order]
         self.levels = []  # from the points up: upper corners, least and greatest size
         while True:
             self.levels.append((corner, low, high))
@@ -100,8 +110,9 @@ class CountTree:
             at = np.arange(0, len(corner), LEAF)
             corner, low, high = np.maximum.reduceat(corner, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
 
-    def search(self, counts: np.ndarray, size: int) -> np.ndarray:
-        """Positions of all sets whose overlap with a set of these counts may suffice."""
+    def search(self, i: int) -> np.ndarray:
+        """Positions of all sets whose overlap with the i-th may suffice."""
+        counts, size = self.coarse[i], self.sizes[i]
         top = len(self.levels) - 1
         at = np.arange(len(self.levels[top][0]))
         for level in range(top, -1, -1):
@@ -112,7 +123,8 @@ class CountTree:
             if level:
                 below = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
                 at = below[below < len(self.levels[level - 1][0])]
-        return self.order[at]
+        at = self.order[at]
+        return at[7 * overlap_bound(self.counts[at], self.counts[i]) >= 3 * (size + self.sizes[at])]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -123,7 +135,7 @@ def candidates(nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, roots:
     """Pairs of nodes of different roots that the bound leaves."""
     tree, out = CountTree(counts, sizes), []
     for i in range(len(nodes)):
-        found = tree.search(counts[i], sizes[i])
+        found = tree.search(i)
         found = found[(nodes[found] < nodes[i]) & (roots[found] != roots[i])]
         out += [(int(nodes[i]), int(j)) for j in nodes[found]]
     return out
@@ -140,7 +152,7 @@ def _bounded(batches):
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
             n, m = part.column("n").to_numpy(), part.column("m").to_numpy()
-            most = np.minimum(_vectors(part.column("counts").to_pylist()), _vectors(part.column("others").to_pylist())).sum(axis=1)
+            most = overlap_bound(_vectors(part.column("counts").to_pylist()), _vectors(part.column("others").to_pylist()))
             keep = (7 * most >= 3 * (n + m)) & (4 * n >= 3 * m) & (4 * m >= 3 * n)
             yield part.select(["center", "node"]).filter(pa.array(keep))
 
