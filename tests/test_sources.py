@@ -273,3 +273,21 @@ def test_kafka_source_is_wired(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         read_message_stream(spark, "kafka", bootstrap_servers="localhost:9092")
+
+
+def test_station_header_without_a_field_gives_no_value(spark):
+    from thermocline.sources.station_text import _position_expr
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(["YY", "MM", "XXXX"],), ([],), (None,)], "names array<string>")
+    with_header, *without = [r[0] for r in df.select(_position_expr(F.col("names"), "WTMP")).collect()]
+    assert with_header is None and all(x == 15 for x in without)
+
+
+def test_observatory_garbage_is_rejected(spark):
+    from thermocline.sources.observatory_json import parse_observatory_docs
+
+    doc = '{"data": [{"time": "2024-01-01T00:00:00Z", "platform_code": "p", "temperature": "garbage"}, {"time": "2024-01-01T00:00:00Z", "platform_code": "q"}]}'
+    points, rejects = parse_observatory_docs(spark.createDataFrame([("f", doc)], "file string, value string"))
+    assert [(r.location, r.temperature) for r in points.collect()] == [("q", 0.0)]
+    assert [r.reason for r in rejects.collect()] == ["unparsable number"]

@@ -40,10 +40,11 @@ def parse_observatory_docs(docs: DataFrame, missing: str = "zero") -> tuple[Data
     """(file, value) -> (points, rejects).
 
     points: one row per data point with the common names (time -> timestamp,
-    platform_code -> location, fluorescence -> chlorophyll); a missing or
-    unparsable number is 0.0 (missing="zero", the original's default) or NULL.
+    platform_code -> location, fluorescence -> chlorophyll); a missing
+    number is 0.0 (missing="zero", the original's default) or NULL.
     rejects: (file, reason) for malformed documents and for points lacking time
-    or platform_code.
+    or platform_code; with missing="zero" also for points holding a number that
+    does not parse, with missing="null" such a number is NULL.
     """
     parsed = docs.select("file", F.from_json("value", DOC_TEXT_SCHEMA).alias("doc"))
     bad_docs = parsed.filter(F.col("doc.data").isNull()).select(
@@ -54,8 +55,12 @@ def parse_observatory_docs(docs: DataFrame, missing: str = "zero") -> tuple[Data
     for f in NUMERIC_FIELDS:
         v = F.col(f).try_cast("double")
         numbers[RENAMES.get(f, f)] = F.coalesce(v, F.lit(0.0)) if missing == "zero" else v
+    garbage = F.lit(False)
+    for f in NUMERIC_FIELDS if missing == "zero" else ():  # else it is a NULL, which no one takes for a reading
+        garbage = garbage | (F.col(f).isNotNull() & F.col(f).try_cast("double").isNull())
     typed = points.select(
         "file",
+        garbage.alias("garbage"),
         F.try_to_timestamp(F.col("time")).alias("timestamp"),
         F.col("platform_code").alias("location"),
         *[c.alias(n) for n, c in numbers.items()],
@@ -63,8 +68,8 @@ def parse_observatory_docs(docs: DataFrame, missing: str = "zero") -> tuple[Data
     required = F.col("timestamp").isNotNull() & F.col("location").isNotNull()
     rejects = bad_docs.unionByName(
         typed.filter(~required).select("file", F.lit("point lacks time or platform_code").alias("reason"))
-    )
-    return typed.filter(required), rejects
+    ).unionByName(typed.filter(required & F.col("garbage")).select("file", F.lit("unparsable number").alias("reason")))
+    return typed.filter(required & ~F.col("garbage")).drop("garbage"), rejects
 
 
 def parse_inventory(docs: DataFrame) -> DataFrame:

@@ -45,9 +45,13 @@ def _pos_col(name: str) -> str:
 
 
 def _position_expr(names: Column, name: str) -> Column:
-    """1-based position of header field ``name``, else its standard position."""
+    """1-based position of header field ``name``. Only without a usable header, one that names any
+    standard field, is it the standard position; a measured field that a header lacks has none."""
     pos = F.array_position(names, F.lit(name))
     fallback = F.lit(STANDARD_FIELDS.index(name) + 1) if name in STANDARD_FIELDS else F.lit(None)
+    if name not in TIME_FIELDS:
+        usable = F.coalesce(F.arrays_overlap(names, F.array(*map(F.lit, STANDARD_FIELDS))), F.lit(False))
+        fallback = F.when(~usable, fallback)
     return F.when(pos > 0, pos).otherwise(fallback).cast("int")
 
 

@@ -139,12 +139,6 @@ def start_append_stream(
     return writer.start()
 
 
-def closed_window_cutoff(max_event_time_col: str, watermark: str = TH.WATERMARK_DELAY):
-    """Batch-side expression of which windows an append stream has emitted:
-    window_end <= max event time - watermark delay."""
-    return F.col(max_event_time_col) - F.expr(f"INTERVAL {watermark}")
-
-
 def run_metrics_stream(
     spark,
     output_path: str,

@@ -27,6 +27,7 @@ on shared storage, not executor memory.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,8 +62,10 @@ def _previous_watermark(spark, progress_path: str, batch_id: int, delay: str):
     batches minus the delay (None before any data)."""
     try:
         progress = spark.read.schema(PROGRESS_SCHEMA).parquet(progress_path)
-    except Exception:  # nothing landed yet (path absent)
-        return None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing landed yet; any other failure fails the batch
     return _watermark_micros(progress.filter(F.col(_BATCH) < batch_id), delay)
 
 
