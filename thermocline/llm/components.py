@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from thermocline.session import materialize
 
 
-def _same_as(a: DataFrame) -> tuple:
-    return tuple(a.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
+def _all_stars(e: DataFrame) -> bool:
+    """Whether every node of ``e`` hangs on one smaller node, on which nothing but such nodes hang."""
+    ends = e.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 OR (up = 1 AND down > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,8 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     e = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct()
     e = materialize(e, "edges")
-    state = _same_as(e)
-    while True:
+    while not _all_stars(e):
         ends = e.select(F.col("hi").alias("node"), F.col("lo").alias("to")).unionByName(e.select(F.col("lo").alias("node"), F.col("hi").alias("to")))
         least = ends.groupBy("node").agg(F.min("to").alias("least"))
         # (lo, its smallest neighbour) for those that have a smaller one: the others are the roots of stars already
@@ -34,7 +35,4 @@ def components(edges: DataFrame) -> DataFrame:
         nearest = materialize(large.groupBy("hi").agg(F.min("lo").alias("least")), "edges-nearest")
         rest = large.join(nearest, "hi").where("lo > least").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
         e = materialize(rest.unionByName(nearest.select("hi", F.col("least").alias("lo"))).distinct(), "edges")
-        state, old = _same_as(e), state
-        if state == old:
-            return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
-
+    return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())

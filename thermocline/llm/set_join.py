@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,21 +86,38 @@ def _vectors(points) -> np.ndarray:
     return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS)
 
 
+def coarse(counts: np.ndarray) -> np.ndarray:
+    """Coordinates of boxes; a count that may stand for more counts as 2**24, more than a set's share of a group."""
+    wide = counts.astype(np.int32)
+    wide[counts == MOST] = 1 << 24
+    return wide.reshape(-1, COARSE, GROUPS // COARSE).sum(axis=2, dtype=np.int32)
+
+
 def overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """At least the overlap of sets with these count vectors."""
     least = np.minimum(a, b)
     return least.sum(axis=1, dtype=np.int64) + ((least == MOST).any(axis=1).astype(np.int64) << 40)
 
 
+def _bounded_pairs(a: np.ndarray, b: np.ndarray, q: np.ndarray, at: np.ndarray, least: np.ndarray, bound, step: int) -> np.ndarray:
+    """Whether 7 * bound(a[at], b[q]) >= least, worked out for ``step`` pairs at a time."""
+    keep = np.empty(len(q), bool)
+    for k in range(0, len(q), step):
+        part = slice(k, k + step)
+        keep[part] = 7 * bound(a[at[part]], b[q[part]]) >= least[part]
+    return keep
+
+
+def _box_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.minimum(a, b).sum(axis=1, dtype=np.int64)
+
+
 class CountTree:
     """R-tree over count vectors, bulk-loaded in order of the sets' sizes; LEAF children to a box."""
 
     def __init__(self, counts: np.ndarray, sizes: np.ndarray):
         self.order, self.counts, self.sizes = np.argsort(sizes, kind="stable"), counts, sizes
-        wide = counts.astype(np.int64)
-        wide[counts == MOST] = 1 << 40
-        self.coarse = wide.reshape(-1, COARSE, GROUPS // COARSE).sum(axis=2)
-        corner, low, high = self.coarse[self.order], sizes[self.order], sizes[self.order]
+        corner, low, high = coarse(counts)[self.order], sizes[self.order], sizes[self.order]
         self.levels = []  # from the points up: upper corners, least and greatest size
         while True:
             self.levels.append((corner, low, high))
@@ -112,39 +128,60 @@ class CountTree:
 
     def search(self, i: int) -> np.ndarray:
         """Positions of all sets whose overlap with the i-th may suffice."""
-        counts, size = self.coarse[i], self.sizes[i]
-        top = len(self.levels) - 1
-        at = np.arange(len(self.levels[top][0]))
+        return self.search_all(self.counts[i : i + 1], self.sizes[i : i + 1])[1]
+
+    def search_all(self, counts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(q, i): the i-th set of the tree may overlap enough with the q-th of those given. All are taken
+        down the tree together, a pair of set and box each."""
+        wide, top = coarse(counts), len(self.levels) - 1
+        boxes = len(self.levels[top][0])
+        q, at = np.repeat(np.arange(len(sizes)), boxes), np.tile(np.arange(boxes), len(sizes))
         for level in range(top, -1, -1):
             corner, low, high = self.levels[level]
-            at = at[(4 * high[at] >= 3 * size) & (3 * low[at] <= 4 * size)]
+            keep = (4 * high[at] >= 3 * sizes[q]) & (3 * low[at] <= 4 * sizes[q])
+            q, at = q[keep], at[keep]
             # similar: 7 * overlap >= 3 * (both sizes)
-            at = at[7 * np.minimum(corner[at], counts).sum(axis=1) >= 3 * (size + low[at])]
+            keep = _bounded_pairs(corner, wide, q, at, 3 * (sizes[q] + low[at]), _box_bound, 4096)
+            q, at = q[keep], at[keep]
             if level:
-                below = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-                at = below[below < len(self.levels[level - 1][0])]
+                at, q = (at[:, None] * LEAF + np.arange(LEAF)).ravel(), np.repeat(q, LEAF)
+                keep = at < len(self.levels[level - 1][0])
+                q, at = q[keep], at[keep]
         at = self.order[at]
-        return at[7 * overlap_bound(self.counts[at], self.counts[i]) >= 3 * (size + self.sizes[at])]
+        keep = _bounded_pairs(self.counts, counts, q, at, 3 * (sizes[q] + self.sizes[at]), overlap_bound, 512)
+        return q[keep], at[keep]
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
 
 
-def candidates(nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, roots: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of nodes of different roots that the bound leaves."""
-    tree, out = CountTree(counts, sizes), []
-    for i in range(len(nodes)):
-        found = tree.search(i)
-        found = found[(nodes[found] < nodes[i]) & (roots[found] != roots[i])]
-        out += [(int(nodes[i]), int(j)) for j in nodes[found]]
-    return out
-
-
-def _search_group(key, rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.drop_duplicates("node")
-    out = candidates(rows["node"].to_numpy(), rows["n"].to_numpy(), _vectors(rows["counts"]), rows["root"].to_numpy())
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def candidates(nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, roots: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs (larger, smaller) of nodes of different roots that the bound leaves; of two sides, only pairs across them."""
+    if side is not None and (side != side[0]).any():
+        ask = side == side[0]
+        tree = ~ask
+    else:
+        # of two roots, one is not the commonest: its nodes look for partners among all
+        names, at, times = np.unique(roots, return_inverse=True, return_counts=True)
+        ask, tree = at != times.argmax(), np.ones(len(nodes), bool)
+    if not ask.any():
+        return []
+    asked, held = np.flatnonzero(ask), np.flatnonzero(tree)
+    q, i = CountTree(counts[held], sizes[held]).search_all(counts[asked], sizes[asked])
+    q, i = asked[q], held[i]
+    keep = (roots[q] != roots[i]) & (~ask[i] | (nodes[i] < nodes[q]))
+    a, b = nodes[q[keep]], nodes[i[keep]]
+    return list(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist(), strict=True))
+
+
+def _search_group(rows: pa.Table) -> pa.Table:
+    """Rows are those of a group, or of one or two blocks of a large one (``mine``)."""
+    at = np.unique(rows.column("node").to_numpy(), return_index=True)[1]
+    rows = rows.take(pa.array(at))
+    node, n, root, mine = (rows.column(c).to_numpy() for c in ("node", "n", "root", "mine"))
+    out = candidates(node, n, _vectors(rows.column("counts").to_pylist()), root, mine)
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def _bounded(batches):
@@ -179,7 +216,9 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFram
 
 def _searched(members: DataFrame, hot: int) -> DataFrame:
     """(a, b): pairs that the groups' R-trees leave, from rows (center, node, n, counts, root, main, size)."""
-    found = members.where(F.col("size") <= hot).groupBy("center").applyInPandas(_search_group, "a long, b long")
+    used = ["node", "n", "counts", "root", "mine"]
+    few = members.where(F.col("size") <= hot).withColumn("mine", F.lit(0).cast("long"))
+    found = few.select("center", *used).groupBy("center").applyInArrow(_search_group, "a long, b long")
     many = members.where(F.col("size") > hot)
     if many.isEmpty():
         return found
@@ -193,7 +232,8 @@ def _searched(members: DataFrame, hot: int) -> DataFrame:
     met = one.join(two, "center").where("block <= block_b AND class_b - class <= 1 AND (open = 1 OR open_b = 1)")
     ends = materialize(met.select("center", "block", "block_b", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("mine")), "group-block-pairs")
     rows = placed.join(ends, ["center", "mine"])
-    return found.unionByName(rows.groupBy("center", "block", "block_b").applyInPandas(_search_group, "a long, b long"))
+    rows = rows.select("center", "block", "block_b", *used)
+    return found.unionByName(rows.groupBy("center", "block", "block_b").applyInArrow(_search_group, "a long, b long"))
 
 
 def links(groups: DataFrame, points: DataFrame, fetch: Callable[[DataFrame], DataFrame], hot: int = HOT) -> DataFrame:
