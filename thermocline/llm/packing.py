@@ -30,12 +30,14 @@ CAPACITY = 4096
 END_ID = 2
 GROUP_DOCS = 2048
 MAX_PADDING = 64
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
+#: Tried in this order: the first that is one token separates words that are encoded together.
+SEPARATORS = ("\u203b", "\u2603", "\u00a4", "~")
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space: words between ASCII spaces are encoded
-    apart, each new one once, and kept (a full cache is emptied)."""
+    """Ids of texts by a tokenizer that drops white space and case: words between ASCII spaces are encoded apart,
+    each new one once, and kept: a full cache becomes the older one, whose words are taken over when they come again."""
 
     def __init__(self, path: str):
         import os
@@ -46,19 +48,37 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        alone = {s: self._ids([s])[0] for s in SEPARATORS}
+        self.separator, self.separator_id = next(((s, ids[0]) for s, ids in alone.items() if len(ids) == 1), (None, None))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Many words in one text, with a separator whose id tells them apart; where a word holds that id too, alone."""
+        if self.separator is not None:
+            ids = np.array(self._ids([f" {self.separator} ".join(words)])[0], "<u4")
+            cut = np.flatnonzero(ids == self.separator_id)
+            if len(cut) == len(words) - 1:
+                data, starts, ends = ids.tobytes(), [0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), 4 * len(ids)]
+                return [data[i:j] for i, j in zip(starts, ends, strict=True)]
+        return [np.array(x, "<u4").tobytes() for x in self._ids(words)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.encode().split() for t in texts]
+        words = [t.encode().lower().split() for t in texts]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
+            self.older, self.known = self.known, {}
             new = set().union(*words)
-        fresh = list(new)
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
+        again = new.intersection(self.older)
+        for word in again:
+            self.known[word] = self.older[word]
+        fresh = list(new.difference(again))
+        for at in range(0, len(fresh), 128):
+            part = fresh[at : at + 128]
+            self.known.update(zip(part, self._encode_words([w.decode() for w in part]), strict=True))
         find = self.known.__getitem__
         out = [b"".join(map(find, w)) for w in words]
         for word in fresh:
