@@ -78,7 +78,7 @@ def test_gradient_scopes_match_brute_force(spark, scope, keys):
     from pyspark.sql import Window as W
 
     r = FX.readings(spark, SMALL)
-    got = ocean_metrics_batch(r, gradient_scope=scope, metrics=["gradient_qc_failures"], skew_safe=True)
+    got = ocean_metrics_batch(r, gradient_scope=scope, metrics=["gradient_qc_failures"])
     d = add_derived(r).withColumn("w", F.window("timestamp", "1 hour").start)
     w = W.partitionBy(*keys).orderBy("depth", "timestamp", "event_id")
     rate = F.try_divide(

@@ -66,14 +66,33 @@ def test_gradient_edge_cases(spark, make_readings):
     assert got == ["pass", "fail", "pass", "pass"]
 
 
-def test_plan_slices_detects_hot_key(spark):
+def test_slices_follow_the_row_count(spark):
     from thermocline.operators.ordered import plan_slices
 
     df = _skewed(spark)
-    assert plan_slices(df, ["location"], min_rows=0) >= 8  # "hot" holds half the rows
-    balanced = df.withColumn("k", F.col("event_id") % 1000)
-    assert plan_slices(balanced, ["k"], min_rows=0) is None
-    assert plan_slices(df, ["location"], min_rows=0, rows_per_slice=100) == 200  # sized from the row count
+    assert plan_slices(df) >= 8
+    assert plan_slices(df, rows_per_slice=100) == 200
+
+
+@pytest.mark.parametrize("null_id", [True, False])
+def test_ties_do_not_depend_on_input_order(make_readings, null_id):
+    from conftest import reading
+
+    from thermocline.plans.ocean_metrics import ocean_metrics_batch
+    from thermocline.streaming.metrics_stream import ocean_metrics_from_readings
+
+    rows = [
+        reading(location="a", depth=5.0, temperature=10.0),
+        reading(location="a", depth=5.0, temperature=20.0),
+        reading(location="a", depth=6.0, temperature=20.1),
+    ]
+    got = set()
+    for order in ([0, 1, 2], [1, 0, 2], [2, 1, 0]):
+        df = make_readings([rows[k] for k in order], with_id=False)
+        df = df.withColumn("event_id", F.lit(None).cast("long")) if null_id else df
+        for metrics in (ocean_metrics_batch(df), ocean_metrics_from_readings(df), ocean_metrics_from_readings(df, gradient_scope="layer")):
+            got |= {(r["gradient_qc_failures"], r["qc_score"]) for r in metrics.collect()}
+    assert len(got) == 1
 
 
 def test_empty_input(spark):

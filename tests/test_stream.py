@@ -17,7 +17,7 @@ from thermocline.streaming.metrics_stream import ocean_metrics_from_messages, st
 
 def _run(spark, inp, out, chk):
     q = start_append_stream(
-        ocean_metrics_from_messages(read_message_stream(spark, "text", path=inp)), out, chk,
+        ocean_metrics_from_messages(read_message_stream(spark, "text", path=inp), gradient_scope="layer"), out, chk,
         trigger={"availableNow": True},
     )
     q.awaitTermination()

@@ -39,6 +39,9 @@ from pyspark.sql import functions as F
 
 from thermocline.session import materialize
 
+#: Rows that one slice should hold; slices grow in number, not in size, with the data.
+ROWS_PER_SLICE = 4_000_000
+
 _PK, _SLICE, _RN, _CNT, _OFF, _LAST = "_tc_pk", "_tc_slice", "_tc_rn", "_tc_cnt", "_tc_off", "_tc_last"
 
 
@@ -54,6 +57,7 @@ def with_successor(
     names: dict[str, str] | None = None,
     position_col: str | None = None,
     num_slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add, for each ``c`` in ``carry``, the value of ``c`` on the next row in
     ``order`` within ``keys`` (NULL on a group's last row), named ``names[c]``
@@ -65,8 +69,7 @@ def with_successor(
     """
     keys, order, carry = list(keys), list(order), list(carry)
     names = _names(carry, names)
-    spark = df.sparkSession
-    n = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_slices or plan_slices(df, rows_per_slice)
 
     # A struct key is never NULL itself and compares NULL fields as equal, so NULL
     # key values form one group in the window, the aggregate and the join alike.
@@ -126,8 +129,8 @@ def with_successor_window(
     names: dict[str, str] | None = None,
     position_col: str | None = None,
 ) -> DataFrame:
-    """Plain window form: one task per key group. For key sets known to be small
-    per group (and as the brute-force reference in tests)."""
+    """Plain window form: one task per key group (the brute-force form of the tests and of
+    ``tools/skew_demo.py``; no operator takes it)."""
     names = _names(carry, names)
     w = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     cols = {names[c]: F.lead(c, 1).over(w) for c in carry}
@@ -136,33 +139,8 @@ def with_successor_window(
     return df.withColumns(cols)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows in the largest key group, total rows): one aggregate job with
-    map-side combine, reading only the key columns."""
-    sizes = df.groupBy(*keys).count()
-    row = sizes.agg(F.max("count").alias("mx"), F.sum("count").alias("total")).first()
-    return int(row["mx"] or 0), int(row["total"] or 0)
-
-
-def plan_slices(
-    df: DataFrame,
-    keys: Sequence[str],
-    min_rows: int = 1_000_000,
-    share: float = 2.0,
-    rows_per_slice: int = 4_000_000,
-    max_slices: int = 100_000,
-) -> int | None:
-    """Decide how to order profiles, from one aggregate over the key columns.
-
-    Returns None when the largest key group is within ``share`` times a task's
-    fair share of the rows (or below ``min_rows``): a per-key window is then
-    balanced enough. Otherwise returns the number of range slices: enough for
-    about ``rows_per_slice`` rows each, at least the shuffle partition count and
-    at most ``max_slices`` (Spark samples at most 1e6 keys to place range bounds,
-    and the broadcast correction table holds up to 2 rows per slice).
-    """
-    biggest, total = largest_group(df, keys)
+def plan_slices(df: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> int:
+    """Number of range slices of about ``rows_per_slice`` rows each, at least the shuffle
+    partition count; one count of rows, which reads no column of a Parquet table."""
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    if biggest <= max(min_rows, share * total / parts):
-        return None
-    return min(max(parts, -(-total // rows_per_slice)), max(parts, max_slices))
+    return max(parts, -(-df.count() // rows_per_slice))

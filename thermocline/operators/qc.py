@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from thermocline import thresholds as TH
 from thermocline.functions.ocean import bounds_flag, gradient_flag
-from thermocline.operators.ordered import plan_slices, with_successor, with_successor_window
+from thermocline.operators.ordered import with_successor
 
 # The four range checks that feed qc_score, and the three extra ones.
 CORE_BOUNDED = ["temperature", "salinity", "dissolved_oxygen", "ph"]
@@ -36,9 +37,13 @@ def add_bound_flags(df: DataFrame, measurements: Sequence[str] = CORE_BOUNDED) -
     return df.withColumns({TH.BOUND_FLAG_NAMES[m]: bounds_flag(m) for m in measurements})
 
 
-def profile_order(df: DataFrame, order: Sequence[str] = DEFAULT_ORDER) -> list[str]:
-    """Profile order with the tie-breakers that the frame actually has."""
-    return [c for c in order if c in df.columns]
+def profile_order(df: DataFrame, order: Sequence[str] = DEFAULT_ORDER, carry: Sequence[str] = (), keys: Sequence[str] = ()) -> list[str]:
+    """A total order of a profile's rows: ``order`` as far as the frame has it, then the carried values
+    (as the streams' sorted arrays do), then every other column that can be ordered. Rows that tie on
+    all of these are equal, so the result does not depend on the order of the input."""
+    first = [c for c in dict.fromkeys([*order, *carry]) if c in df.columns]
+    rest = sorted(f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType))
+    return first + [c for c in rest if c not in first and c not in keys]
 
 
 def add_profile_neighbours(
@@ -47,27 +52,17 @@ def add_profile_neighbours(
     order: Sequence[str] = DEFAULT_ORDER,
     measurements: Sequence[str] = ("temperature",),
     position_col: str | None = None,
-    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """next_depth and next_<measurement> along each profile, optionally the
     1-based ``position_col`` (the original ``depth_ordered``).
 
-    A profile is all readings with equal ``keys``, ordered by depth, then time,
-    then event id. ``skew_safe=True`` spreads hot profiles over many tasks (see
-    ``operators.ordered``); False uses one window task per profile; "auto"
-    measures the largest profile first (one aggregate over the key columns) and
-    slices only when it exceeds a task's fair share.
+    A profile is all readings with equal ``keys``, ordered by depth, then time, then event id,
+    then the other columns (``profile_order``). Profiles of every size take the same path, which
+    spreads them over slices (see ``operators.ordered``).
     """
     carry = ["depth", *measurements]
     names = {c: NEXT_NAMES.get(c, f"next_{c}") for c in carry}
-    order = profile_order(df, order)
-    slices = None
-    if skew_safe == "auto":
-        slices = plan_slices(df, keys)
-        skew_safe = slices is not None
-    if not skew_safe:
-        return with_successor_window(df, keys, order, carry, names=names, position_col=position_col)
-    return with_successor(df, keys, order, carry, names=names, position_col=position_col, num_slices=slices)
+    return with_successor(df, keys, profile_order(df, order, carry, keys), carry, names=names, position_col=position_col)
 
 
 def add_gradient_flags(
@@ -76,11 +71,10 @@ def add_gradient_flags(
     order: Sequence[str] = DEFAULT_ORDER,
     measurements: Sequence[str] = ("temperature",),
     keep_neighbours: bool = False,
-    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """Q5 (and Q9, Q10 for salinity and oxygen): |d value| / d depth above the
     limit -> 'fail'; equal depths and a profile's last row -> 'pass'."""
-    with_next = add_profile_neighbours(df, keys, order, measurements, skew_safe=skew_safe)
+    with_next = add_profile_neighbours(df, keys, order, measurements)
     flags = {}
     for m in measurements:
         flag_name, limit = TH.GRADIENT_LIMITS[m]

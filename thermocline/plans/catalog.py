@@ -92,7 +92,7 @@ def profile_positions(spark, sf_dir):
     """W1-W3 in the original's shape: one profile per location over all time
     (five huge groups: the hot-key case the skew-safe operator is built for)."""
     df = add_profile_neighbours(
-        FX.readings(spark, sf_dir), keys=["location"], position_col="profile_position", skew_safe=True
+        FX.readings(spark, sf_dir), keys=["location"], position_col="profile_position"
     )
     return df.select("event_id", "location", "depth", "profile_position", "next_depth", "next_temp")
 
@@ -202,7 +202,7 @@ def ocean_metrics_q(spark, sf_dir):
 def ocean_metrics_location_profiles(spark, sf_dir):
     """The flagship with the original batch gradient semantics: one profile per
     location over all time (few, huge profiles; the skew-safe path)."""
-    out = ocean_metrics_batch(FX.readings(spark, sf_dir), gradient_scope="location", skew_safe=True)
+    out = ocean_metrics_batch(FX.readings(spark, sf_dir), gradient_scope="location")
     return rounded(out)
 
 

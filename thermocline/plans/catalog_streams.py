@@ -12,7 +12,8 @@ from thermocline import fixtures as FX
 from thermocline.ml.models import AIR_FEATURES, AIR_LABEL, feature_assembler, fit_and_score, gbt_pipeline
 from thermocline.operators.metrics import air_quality_metrics
 from thermocline.plans.catalog import query, rounded
-from thermocline.plans.pipeline import run_pipeline
+from thermocline.plans.ocean_metrics import ocean_metrics_batch
+from thermocline.plans.pipeline import read_metrics_table, run_pipeline
 from thermocline.session import checkpoint_root
 from thermocline.sources.messages import read_message_stream
 from thermocline.streaming.metrics_stream import (
@@ -37,7 +38,11 @@ def _run_available_now(spark, messages, build):
 @query("ocean_metrics_stream")
 def ocean_metrics_stream(spark, sf_dir):
     """The metrics job as an append stream; emitted = closed windows."""
-    out = _run_available_now(spark, FF.reading_messages(spark, sf_dir), ocean_metrics_from_messages)
+    out = _run_available_now(
+        spark,
+        FF.reading_messages(spark, sf_dir),
+        lambda raw: ocean_metrics_from_messages(raw, gradient_scope="layer"),
+    )
     return rounded(out)
 
 
@@ -116,6 +121,15 @@ def impact_model(spark, sf_dir):
     return preds.select("window_start", "location", AIR_LABEL, "is_test", "prediction")
 
 
+@query("metrics_table")
+def metrics_table(spark, sf_dir):
+    """S3: the hourly metrics written as a table, one folder per date, and read back."""
+    path = f"{checkpoint_root(spark)}/thermocline/metrics-{uuid.uuid4().hex}"
+    dated = ocean_metrics_batch(FX.readings(spark, sf_dir)).withColumn("window_date", F.to_date("window_start"))
+    dated.repartition("window_date", "location").write.partitionBy("window_date").parquet(path)
+    return rounded(read_metrics_table(spark, path))
+
+
 @query("ocean_model")
 def ocean_model(spark, sf_dir):
     """M5, M6: readings -> ocean metrics -> GBT (oxygen saturation from

@@ -40,7 +40,6 @@ def flag_readings(
     gradient_scope: str = "profile",
     bounded: Sequence[str] = CORE_BOUNDED,
     gradients: Sequence[str] = ("temperature",),
-    skew_safe: bool | str = "auto",
     keep_neighbours: bool = False,
     keep_window: bool = False,
 ) -> DataFrame:
@@ -56,7 +55,6 @@ def flag_readings(
         keys=profile_keys(gradient_scope),
         measurements=gradients,
         keep_neighbours=keep_neighbours,
-        skew_safe=skew_safe,
     )
     return df if keep_window else df.drop(PROFILE_WINDOW)
 
@@ -65,7 +63,6 @@ def gradient_failure_counts(
     readings: DataFrame,
     duration: str = TH.WINDOW_DURATION,
     gradient_scope: str = "profile",
-    skew_safe: bool | str = "auto",
 ) -> DataFrame:
     """A28 on its own: per (window, location, depth_layer), the number of rows
     whose temperature gradient to the next reading of their profile fails.
@@ -77,7 +74,7 @@ def gradient_failure_counts(
     df = readings.select(*narrow).withColumns(
         {"depth_layer": depth_layer(), PROFILE_WINDOW: F.window("timestamp", duration).start}
     )
-    df = add_gradient_flags(df, keys=profile_keys(gradient_scope), skew_safe=skew_safe)
+    df = add_gradient_flags(df, keys=profile_keys(gradient_scope))
     counted = df.filter(F.col(PROFILE_WINDOW).isNotNull()).groupBy(PROFILE_WINDOW, "location", "depth_layer")
     counted = counted.agg(F.sum(is_fail("temp_gradient_qc")).cast("bigint").alias("gradient_qc_failures"))
     return counted.select(
@@ -91,7 +88,6 @@ def ocean_metrics_batch(
     duration: str = TH.WINDOW_DURATION,
     metrics: Sequence[str] | None = None,
     gradient_scope: str = "profile",
-    skew_safe: bool | str = "auto",
     enrich: bool = True,
     narrow_gradient: bool = True,
 ) -> DataFrame:
@@ -111,7 +107,7 @@ def ocean_metrics_batch(
         # the groups themselves come from the statistics side (a count if nothing else is asked)
         others = [m for m in metrics if m != "gradient_qc_failures"] or ["measurement_count"]
         stats = ocean_metrics(flag_readings(readings, duration, gradients=()), duration, others)
-        counts = gradient_failure_counts(readings, duration, gradient_scope, skew_safe)
+        counts = gradient_failure_counts(readings, duration, gradient_scope)
         same_group = [
             stats["window_start"] == counts["window_start"],
             stats["location"].eqNullSafe(counts["location"]),
@@ -123,7 +119,7 @@ def ocean_metrics_batch(
     else:
         gradients = ("temperature",) if want_gradient else ()
         flagged = flag_readings(
-            readings, duration, gradient_scope, gradients=gradients, skew_safe=skew_safe, keep_window=bool(gradients)
+            readings, duration, gradient_scope, gradients=gradients, keep_window=bool(gradients)
         )
         out = ocean_metrics(flagged, duration, metrics, window_start_col=PROFILE_WINDOW if gradients else None)
     return enrich_metrics(out) if enrich else out

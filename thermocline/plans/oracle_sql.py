@@ -276,6 +276,7 @@ def _register_core() -> None:
         f"SELECT window_start, window_end, location, depth_layer, qc_score, quality_category FROM ({full})"
     )
     o["ocean_metrics"] = hourly_sql(None, enrich=enrich_for(list(ALL_AGGS)))
+    o["metrics_table"] = o["ocean_metrics"]
     o["ocean_metrics_location_profiles"] = hourly_sql(
         None, enrich=enrich_for(list(ALL_AGGS)), gradient_partition="location"
     )

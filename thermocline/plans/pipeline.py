@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermocline.ml.models import OCEAN_FEATURES, OCEAN_LABEL, fit_and_score, gbt_pipeline
 from thermocline.plans.ocean_metrics import ocean_metrics_batch
 
 
+def read_metrics_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """S3: a metrics table, as a stream sink or ``run_pipeline`` writes it, without its date folders' column."""
+    return spark.read.format(fmt).load(path).drop("window_date")
+
+
 def run_pipeline(
     readings: DataFrame,
     features: list[str] = OCEAN_FEATURES,
@@ -25,8 +30,8 @@ def run_pipeline(
     if metrics_path:
         # same layout as the stream sink: one folder per window date
         dated = metrics.withColumn("window_date", F.to_date("window_start"))
-        dated.repartition("window_date").write.mode("overwrite").partitionBy("window_date").parquet(metrics_path)
-        metrics = readings.sparkSession.read.parquet(metrics_path).drop("window_date")
+        dated.repartition("window_date", "location").write.mode("overwrite").partitionBy("window_date").parquet(metrics_path)
+        metrics = read_metrics_table(readings.sparkSession, metrics_path)
     model, predictions, evaluation = fit_and_score(
         gbt_pipeline(features, label, seed=seed), metrics, label, keys=["window_start", "location", "depth_layer"]
     )

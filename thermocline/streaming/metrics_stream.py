@@ -10,10 +10,10 @@ gradient check (W4) is computed inside the stateful aggregation: each group
 collects (depth, time, id, value) and consecutive pairs are compared after the
 window closes.
 
-* ``gradient_scope="layer"`` (default): pairs within (window, location, layer);
+* ``gradient_scope="layer"``: pairs within (window, location, layer);
   one stateful aggregation whose state per group is the group's (depth, time,
   id, temperature) tuples.
-* ``gradient_scope="profile"``: pairs across layers within (window, location),
+* ``gradient_scope="profile"`` (default, as in the batch plan): pairs across layers within (window, location),
   as the batch flagship does. A first stateful aggregation per (window,
   location) collects the rows, flags each row's gradient on the sorted array and
   re-emits the rows; a second one (event time = ``window_time`` of the first
@@ -73,7 +73,7 @@ def ocean_metrics_from_readings(
     readings: DataFrame,
     duration: str = TH.WINDOW_DURATION,
     watermark: str = TH.WATERMARK_DELAY,
-    gradient_scope: str = "layer",
+    gradient_scope: str = "profile",
 ) -> DataFrame:
     """Typed readings (stream or batch) -> enriched metrics, stream-legal form."""
     flagged = add_bound_flags(add_derived(readings)).withWatermark("timestamp", watermark)
@@ -90,7 +90,7 @@ def ocean_metrics_from_messages(
     duration: str = TH.WINDOW_DURATION,
     watermark: str = TH.WATERMARK_DELAY,
     with_event_id: bool = True,
-    gradient_scope: str = "layer",
+    gradient_scope: str = "profile",
 ) -> DataFrame:
     """Raw ``value`` messages -> enriched metrics. An ``event_id`` field, when the
     messages carry one, breaks depth/time ties in the gradient order."""
@@ -120,9 +120,8 @@ def start_append_stream(
     out = metrics
     writer_cols = []
     if partition_by_date:
-        # Aggregated rows are few; grouping them by date first gives one file per
-        # date per micro-batch instead of one per task and date.
-        out = out.withColumn("window_date", F.to_date("window_start")).repartition("window_date")
+        # A live micro-batch is mostly of one date: its rows are dealt by location too.
+        out = out.withColumn("window_date", F.to_date("window_start")).repartition("window_date", "location")
         writer_cols = ["window_date"]
     writer = (
         out.writeStream.format(fmt)
@@ -147,7 +146,7 @@ def run_metrics_stream(
     topic: str = "environmental-sensors",
     landing_path: str | None = None,
     fmt: str = "parquet",
-    gradient_scope: str = "layer",
+    gradient_scope: str = "profile",
     trigger: dict | None = None,
     mode: str = "stateful",
     stage_path: str | None = None,
@@ -158,7 +157,7 @@ def run_metrics_stream(
 
     mode="stateful": append-mode stateful aggregation (``fmt`` parquet or delta).
     mode="staged": ``streaming.staged_stream`` (no per-group state; needs
-    ``stage_path`` on shared storage; profile gradient scope; Parquet output).
+    ``stage_path`` on shared storage; Parquet output only).
     """
     from thermocline.sources.messages import read_message_stream
 
@@ -171,7 +170,9 @@ def run_metrics_stream(
 
         if not stage_path:
             raise ValueError("mode='staged' needs stage_path (a shared folder)")
-        return start_staged_metrics_stream(raw, stage_path, output_path, checkpoint_path, trigger=trigger)
+        if fmt != "parquet":
+            raise ValueError(f"mode='staged' writes Parquet, not {fmt!r}")
+        return start_staged_metrics_stream(raw, stage_path, output_path, checkpoint_path, gradient_scope=gradient_scope, trigger=trigger)
     if mode != "stateful":
         raise ValueError(f"mode must be stateful or staged, not {mode!r}")
     metrics = ocean_metrics_from_messages(raw, gradient_scope=gradient_scope)

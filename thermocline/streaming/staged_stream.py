@@ -122,7 +122,7 @@ def process_batch(
     staged = staged.filter(closing).drop("_wstart", "_wend", _WDATE, _BATCH)
     metrics = ocean_metrics_batch(staged, duration, gradient_scope=gradient_scope)
     out = metrics.withColumns({"window_date": F.to_date("window_start"), _BATCH: F.lit(batch_id).cast("long")})
-    _overwrite_own_partitions(out.repartition("window_date"), sink_path, "window_date", _BATCH)
+    _overwrite_own_partitions(out.repartition("window_date", "location"), sink_path, "window_date", _BATCH)
 
 
 def start_staged_metrics_stream(

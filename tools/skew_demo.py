@@ -25,7 +25,8 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from thermocline import fixtures as FX  # noqa: E402
-from thermocline.operators.qc import add_profile_neighbours  # noqa: E402
+from thermocline.operators.ordered import with_successor, with_successor_window  # noqa: E402
+from thermocline.operators.qc import profile_order  # noqa: E402
 
 
 def session(log_dir: str) -> SparkSession:
@@ -102,7 +103,9 @@ def main() -> None:
     for label, safe in (("window", False), ("sliced", True)):
         spark.sparkContext.setJobGroup(label, label)
         t = time.perf_counter()
-        out = add_profile_neighbours(hot, keys=["location"], position_col="pos", skew_safe=safe)
+        order = profile_order(hot, carry=["depth", "temperature"], keys=["location"])
+        form = with_successor if safe else with_successor_window
+        out = form(hot, ["location"], order, ["depth", "temperature"], position_col="pos")
         out.write.format("noop").mode("overwrite").save()
         results[label] = round(time.perf_counter() - t, 2)
     spark.stop()  # flush the event log
