@@ -78,6 +78,15 @@ def test_stage_and_empty(make_docs):
     assert ngram_components(docs.limit(0)).count() == 0
 
 
+def test_stage_keeps_one_of_each_component(make_docs):
+    """Null ids and rows of one doc_id are told apart by their texts."""
+    rows = [(None, "first text"), (None, "second text"), (None, "Second  text"), (None, ""), (None, " "), (None, "known one"), (4, "known one"),
+            (7, "one of seven"), (7, "another of seven"), (7, "another of  seven"), (7, "another of seven"), (8, ""), (8, "")]
+    got = sorted((r.doc_id is None, r.doc_id, " ".join(r.text.lower().split())) for r in keep_one_of_each(make_docs(rows).repartition(4)).collect())
+    want = [(False, 4, "known one"), (False, 7, "another of seven"), (False, 7, "one of seven"), (False, 8, "")]
+    assert got == [*want, (True, None, ""), (True, None, ""), (True, None, "first text"), (True, None, "second text")]
+
+
 def test_whole_table(spark):
     rows = duckdb.sql("select doc_id, text from '/root/testdata/sf0.01/documents.parquet'").fetchall()
     got = sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in QUERIES["op7_ngram_join"](spark, "/root/testdata/sf0.01").collect())

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermocline.llm.common import id_and_text
@@ -27,9 +27,17 @@ from thermocline.llm.shingles import set_digest, shingle_set
 from thermocline.session import materialize
 
 
+TEXT_HASHES = ("text_1", "text_2")
+
+
+def text_hashes(text: Column) -> dict[str, Column]:
+    """Two hashes that tell the texts of one doc_id apart; a null text is empty."""
+    return {c: F.xxhash64(F.lit(k), F.coalesce(text, F.lit(""))) for k, c in enumerate(TEXT_HASHES)}
+
+
 def _describe(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, n, node, check, counts (the node's point) and keys of every row; node and check are null for empty
-    sets, counts and keys also where the task has had the set already."""
+    """doc_id, two hashes of the text, n, node, check, counts (the node's point) and keys of every row; node and check
+    are null for empty sets, counts and keys also where the task has had the set already."""
 
     def run(batches):
         seen: set[int] = set()
@@ -48,9 +56,11 @@ def _describe(docs: DataFrame, seed: int) -> DataFrame:
                         out.append((n, node, check, None, None))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n", "node", "check", "counts", "keys"])
+                same = [part.column(c) for c in ("doc_id", *TEXT_HASHES)]
+                yield pa.RecordBatch.from_arrays([*same, *columns], names=["doc_id", *TEXT_HASHES, "n", "node", "check", "counts", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, check long, counts binary, keys array<long>")
+    described = docs.withColumns(text_hashes(F.col("text")))
+    return described.mapInArrow(run, "doc_id long, text_1 long, text_2 long, n long, node long, check long, counts binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
@@ -71,8 +81,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, elements array<long>")
 
 
-def ngram_components(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
+def _components(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """The described rows of ``docs``, and root and component_id (its least doc_id) of every node."""
     docs, seed = id_and_text(docs), 0
     while True:
         rows = materialize(_describe(docs, seed), "shingle-sets")
@@ -93,14 +103,29 @@ def ngram_components(docs: DataFrame, hot: int = HOT) -> DataFrame:
     roots = materialize(components(materialize(links(groups, points, fetch, hot), "set-links")), "set-roots")
     placed = materialize(nodes.select("node", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "sets-placed")
     ids = materialize(placed.groupBy("root").agg(F.min("least_id").alias("component_id")), "set-components")
-    of_node = materialize(placed.join(ids, "root").select("node", "component_id"), "set-results")
+    return rows, materialize(placed.join(ids, "root").select("node", "root", "component_id"), "set-results")
+
+
+def ngram_components(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    rows, of_node = _components(docs, hot)
     own = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return rows.where("node is not null").join(of_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(own)
 
 
 def keep_one_of_each(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest doc_id; rows of one doc_id are one document.
-    A null doc_id stays only where its component has no other."""
-    ids = ngram_components(docs, hot).where("doc_id = component_id OR component_id IS NULL").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component: of the smallest doc_id, and of its texts that with the least hashes.
+    A null doc_id stays only where its component has no other. Rows are one document where doc_id and text are equal,
+    but null ids without words are not. Components of one doc_id, or of null ids, each keep theirs."""
+    rows, of_node = _components(docs, hot)
+    least = rows.where("node is not null").join(of_node, "node").where("doc_id = component_id OR component_id IS NULL")
+    least = least.groupBy("root").agg(F.min(F.struct("doc_id", *TEXT_HASHES)).alias("least")).select("least.*")
+    # rows without words link with nothing
+    wanted = least.unionByName(rows.where("node is null AND doc_id is not null").select("doc_id", *TEXT_HASHES))
+    identity = lambda i: {"__id": F.coalesce(i, F.lit(0)), "__no_id": i.isNull()}
+    names = ["__id", "__no_id", *[f"__{c}" for c in TEXT_HASHES]]
+    wanted = wanted.select(*[c.alias(k) for k, c in identity(F.col("doc_id")).items()], *[F.col(c).alias(f"__{c}") for c in TEXT_HASHES]).distinct()
+    unnamed = F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    marked = docs.where(~unnamed).withColumns(identity(F.col("doc_id").cast("long")) | {f"__{c}": h for c, h in text_hashes(F.col("text")).items()})
+    kept = marked.join(wanted, names, "left_semi").dropDuplicates(names)
+    return kept.select(*docs.columns).unionByName(docs.where(unnamed))
