@@ -30,6 +30,15 @@ def test_same_ids_as_tiktoken(known):
         assert bpe.decode(ids) == text.encode()
 
 
+def test_white_space_beside_spaces(known):
+    """A run of spaces and other white space is one match."""
+    bpe, rng = ByteBpe(PATH, P.PATTERN), random.Random(2)
+    alphabet = ["a", "1", ".", " ", " ", "\u00a0", " \u00a0 \u00a0", "\t", "\u2003", "\n", "\x85", "\x1c", "\u3000"]
+    for text in ["Price \u00a0 \u00a0 \u00a0 10", " a", "a ", "\u00a0 b c"] + ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(5000)]:
+        ids = bpe.encode(text)
+        assert [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)] == known.encode_ordinary(text), repr(text)
+
+
 def test_documents(make_docs, known):
     docs = make_docs([(1, "a b c"), (1, "a b c"), (2, None), (None, "x"), *((10 + k, t) for k, t in enumerate(TEXTS))])
     got = round_trip_digests(docs, PATH, P.PATTERN).collect()

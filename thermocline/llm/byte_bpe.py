@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,6 +27,9 @@ from thermocline.llm.common import id_and_text
 NO_PAIR = 1 << 60
 #: Entries of the two per-process caches (pieces between spaces, matches); a full cache is emptied.
 CACHE_ENTRIES = 400_000
+#: A space beside other white space, and one that is not; what re takes as white space holds all that the pattern does.
+WIDE_SPACE = re.compile(r" \s|[^\S ] ")
+SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -123,11 +127,9 @@ class ByteBpe:
         return ids
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text. No match reaches over a single space into what stands before it, so
-        that a text without double spaces is the sequence of its pieces from space to space."""
-        if "  " in text:
-            return b"".join([self._match(m) for m in self.split(text)])
-        first, *rest = text.split(" ")
+        """Ids of a text. No match reaches over a single space between other characters than white space, so that
+        a text is the sequence of its pieces between such spaces."""
+        first, *rest = (SINGLE_SPACE.split(text) if WIDE_SPACE.search(text) else text.split(" "))
         known = self.pieces.get
         out = [self._piece(first)]
         for word in rest:
