@@ -50,6 +50,15 @@ def test_words_apart_encode_like_whole_texts():
         assert np.frombuffer(ids, "<u4").tolist() == one(text)[:-1], repr(text)
 
 
+def test_capitals_with_marks_encode_like_whole_texts():
+    """Composition comes before lower case: some capitals have no composed form; a plainly loaded tokenizer agrees."""
+    rng, plain = random.Random(4), Tokenizer.from_file(PATH)
+    texts = ["H\u0331a", "T\u0308", "J\u030c", "\u0331 H"]
+    texts += ["".join(rng.choices("AHJTWYhjtwyIK\u0331\u0308\u030c\u030a\u0307\u0130 ", k=rng.randrange(40))) for _ in range(800)]
+    for text, ids in zip(texts, word_ids(PATH).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = random.Random(5)
     sizes = [rng.randrange(1, 100) for _ in range(300)]

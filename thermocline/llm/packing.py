@@ -36,8 +36,8 @@ SEPARATORS = ("\u203b", "\u2603", "\u00a4", "~")
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space and case: words between ASCII spaces are encoded apart,
-    each new one once, and kept: a full cache becomes the older one, whose words are taken over when they come again."""
+    """Ids of texts by a tokenizer that drops white space: words between ASCII spaces are encoded apart, each new one
+    once and in its own case, as the tokenizer composes characters before it drops case, and kept: a full cache becomes the older one, whose words are taken over when they come again."""
 
     def __init__(self, path: str):
         import os
@@ -67,7 +67,7 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.encode().lower().split() for t in texts]
+        words = [t.encode().split() for t in texts]
         new = set().union(*words).difference(self.known)
         if len(self.known) + len(new) > CACHE_ENTRIES:
             self.older, self.known = self.known, {}
