@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from thermocline.llm.language_model import DEPTH, is_held_out, log_kt, score_documents
+from thermocline.llm.language_model import DEPTH, in_blocks, is_held_out, log_kt, score_documents
 from thermocline.llm.queries import QUERIES
 
 
@@ -94,6 +94,21 @@ def test_against_plain_tree(make_docs, block_bytes):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(tree.score(text), rel=1e-9)
 
 
+def test_blocks_are_bounded_by_bytes(make_docs):
+    """Long texts side by side do not make a long block, and a long text is alone."""
+    rng, limit = random.Random(8), 20_000
+    sizes = [rng.randrange(300) for _ in range(1500)] + [3000] * 60 + [50_000, 10, 10] + [rng.randrange(300) for _ in range(500)]
+    docs = make_docs([(k, "x" * n) for k, n in enumerate(sizes)]).coalesce(1)
+    blocks, rows = defaultdict(list), in_blocks(docs, limit).collect()
+    for r in rows:
+        blocks[r.block].append(len(r.text) + 1)
+    assert sorted((r.doc_id, len(r.text)) for r in rows) == list(enumerate(sizes))
+    assert all(sum(x) <= 1.25 * limit or len(x) == 1 for x in blocks.values()) and len(blocks) <= 60
+    odd = make_docs([(1, None), (2, "a b " * 400), (None, "a b"), (3, "b c " * 300), (4, "")]).coalesce(1)
+    whole, cut = ({str(r.doc_id): (r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in score_documents(odd, n).collect()} for n in (1 << 20, 900))
+    assert whole == cut and len(cut) == 5
+
+
 def test_empty_and_untrained(make_docs):
     assert score_documents(make_docs([(1, "a")]).limit(0)).count() == 0
     held = next(i for i in range(100) if is_held_out(i))

@@ -9,8 +9,9 @@ weights with which the estimates of all depths along a context mix into the prob
 the next bit.
 
 The counts grow with the corpus and stay distributed. A block is a run of rows of an input file
-(other input is written to files first), so that reading forms the blocks without a shuffle. A
-block gives its distinct (context, byte) grams and words with their training counts; the counts
+(other input is written to files first), so that reading forms the blocks without a shuffle: so
+many rows as hold BLOCK_BYTES on average; runs that hold far more are cut by the running sum
+of their bytes, so that no block has more than 5/4 of BLOCK_BYTES unless it is one text. A block gives its distinct (context, byte) grams and words with their training counts; the counts
 are summed by gram and by word; the tree below a context of three bytes is worked out
 where its grams are, the tree above it, at most 65,536 contexts of two bytes by 255 nodes
 whatever the corpus, on the driver; and each block gets back the values of its own grams and
@@ -39,8 +40,9 @@ from thermocline.llm.shingles import word_hashes
 from thermocline.session import materialize
 
 DEPTH = 5
-#: Bytes of text in a block, on average.
+#: Bytes of text in a block, on average, and rows of a block at most.
 BLOCK_BYTES = 32 << 20
+BLOCK_ROWS = 1 << 18
 CHUNK_BYTES = 1 << 20
 #: Keys that are gathered before they are summed up again.
 MERGE_KEYS = 1_000_000
@@ -261,13 +263,40 @@ def fit_grams(counts: DataFrame) -> DataFrame:
 
 
 def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """(doc_id, text, block) of every row: a block is a run of rows of a file, of the same length everywhere."""
+    """(doc_id, text, block) of every row: a block is a run of rows of a file. Runs are of the same length
+    everywhere; those of more than 5/4 of ``block_bytes`` are cut by _cut."""
     if not _from_files(docs):
         docs = materialize(id_and_text(docs), "documents")
-    size = docs.agg(F.avg(F.octet_length("text") + 1)).first()[0] or 1
-    rows = max(1, int(block_bytes / size))
-    block = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), block.alias("block"))
+    size = docs.agg(F.avg(F.octet_length(F.coalesce("text", F.lit(""))) + 1)).first()[0] or 1
+    rows = max(1, min(BLOCK_ROWS, int(block_bytes / size)))
+    index, run = F.col("_metadata.row_index"), ["file", "run"]
+    columns = [F.col("_metadata.file_path").alias("file"), F.floor(index / rows).alias("run"), F.pmod(index, F.lit(rows)).alias("place")]
+    sizes = docs.select(*columns, (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size"))
+    heavy = materialize(sizes.groupBy(*run).agg(F.sum("size").alias("bytes")).where(F.col("bytes") > block_bytes + block_bytes // 4), "heavy-runs")
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *columns)
+    if heavy.isEmpty():
+        return placed.select("doc_id", "text", F.xxhash64(*run).alias("block"))
+
+    def cuts(key, group):
+        group = group.sort_values("place")
+        return pd.DataFrame({"file": [key[0]], "run": [key[1]], "cuts": [_cut(group["place"].tolist(), group["size"].tolist(), block_bytes)]})
+
+    # heavy runs are at most one for each 5/4 of block_bytes of the table
+    found = sizes.join(F.broadcast(heavy.select(*run)), run).groupBy(*run).applyInPandas(cuts, "file string, run long, cuts array<long>")
+    placed = placed.join(F.broadcast(materialize(found, "block-cuts")), run, "left")
+    part = F.coalesce(F.size(F.filter("cuts", lambda c: c <= F.col("place"))), F.lit(0))
+    return placed.select("doc_id", "text", F.when(F.col("cuts").isNull(), F.xxhash64(*run)).otherwise(F.xxhash64(*run, part)).alias("block"))
+
+
+def _cut(places: list[int], sizes: list[int], block_bytes: int) -> list[int]:
+    """Places at which a new block begins, so that none has more than ``block_bytes`` unless it is one row."""
+    out, total = [], 0
+    for place, size in zip(places, sizes, strict=True):
+        if total and total + size > block_bytes:
+            out.append(place)
+            total = 0
+        total += size
+    return out
 
 
 def _from_files(docs: DataFrame) -> bool:
