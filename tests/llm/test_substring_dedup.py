@@ -73,3 +73,19 @@ def test_paragraphs_cover_the_text():
     words = prose(random.Random(4), 300)
     _, start, end, line = paragraphs(" ".join(words))
     assert line.sum() == 1 and (end - start >= MIN_WORDS).all() and np.diff(start[~line]).min() > 0
+
+
+def test_short_pieces_are_not_lost():
+    """All words between the first and the last cut of a passage belong to a paragraph that moves with it."""
+    rng, lost, first_cut = random.Random(6), 0, []
+    for _ in range(300):
+        passage, found = prose(rng, 60), []
+        for _ in range(2):
+            before = prose(rng, rng.randrange(20, 60))
+            _, start, end, line = paragraphs(" ".join(before + passage + prose(rng, 40)))
+            found.append({(a - len(before), b - len(before)) for a, b in zip(start[~line].tolist(), end[~line].tolist(), strict=True) if a >= len(before) and b <= len(before) + 60})
+        spans = sorted(found[0] & found[1])
+        covered = {w for a, b in spans for w in range(a, b)}
+        first_cut.append(len(covered))
+        lost += bool(spans) and len(covered) < max(b for _, b in spans) - spans[0][0]
+    assert lost == 0 and sum(first_cut) / 300 > 0.64 * 60

@@ -2,7 +2,9 @@
 
 Paragraphs are the lines of a text and, so that a passage inside a longer line is found too,
 the pieces between the words at which a hash of two neighbouring words is least among its
-neighbours: such cuts move with the passage. Both count from MIN_WORDS words on. Equal
+neighbours: such cuts move with the passage. Both count from MIN_WORDS words on; a piece of
+fewer takes in the next one. Words between a passage's edges and the cuts next to them are not
+reported. Equal
 paragraphs meet in a sort by their digest. Lines also get MinHash bands: with two rows to a
 band and seven bands, two lines of a Jaccard similarity of 0.75 on five-word shingles collide
 with a probability of 0.997. Lines that collide are compared exactly (set_join), and the
@@ -50,8 +52,11 @@ def paragraphs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         least[d:] &= pair[d:] < pair[:-d]
         least[:-d] &= pair[:-d] < pair[d:]
     cuts = np.concatenate([[0], np.flatnonzero(least) + 1, [len(hashes)]])
+    to = cuts[1:].copy()
+    short = np.flatnonzero(cuts[1:-1] - cuts[:-2] < MIN_WORDS)  # a short piece takes in the next one, which also counts alone
+    to[short] = cuts[short + 2]
     start = np.concatenate([starts, cuts[:-1]])
-    end = np.concatenate([ends, cuts[1:]])
+    end = np.concatenate([ends, to])
     line = np.arange(len(start)) < len(starts)
     keep = end - start >= MIN_WORDS
     return shingle_hashes(hashes), start[keep], end[keep], line[keep]
