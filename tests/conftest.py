@@ -9,9 +9,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,26 +19,10 @@ def spark():
     s.stop()
 
 
-READING_DDL = (
-    "timestamp timestamp, location string, depth double, temperature double, salinity double, "
-    "dissolved_oxygen double, ph double, turbidity double, chlorophyll double, current_speed double, "
-    "current_direction double"
-)
-
-
-def reading(ts="2024-01-01 00:10:00", location="a", depth=5.0, temperature=10.0, salinity=35.0,
-            dissolved_oxygen=7.0, ph=8.0, turbidity=1.0, chlorophyll=1.0, current_speed=0.5,
-            current_direction=90.0):
-    import datetime as dt
-
-    t = dt.datetime.fromisoformat(ts) if isinstance(ts, str) else ts
-    nums = [depth, temperature, salinity, dissolved_oxygen, ph, turbidity, chlorophyll, current_speed,
-            current_direction]
-    return (t, location, *[None if v is None else float(v) for v in nums])
-
-
 @pytest.fixture
 def make_readings(spark):
+    from core_shared import READING_DDL
+
     def build(rows, with_id=True):
         df = spark.createDataFrame(rows, READING_DDL)
         if with_id:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import reading
+from core_shared import reading
 from pyspark.sql import functions as F
 
 from thermocline.functions.ocean import bounds_flag, depth_layer, density, oxygen_saturation

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import MEDIUM, reading
+from core_shared import MEDIUM, reading
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -74,7 +74,7 @@ def test_global_ph_deviation(spark, make_readings):
 
 @pytest.mark.parametrize("scope,keys", [("location", ["location"]), ("layer", ["w", "location", "depth_layer"])])
 def test_gradient_scopes_match_brute_force(spark, scope, keys):
-    from conftest import SMALL
+    from core_shared import SMALL
     from pyspark.sql import Window as W
 
     r = FX.readings(spark, SMALL)

@@ -6,7 +6,7 @@ import os
 import sys
 
 import pytest
-from conftest import SMALL
+from core_shared import SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from thermocline.operators.ordered import with_successor, with_successor_window
+from thermocline.operators.ordered import large_groups, splitters, with_successor, with_successor_window
 from thermocline.operators.qc import add_gradient_flags
 
 
@@ -23,11 +23,11 @@ def _skewed(spark, n=20000):
     )
 
 
-@pytest.mark.parametrize("slices", [1, 3, 16])
-def test_matches_window_under_skew(spark, slices):
+@pytest.mark.parametrize("per", [20_000, 4_000, 400, 60])
+def test_matches_window_under_skew(spark, per):
     df = _skewed(spark)
     keys, order, carry = ["location"], ["depth", "event_id"], ["depth", "temperature"]
-    fast = with_successor(df, keys, order, carry, position_col="pos", num_slices=slices)
+    fast = with_successor(df, keys, order, carry, position_col="pos", rows_per_slice=per)
     slow = with_successor_window(df, keys, order, carry, position_col="pos")
     cols = ["event_id", "next_depth", "next_temperature", "pos"]
     a = sorted(tuple(r) for r in fast.select(*cols).collect())
@@ -36,23 +36,38 @@ def test_matches_window_under_skew(spark, slices):
     assert a == b
 
 
-def test_hot_key_is_spread(spark):
-    """The hot key must land in several slices, i.e. several tasks."""
+def test_large_groups_are_cut_evenly(spark):
+    """The hot key is spread over slices of about the wanted size, and no other key is cut."""
     df = _skewed(spark)
-    sliced = df.repartitionByRange(16, "location", "depth", "event_id").withColumn("s", F.spark_partition_id())
-    assert sliced.filter("location = 'hot'").select("s").distinct().count() > 4
+    keys, order = ["location"], ["depth", "event_id"]
+    table, sizes, per = large_groups(df, keys, 1000)
+    assert sizes == [10000] and per == 1000 and table.first()["_tc_k0"] == "hot"
+    cuts = splitters(df, keys, order, table, sizes, per)
+    assert 7 <= len(cuts[0]) <= 10
+    depth_of_cut = [float(c["o0"]) for c in cuts[0]]
+    hot = sorted(((r.depth, r.event_id) for r in df.where("location = 'hot'").collect()))
+    edges = [0, *[sum(d < (c["o0"], c["o1"]) for d in hot) for c in cuts[0]], len(hot)]
+    assert depth_of_cut == sorted(depth_of_cut) and max(b - a for a, b in zip(edges, edges[1:], strict=False)) < 2 * per
+
+
+def test_plan_has_one_row_shuffle(spark):
+    df = _skewed(spark)
+    for per in (100_000, 1000):
+        plan = with_successor(df, ["location"], ["depth", "event_id"], ["depth"], rows_per_slice=per)._jdf.queryExecution().executedPlan().toString()
+        rows = [x for x in plan.splitlines() if "Exchange hashpartitioning(location" in x]
+        assert len(rows) == 1 and "rangepartitioning" not in plan
 
 
 def test_multi_column_keys(spark):
     df = _skewed(spark).withColumn("hour", (F.col("event_id") % 3))
     keys, order, carry = ["hour", "location"], ["depth", "event_id"], ["temperature"]
-    a = sorted(tuple(r) for r in with_successor(df, keys, order, carry, num_slices=5).select("event_id", "next_temperature").collect())
+    a = sorted(tuple(r) for r in with_successor(df, keys, order, carry, rows_per_slice=500).select("event_id", "next_temperature").collect())
     b = sorted(tuple(r) for r in with_successor_window(df, keys, order, carry).select("event_id", "next_temperature").collect())
     assert a == b
 
 
 def test_gradient_edge_cases(spark, make_readings):
-    from conftest import reading
+    from core_shared import reading
 
     rows = [
         reading(location="a", depth=10.0, temperature=20.0),
@@ -66,17 +81,17 @@ def test_gradient_edge_cases(spark, make_readings):
     assert got == ["pass", "fail", "pass", "pass"]
 
 
-def test_slices_follow_the_row_count(spark):
-    from thermocline.operators.ordered import plan_slices
+def test_slices_are_bounded_in_number(spark, monkeypatch):
+    from thermocline.operators import ordered
 
-    df = _skewed(spark)
-    assert plan_slices(df) >= 8
-    assert plan_slices(df, rows_per_slice=100) == 200
+    monkeypatch.setattr(ordered, "MAX_SLICES", 8)
+    table, sizes, per = large_groups(_skewed(spark), ["location"], 10)
+    assert per >= 20000 // 8 - 1 and len(sizes) == 1
 
 
 @pytest.mark.parametrize("null_id", [True, False])
 def test_ties_do_not_depend_on_input_order(make_readings, null_id):
-    from conftest import reading
+    from core_shared import reading
 
     from thermocline.plans.ocean_metrics import ocean_metrics_batch
     from thermocline.streaming.metrics_stream import ocean_metrics_from_readings
@@ -97,7 +112,7 @@ def test_ties_do_not_depend_on_input_order(make_readings, null_id):
 
 def test_empty_input(spark):
     df = _skewed(spark).limit(0)
-    out = with_successor(df, ["location"], ["depth", "event_id"], ["depth"], position_col="pos", num_slices=4)
+    out = with_successor(df, ["location"], ["depth", "event_id"], ["depth"], position_col="pos", rows_per_slice=4)
     assert out.count() == 0 and "next_depth" in out.columns and "pos" in out.columns
 
 
@@ -116,12 +131,12 @@ _rows = st.lists(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=_rows, slices=st.integers(1, 7))
-def test_successor_property(spark, rows, slices):
+@given(rows=_rows, per=st.integers(1, 20))
+def test_successor_property(spark, rows, per):
     data = [(i, k, d, v) for i, (k, d, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "event_id long, location string, depth double, temperature double")
     keys, order, carry = ["location"], ["depth", "event_id"], ["depth", "temperature"]
-    fast = with_successor(df, keys, order, carry, position_col="pos", num_slices=slices)
+    fast = with_successor(df, keys, order, carry, position_col="pos", rows_per_slice=per)
     slow = with_successor_window(df, keys, order, carry, position_col="pos")
     cols = ["event_id", "next_depth", "next_temperature", "pos"]
     assert sorted(map(tuple, fast.select(*cols).collect())) == sorted(map(tuple, slow.select(*cols).collect()))
@@ -140,12 +155,12 @@ _rows2 = st.lists(
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=_rows2, slices=st.integers(2, 6))
-def test_successor_property_two_keys(spark, rows, slices):
+@given(rows=_rows2, per=st.integers(1, 10))
+def test_successor_property_two_keys(spark, rows, per):
     data = [(i, h, k, d, v) for i, (h, k, d, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "event_id long, hour int, location string, depth double, temperature double")
     keys, order, carry = ["hour", "location"], ["depth", "event_id"], ["temperature"]
-    fast = with_successor(df, keys, order, carry, position_col="pos", num_slices=slices)
+    fast = with_successor(df, keys, order, carry, position_col="pos", rows_per_slice=per)
     slow = with_successor_window(df, keys, order, carry, position_col="pos")
     cols = ["event_id", "next_temperature", "pos"]
     assert sorted(map(tuple, fast.select(*cols).collect())) == sorted(map(tuple, slow.select(*cols).collect()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import SMALL
+from core_shared import SMALL
 from pyspark.sql import functions as F
 
 from thermocline import feed_fixtures as FF

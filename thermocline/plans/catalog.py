@@ -94,7 +94,8 @@ def profile_positions(spark, sf_dir):
     df = add_profile_neighbours(
         FX.readings(spark, sf_dir), keys=["location"], position_col="profile_position"
     )
-    return df.select("event_id", "location", "depth", "profile_position", "next_depth", "next_temp")
+    position = F.col("profile_position").cast("int").alias("profile_position")
+    return df.select("event_id", "location", "depth", position, "next_depth", "next_temp")
 
 
 @query("gradient_qc")
