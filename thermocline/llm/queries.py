@@ -8,6 +8,7 @@ from thermocline.llm import language_model
 from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
 from thermocline.llm.exact_dedup import exact_duplicates
+from thermocline.llm.hard_negatives import mine_hard_negatives, relabelled
 from thermocline.llm.ngram_join import ngram_components
 from thermocline.llm.packing import pack_documents
 from thermocline.llm.secret_scan import scan
@@ -103,3 +104,31 @@ def op4(spark, sf_dir):
 @query("op9_language_model")
 def op9(spark, sf_dir):
     return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+               CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+        FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ), p AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+           other_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
+    """,
+)
+def op11(spark, sf_dir):
+    return mine_hard_negatives(relabelled(table(spark, sf_dir, "embeddings")))
