@@ -7,6 +7,7 @@ import public_tokenizers
 from thermocline.llm import language_model
 from thermocline.llm.byte_bpe import round_trip_digests
 from thermocline.llm.common import table
+from thermocline.llm.conversation_repair import damage, repair_report
 from thermocline.llm.exact_dedup import exact_duplicates
 from thermocline.llm.hard_negatives import mine_hard_negatives, relabelled
 from thermocline.llm.ngram_join import ngram_components
@@ -132,3 +133,9 @@ def op9(spark, sf_dir):
 )
 def op11(spark, sf_dir):
     return mine_hard_negatives(relabelled(table(spark, sf_dir, "embeddings")))
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(conversations, damage(conversations))
