@@ -6,6 +6,7 @@ import public_tokenizers
 
 from thermocline.llm import language_model
 from thermocline.llm.byte_bpe import round_trip_digests
+from thermocline.llm.chat_format import chat_windows, conversation_digests, with_control_strings
 from thermocline.llm.common import table
 from thermocline.llm.conversation_repair import damage, repair_report
 from thermocline.llm.exact_dedup import exact_duplicates
@@ -139,3 +140,47 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations")
     return repair_report(conversations, damage(conversations))
+
+
+@query(
+    "op13_chat_format",
+    r"""
+    WITH RECURSIVE c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), t AS (
+        SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n,
+               len(regexp_extract_all(text, ' ?\p{L}{1,6}| ?\p{N}{1,3}|[^\p{L}\p{N}]')) + 8 AS tokens,
+               length('<s>[INST]  [/INST] </s>') + list_sum([length(replace(replace(replace(replace(replace(x, '\', '\\'),
+                   '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) FOR x IN [role, text]]) AS chars
+        FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role)
+    ), s AS (
+        SELECT conv_id, tokens AS sys_tokens, chars AS sys_chars FROM t
+        WHERE pos = 1 AND role = 'system' AND n > 1 AND 2 * tokens <= 512
+    ), a AS (
+        SELECT t.conv_id, pos // 1024 AS seg, pos, n, tokens, chars, 416 - coalesce(sys_tokens, 0) AS room, coalesce(sys_chars, 0) AS sys_chars,
+               row_number() OVER (PARTITION BY t.conv_id, pos // 1024 ORDER BY pos) AS place
+        FROM t LEFT JOIN s ON s.conv_id = t.conv_id WHERE sys_chars IS NULL OR pos > 1
+    ), r AS (
+        SELECT conv_id, seg, place, 1::BIGINT AS start, tokens AS used FROM a WHERE place = 1
+        UNION ALL
+        SELECT a.conv_id, a.seg, a.place, CASE WHEN used + tokens > room THEN a.place ELSE start END, CASE WHEN used + tokens > room THEN tokens ELSE used + tokens END
+        FROM r JOIN a ON a.conv_id = r.conv_id AND a.seg = r.seg AND a.place = r.place + 1
+    ), f AS (
+        SELECT a.*, start, sum(tokens) OVER back AS tail, row_number() OVER back AS nth
+        FROM a JOIN r USING (conv_id, seg, place) WINDOW back AS (PARTITION BY conv_id, seg, start ORDER BY place DESC)
+    ), w AS (
+        SELECT conv_id, seg, start, sum(tokens) > any_value(room) AS oversized, sum(chars) + any_value(sys_chars) AS chars,
+               coalesce(sum(chars) FILTER (tail <= 96 AND nth <= 4), 0) AS again_chars
+        FROM f GROUP BY ALL
+    ), x AS (
+        SELECT conv_id, chars + CASE WHEN oversized THEN 0 ELSE lag(again_chars, 1, 0::HUGEINT) OVER (PARTITION BY conv_id ORDER BY seg, start) END AS chars FROM w
+    ), y AS (SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM x GROUP BY 1)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+    FROM t JOIN y USING (conv_id) GROUP BY conv_id
+    """,
+)
+def op13(spark, sf_dir):
+    return conversation_digests(chat_windows(with_control_strings(table(spark, sf_dir, "conversations"))))
