@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from core_shared import SMALL
 from pyspark.sql import functions as F
 
@@ -132,3 +133,44 @@ def test_bad_messages_dropped_at_windowing(spark, tmp_path):
     rows = sorted((r["window_start"].hour, r["measurement_count"], r["temp_max"]) for r in got.collect())
     # last event 02:10 -> watermark 01:55: only hour 0 is closed; bad rows counted nowhere
     assert rows == [(0, 1, 10.0)]
+
+
+def _one_station(spark, n=4000):
+    """One station and one hour: null, NaN, repeated and close depths, in all layers, tied times and missing values."""
+    i = F.col("id")
+    depth = F.when(i % 50 == 0, F.lit(None)).when(i % 51 == 0, F.lit(float("nan"))).when(i % 3 == 0, F.lit(5.0)).otherwise((i * 7919 % 12000) / 8.0)
+    return spark.range(n).select(
+        F.timestamp_seconds(1704067200 + (i * 31) % 3600).alias("timestamp"),
+        F.lit("hot").alias("location"),
+        depth.cast("double").alias("depth"),
+        F.when(i % 17 != 0, 10.0 + F.sin(i.cast("double")) * 3).alias("temperature"),
+        *[(8.0 + (i % k) / 10.0).alias(c) for c, k in (("salinity", 400), ("dissolved_oxygen", 7), ("ph", 11))],
+        *[F.when(i % 5 != 0, (i % k) / 10.0).alias(c) for c, k in (("turbidity", 13), ("chlorophyll", 9), ("current_speed", 8))],
+        (i % 360).cast("double").alias("current_direction"),
+        i.alias("event_id"),
+    )
+
+
+@pytest.mark.parametrize("scope", ["profile", "layer"])
+def test_summaries_equal_the_batch_plan_on_one_station(spark, scope):
+    from thermocline.streaming.metrics_stream import ocean_metrics_from_readings
+
+    readings = _one_station(spark)
+    batch = ocean_metrics_batch(readings, gradient_scope=scope)
+    summed = ocean_metrics_from_readings(readings, gradient_scope=scope)
+    assert sum(r["gradient_qc_failures"] for r in batch.collect()) > 100
+    assert _rows(summed.select(*batch.columns)) == _rows(batch)
+
+
+def test_state_of_a_hot_depth_does_not_grow_with_its_rows(spark):
+    """Rows that share a depth are one summary; a profile holds a summary a bucket."""
+    from thermocline.operators.derive import add_derived
+    from thermocline.operators.profile_summary import by_bucket, by_depth
+    from thermocline.operators.qc import add_bound_flags
+
+    readings = _one_station(spark)
+    flagged = add_bound_flags(add_derived(readings.withColumn("depth", F.floor("depth") % 30 + F.lit(0.5))))
+    depths = by_depth(flagged, "1 hour")
+    assert depths.count() == flagged.select("depth").distinct().count() <= 32
+    assert by_bucket(depths, "1 hour").count() <= 32
+    assert "collect_list" not in depths._jdf.queryExecution().optimizedPlan().toString()

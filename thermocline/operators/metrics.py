@@ -1,6 +1,5 @@
 """Windowed statistics per (window, location, depth layer), shared by
-batch and Structured Streaming, plus W4 (gradient failures from a collected
-profile, the stream-legal form) and W5 (deviation from the global pH mean).
+batch and Structured Streaming, plus W5 (deviation from the global pH mean).
 """
 
 from __future__ import annotations
@@ -84,42 +83,19 @@ def window_bounds(window_col: str = "window") -> list[Column]:
     ]
 
 
-def profile_array(fields: Sequence[str]) -> Column:
-    """W4 input: the group's readings as an array sorted by (depth, time, id, ...)."""
-    return F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in fields])))
-
-
-def gradient_failures_in_array(profile: str | Column, measurement: str = "temperature") -> Column:
-    """Number of consecutive pairs in a depth-sorted profile array whose
-    |d value| / d depth exceeds the limit (equal depths give NULL: a pass)."""
-    arr = F.col(profile) if isinstance(profile, str) else profile
-    _, limit = TH.GRADIENT_LIMITS[measurement]
-    n = F.size(arr)
-    this, nxt = F.slice(arr, F.lit(1), n - 1), F.slice(arr, F.lit(2), n - 1)
-    fails = F.zip_with(
-        this,
-        nxt,
-        lambda a, b: F.try_divide(F.abs(b[measurement] - a[measurement]), b["depth"] - a["depth"]) > F.lit(limit),
-    )
-    return F.size(F.filter(fails, lambda f: f)).cast("bigint")
-
-
 def ocean_metrics(
     df: DataFrame,
     duration: str = TH.WINDOW_DURATION,
     metrics: Sequence[str] | None = None,
     time_col: str = "timestamp",
-    gradient_from: str = "flag",
-    profile_fields: Sequence[str] = ("depth", "timestamp", "event_id", "temperature"),
     window_start_col: str | None = None,
 ) -> DataFrame:
     """Group by (tumbling window, location, depth_layer) and compute ``metrics``
     (default: all of A1-A28). Output: window_start, window_end, location,
     depth_layer, metrics...
 
-    ``gradient_from="flag"`` sums the row-level ``temp_gradient_qc`` flag (batch);
-    ``"array"`` computes it from the group's collected profile (W4; legal on a
-    stream, pairs only within the group).
+    ``gradient_qc_failures`` sums the row-level ``temp_gradient_qc`` flag (batch; streams take
+    ``operators.profile_summary``).
 
     ``window_start_col`` (batch only): group by an existing window-start column
     instead of ``window(time_col)``. When the frame is already hash-partitioned
@@ -128,11 +104,7 @@ def ocean_metrics(
     """
     metrics = list(metrics or ALL_METRICS)
     all_aggs = ocean_aggregations()
-    aggs = [all_aggs[m].alias(m) for m in metrics if not (m == "gradient_qc_failures" and gradient_from == "array")]
-    want_array = "gradient_qc_failures" in metrics and gradient_from == "array"
-    if want_array:
-        fields = [f for f in profile_fields if f in df.columns]
-        aggs.append(profile_array(fields).alias("_profile"))
+    aggs = [all_aggs[m].alias(m) for m in metrics]
     if window_start_col:
         grouped = df.filter(F.col(window_start_col).isNotNull()).groupBy(window_start_col, *GROUP_KEYS).agg(*aggs)
         start = F.col(window_start_col)
@@ -144,12 +116,7 @@ def ocean_metrics(
     else:
         grouped = df.groupBy(F.window(time_col, duration).alias("window"), *GROUP_KEYS).agg(*aggs)
         cols = [*window_bounds(), *GROUP_KEYS]
-    for m in metrics:
-        if m == "gradient_qc_failures" and want_array:
-            cols.append(gradient_failures_in_array("_profile").alias(m))
-        else:
-            cols.append(F.col(m))
-    return grouped.select(*cols)
+    return grouped.select(*cols, *metrics)
 
 
 def ph_global_deviation(df: DataFrame, duration: str = TH.WINDOW_DURATION) -> DataFrame:

@@ -6,19 +6,14 @@ statistics -> E1-E5 -> append sink (Parquet, or Delta when available),
 checkpointed, partitioned by the window's date.
 
 Window functions over non-time partitions are refused on streams, so the
-gradient check (W4) is computed inside the stateful aggregation: each group
-collects (depth, time, id, value) and consecutive pairs are compared after the
-window closes.
+gradient check (W4) is computed from mergeable summaries in chained stateful
+aggregations (``operators.profile_summary``): per depth, per depth bucket, per
+profile, per layer. No step gathers readings, so neither state nor tasks grow
+with the rows of a hot station.
 
-* ``gradient_scope="layer"``: pairs within (window, location, layer);
-  one stateful aggregation whose state per group is the group's (depth, time,
-  id, temperature) tuples.
+* ``gradient_scope="layer"``: pairs within (window, location, layer).
 * ``gradient_scope="profile"`` (default, as in the batch plan): pairs across layers within (window, location),
-  as the batch flagship does. A first stateful aggregation per (window,
-  location) collects the rows, flags each row's gradient on the sorted array and
-  re-emits the rows; a second one (event time = ``window_time`` of the first
-  window) computes the statistics per layer. More state: whole rows are held
-  until their window closes.
+  as the batch flagship does; one aggregation more.
 
 Batch output with the same scope equals the stream's closed windows. For large
 state choose the RocksDB state store provider.
@@ -34,41 +29,14 @@ from pyspark.sql.streaming import StreamingQuery
 from thermocline import thresholds as TH
 from thermocline.operators.derive import add_derived, parse_messages
 from thermocline.operators.enrich import enrich_metrics
-from thermocline.operators.metrics import air_quality_metrics, ocean_metrics
+from thermocline.operators.metrics import air_quality_metrics
+from thermocline.operators.profile_summary import summarised_metrics
 from thermocline.operators.qc import add_bound_flags
 from thermocline.schemas import AIR_MESSAGE_SCHEMA, READING_MESSAGE_SCHEMA
 
 EVENT_ID = T.StructType([T.StructField("event_id", T.LongType(), True)])
 
 
-ROW_FIELDS = [
-    "timestamp", "depth", "temperature", "salinity", "dissolved_oxygen", "ph", "turbidity", "chlorophyll",
-    "current_speed", "current_direction", "depth_layer", "density", "oxygen_saturation",
-    "temp_qc_flag", "salinity_qc_flag", "oxygen_qc_flag", "ph_qc_flag",
-]
-
-
-def _profile_rows_with_gradient(flagged: DataFrame, duration: str) -> DataFrame:
-    """Stage 1 of the "profile" scope: per (window, location) sort the rows by
-    (depth, time, id), flag each row against its successor, re-emit the rows."""
-    order = [c for c in ("depth", "timestamp", "event_id") if c in flagged.columns]
-    fields = order + [c for c in ROW_FIELDS if c not in order]
-    grouped = flagged.groupBy(F.window("timestamp", duration).alias("w"), "location").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_rows")
-    )
-    _, limit = TH.GRADIENT_LIMITS["temperature"]
-    n = F.size("_rows")
-
-    def flag(x, i):
-        nxt = F.element_at(F.col("_rows"), i + 2)  # 1-based: the element after x
-        rate = F.try_divide(F.abs(nxt["temperature"] - x["temperature"]), nxt["depth"] - x["depth"])
-        fail = F.when((i + 1 < n) & (rate > F.lit(limit)), F.lit("fail")).otherwise(F.lit("pass"))
-        return F.struct(*[x[c].alias(c) for c in fields], fail.alias("temp_gradient_qc"))
-
-    rows = grouped.select("w", "location", F.explode(F.transform("_rows", flag)).alias("r"))
-    return rows.select(F.window_time("w").alias("_event_time"), "location", "r.*")
-
-
 def ocean_metrics_from_readings(
     readings: DataFrame,
     duration: str = TH.WINDOW_DURATION,
@@ -77,12 +45,7 @@ def ocean_metrics_from_readings(
 ) -> DataFrame:
     """Typed readings (stream or batch) -> enriched metrics, stream-legal form."""
     flagged = add_bound_flags(add_derived(readings)).withWatermark("timestamp", watermark)
-    if gradient_scope == "layer":
-        return enrich_metrics(ocean_metrics(flagged, duration, gradient_from="array"))
-    if gradient_scope == "profile":
-        rows = _profile_rows_with_gradient(flagged, duration)
-        return enrich_metrics(ocean_metrics(rows, duration, time_col="_event_time", gradient_from="flag"))
-    raise ValueError(f"gradient_scope must be layer or profile, not {gradient_scope!r}")
+    return enrich_metrics(summarised_metrics(flagged, duration, gradient_scope))
 
 
 def ocean_metrics_from_messages(
