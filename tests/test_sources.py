@@ -291,3 +291,59 @@ def test_observatory_garbage_is_rejected(spark):
     points, rejects = parse_observatory_docs(spark.createDataFrame([("f", doc)], "file string, value string"))
     assert [(r.location, r.temperature) for r in points.collect()] == [("q", 0.0)]
     assert [r.reason for r in rejects.collect()] == ["unparsable number"]
+
+
+def test_lines_of_a_large_file_are_numbered_over_ranges(spark, tmp_path):
+    """One file read by many tasks, beside small ones and an empty one."""
+    (tmp_path / "big.txt").write_text("\n".join(f"line {k} " + "x" * (k % 37) for k in range(20_000)) + "\n")
+    (tmp_path / "crlf.txt").write_bytes(b"a\r\nb\r\n\r\nc")
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "s.txt").write_text("one\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = read_landed_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path / "big.txt")).rdd.getNumPartitions() > 10
+        got = {(r.file.rsplit("/", 1)[1], r.line_no): r.line for r in lines.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == 20_005
+    assert all(got["big.txt", k].startswith(f"line {k} ") for k in range(20_000))
+    assert [got["crlf.txt", k] for k in range(4)] == ["a", "b", "", "c"] and got["s.txt", 0] == "one"
+
+
+def _station_rows(spark, tmp_path, header, row, **options):
+    (tmp_path / "44001.txt").write_text(f"{header}\n#units\n{row}\n")
+    readings, rejects = parse_station_lines(read_landed_lines(spark, str(tmp_path)), **options)
+    return readings.collect(), [r["reason"] for r in rejects.collect()]
+
+
+def test_time_fields_are_found_by_name(spark, tmp_path):
+    """A header without minutes: no field beside it is taken for them."""
+    header = "#YY MM DD hh WDIR WSPD GST WVHT DPD APD MWD PRES ATMP WTMP DEWP VIS"
+    row = "2024 01 15 12 45 5.0 7.0 1 2 3 4 1013 9.0 11.5 8.0 9"
+    assert _station_rows(spark, tmp_path, header, row) == ([], ["no valid event time"])
+    readings, rejects = _station_rows(spark, tmp_path, header, row, default_minute=0)
+    assert rejects == [] and [(r["timestamp"].hour, r["timestamp"].minute, r["current_direction"]) for r in readings] == [(12, 0, 45.0)]
+
+
+def test_rows_without_a_valid_time_are_rejected(spark, tmp_path):
+    header = "#YY MM DD hh mm WDIR WSPD GST WVHT DPD APD MWD PRES ATMP WTMP DEWP"
+    for when in ("2024 13 15 12 00", "2024 02 30 12 00", "2024 01 15 MM 00", "2024 01 15 12 230"):
+        assert _station_rows(spark, tmp_path, header, f"{when} 230 5.0 7.0 1 2 3 4 1013 9.0 11.5 8.0") == ([], ["no valid event time"])
+    shuffled = "#mm hh DD MM YY WDIR WSPD GST WVHT DPD APD MWD PRES ATMP WTMP DEWP"
+    readings, _ = _station_rows(spark, tmp_path, shuffled, "30 12 15 01 2024 230 5.0 7.0 1 2 3 4 1013 9.0 11.5 8.0")
+    assert [(r["timestamp"].day, r["timestamp"].minute) for r in readings] == [(15, 30)]
+
+
+def test_observatory_documents_by_line(spark, tmp_path):
+    from thermocline.sources.feeds import observatory_feed_from
+
+    point = '{"time": "2024-01-15T12:00:00", "platform_code": "p", "depth": 1.0, "temperature": %d}'
+    folder = tmp_path / "docs" / "node=n1" / "instrument=ctd"
+    folder.mkdir(parents=True)
+    (folder / "d.json").write_text("\n".join('{"data": [%s, %s]}' % (point % k, point % (k + 100)) for k in range(50)) + "\n\n{broken\n")
+    (tmp_path / "inv").mkdir()
+    (tmp_path / "inv" / "n1.json").write_text('[{"node": "n1", "instrument": "ctd"}]')
+    feed, rejects = observatory_feed_from(spark, str(tmp_path / "docs"), str(tmp_path / "inv"), per_line=True)
+    assert feed.count() == 100 and rejects.count() == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +13,9 @@ from thermocline.operators.derive import parse_messages
 from thermocline.operators.timerange import last_hours
 from thermocline.plans.catalog import query, rounded
 from thermocline.schemas import READING_COLUMNS
+from thermocline.session import checkpoint_root
 from thermocline.sources.combine import source_validity, union_sources
+from thermocline.sources.feeds import observatory_feed_from, station_feed
 from thermocline.sources.float_profiles import conform_float, float_list, profiles_of_listed_floats
 from thermocline.sources.landing import file_stem
 from thermocline.sources.messages import message_schema, readings_from_json_map
@@ -93,6 +97,49 @@ def station_rejects(spark, sf_dir):
     )
 
 
+def _land(df, name: str, *folders: str) -> str:
+    """Write the ``value`` column of ``df`` as text files, in folders by the other columns; the landing path."""
+    path = f"{checkpoint_root(df.sparkSession)}/thermocline/landing-{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*folders).text(path)
+    return path
+
+
+def _land_stations(spark, sf_dir):
+    lines = FF.station_lines(spark, sf_dir).withColumn("station", file_stem("file"))
+    in_files = lines.repartition("station").sortWithinPartitions("station", "line_no")
+    return _land(in_files.select("station", F.col("line").alias("value")), "stations", "station")
+
+
+STATION_FOLDER = r"station=([^/]+)/"
+
+
+@query("landed_station_feed")
+def landed_station_feed(spark, sf_dir):
+    """S4, F1, F2, S16, C1 over station files on disk, read by byte range (one folder a station)."""
+    readings, _ = station_feed(spark, _land_stations(spark, sf_dir), location=F.regexp_extract("file", STATION_FOLDER, 1))
+    return _out(readings)
+
+
+@query("landed_station_rejects")
+def landed_station_rejects(spark, sf_dir):
+    """S16 over the same files: rejected lines per station and reason, with the first one's number."""
+    _, rejects = station_feed(spark, _land_stations(spark, sf_dir), location=F.regexp_extract("file", STATION_FOLDER, 1))
+    return rejects.groupBy(F.regexp_extract("file", STATION_FOLDER, 1).alias("location"), "reason").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("line_no").alias("first_line")
+    )
+
+
+@query("landed_observatory_feed")
+def landed_observatory_feed(spark, sf_dir):
+    """S6, S7, S8, C2 over document files on disk, a document a line, and inventory files."""
+    docs = FF.observatory_docs(spark, sf_dir).select(F.regexp_extract("file", "observatory/(.*)/part", 1).alias("at"), "value")
+    parts = F.split("at", "/")
+    landed = _land(docs.select(parts[0].alias("node"), parts[1].alias("instrument"), "value"), "documents", "node", "instrument")
+    inventory = FF.inventory_docs(spark, sf_dir).select(file_stem("file").alias("of"), "value")
+    feed, _ = observatory_feed_from(spark, landed, _land(inventory, "inventory", "of"), per_line=True)
+    return _out(feed)
+
+
 @query("ndbc_station_list")
 def ndbc_station_list(spark, sf_dir):
     return station_list(FF.station_table_lines(spark, sf_dir))

@@ -82,6 +82,15 @@ SELECT CAST(41000 + user_id % 50 AS VARCHAR) AS location,
             ELSE 'file has a short row' END AS reason,
        count(*) AS n_lines
 FROM readings WHERE user_id % 50 IN (SELECT st FROM bad) GROUP BY 1, 2"""
+ORACLE["landed_station_feed"] = ORACLE["ndbc_station_feed"]
+ORACLE["landed_station_rejects"] = R + """,
+bad AS (SELECT DISTINCT user_id % 50 AS st FROM readings WHERE user_id % 50 = 3 AND event_id % 7 = 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id % 50 ORDER BY event_id) + 1 AS line_no FROM readings)
+SELECT CAST(41000 + user_id % 50 AS VARCHAR) AS location,
+       CASE WHEN user_id % 50 = 3 AND event_id % 7 = 0 THEN 'fewer than 15 fields'
+            ELSE 'file has a short row' END AS reason,
+       count(*) AS n_lines, min(line_no) AS first_line
+FROM numbered WHERE user_id % 50 IN (SELECT st FROM bad) GROUP BY 1, 2"""
 ORACLE["ndbc_station_list"] = "SELECT DISTINCT CAST(41000 + user_id % 50 AS VARCHAR) AS station_id FROM events"
 
 OBSERVATORY = R + " SELECT " + common(
@@ -92,6 +101,7 @@ OBSERVATORY = R + " SELECT " + common(
     }
 ) + " FROM readings WHERE event_type <> 'error'"
 ORACLE["ooi_feed"] = OBSERVATORY
+ORACLE["landed_observatory_feed"] = OBSERVATORY
 ORACLE["ooi_inventory"] = (
     "SELECT DISTINCT 'station_' || CAST(user_id % 5 AS VARCHAR) AS node, event_type AS instrument"
     " FROM events WHERE event_type <> 'error'"

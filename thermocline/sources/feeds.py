@@ -8,6 +8,7 @@ parsing), raises when nothing usable arrived, and returns the conformed
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from thermocline.sources.combine import union_sources
 from thermocline.sources.float_profiles import (
@@ -29,15 +30,15 @@ from thermocline.sources.product_tables import (
     products_of_catalogue,
     read_products,
 )
-from thermocline.sources.station_text import conform_station, parse_station_text, station_list
+from thermocline.sources.station_text import conform_station, parse_station_lines, station_list
 
 
 def station_feed(
     spark: SparkSession, stations_path: str, station_table_path: str | None = None, **parse_options
 ) -> tuple[DataFrame, DataFrame]:
-    """Station text files (one per station) -> (readings, rejects). With a station
-    table, only listed stations are kept. Raises when no station gave data."""
-    readings, rejects = parse_station_text(read_landed_text(spark, stations_path), **parse_options)
+    """Station text files (one per station, of any size: they are read by byte range) -> (readings, rejects).
+    With a station table, only listed stations are kept. Raises when no station gave data."""
+    readings, rejects = parse_station_lines(read_landed_lines(spark, stations_path), **parse_options)
     if station_table_path:
         listed = station_list(read_landed_lines(spark, station_table_path)).withColumnRenamed("station_id", "location")
         readings = readings.join(listed.distinct(), "location", "left_semi")
@@ -45,10 +46,15 @@ def station_feed(
 
 
 def observatory_feed_from(
-    spark: SparkSession, docs_path: str, inventory_path: str, missing: str = "zero"
+    spark: SparkSession, docs_path: str, inventory_path: str, missing: str = "zero", per_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Observatory JSON documents under <node>/<instrument>/ -> (readings, rejects)."""
-    points, rejects = parse_observatory_docs(read_landed_text(spark, docs_path), missing)
+    """Observatory JSON documents under <node>/<instrument>/ -> (readings, rejects). With ``per_line`` each line of
+    a file is a document: such files may be of any size, as they are read by byte range."""
+    if per_line:
+        docs = read_landed_lines(spark, docs_path).where(F.trim("line") != "").select("file", F.col("line").alias("value"))
+    else:
+        docs = read_landed_text(spark, docs_path)
+    points, rejects = parse_observatory_docs(docs, missing)
     inventory = parse_inventory(read_landed_text(spark, inventory_path))
     feed = conform_observatory(observatory_feed(points, inventory))
     return require_rows(feed, "No data could be retrieved from any instrument"), rejects

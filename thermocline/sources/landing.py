@@ -1,13 +1,13 @@
 """Landed text: whole files as rows, and files split into numbered lines.
 
 Feeds arrive as files in a landing folder (one per station, document, float
-list, ...). Spark reads them in parallel, one task per file or file group; the
-driver never opens one.
+list, ...). Spark reads them in parallel; the driver never opens one. Lines are read by
+byte range (a file may be larger than a task), documents (JSON, XML) a file at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,24 @@ def landed_lines(text: DataFrame) -> DataFrame:
 
 
 def read_landed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) for every file under ``path``."""
-    return landed_lines(read_landed_text(spark, path))
+    """(file, line_no, line) for every file under ``path`` (a folder, searched recursively, or a glob).
+
+    Files are read by byte range, so one large file is read by many tasks. A range's lines come in
+    order and are numbered as they are read; a count of lines for each (file, range), one row a range,
+    says how many lines of the file stand before it. Lines end at LF, CRLF or CR; a trailing one makes
+    no extra line. The numbers hold for one reading of the folder: files that change meanwhile break them.
+    """
+    # The row id is not deterministic in Spark's sense, so no filter on the result reaches the
+    # scans below it: both branches read the same ranges in the same tasks and agree on the ids.
+    raw = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_from"),
+        F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"),
+    )
+    ranges = raw.groupBy("file", "_from").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.withColumn("_before", F.coalesce(before, F.lit(0)))
+    line_no = (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no")
+    return raw.join(ranges, ["file", "_from"]).select("file", line_no, "line")
 
 
 def file_stem(file_col: str = "file") -> F.Column:

@@ -79,8 +79,9 @@ def parse_inventory(docs: DataFrame) -> DataFrame:
 
 
 def node_instrument_from_path(points: DataFrame, file_col: str = "file") -> DataFrame:
-    """Attach (node, instrument) from a ``.../<node>/<instrument>/<doc>`` path."""
-    pattern = r"([^/]+)/([^/]+)/[^/]+$"
+    """Attach (node, instrument) from a ``.../<node>/<instrument>/<doc>`` path, whose folders may also be
+    named ``key=value`` as table writers do."""
+    pattern = r"(?:\w+=)?([^/]+)/(?:\w+=)?([^/]+)/[^/]+$"
     return points.withColumns(
         {"node": F.regexp_extract(file_col, pattern, 1), "instrument": F.regexp_extract(file_col, pattern, 2)}
     )

@@ -46,12 +46,11 @@ def _pos_col(name: str) -> str:
 
 def _position_expr(names: Column, name: str) -> Column:
     """1-based position of header field ``name``. Only without a usable header, one that names any
-    standard field, is it the standard position; a measured field that a header lacks has none."""
+    standard field, is it the standard position; a field that a header lacks has none, time fields too."""
     pos = F.array_position(names, F.lit(name))
     fallback = F.lit(STANDARD_FIELDS.index(name) + 1) if name in STANDARD_FIELDS else F.lit(None)
-    if name not in TIME_FIELDS:
-        usable = F.coalesce(F.arrays_overlap(names, F.array(*map(F.lit, STANDARD_FIELDS))), F.lit(False))
-        fallback = F.when(~usable, fallback)
+    usable = F.coalesce(F.arrays_overlap(names, F.array(*map(F.lit, STANDARD_FIELDS))), F.lit(False))
+    fallback = F.when(~usable, fallback)
     return F.when(pos > 0, pos).otherwise(fallback).cast("int")
 
 
@@ -80,7 +79,13 @@ def _names_from_header(header: Column) -> Column:
 
 
 def _finish(
-    data: DataFrame, missing: str, on_bad_row: str, fmap: dict[str, str], ingest_time: bool = False
+    data: DataFrame,
+    missing: str,
+    on_bad_row: str,
+    fmap: dict[str, str],
+    ingest_time: bool = False,
+    default_minute: int | None = None,
+    location: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """data: (file, line_no, line, _fields, field positions, _bad, _file_bad) -> (readings, rejects)."""
     if on_bad_row == "drop_file":
@@ -89,14 +94,17 @@ def _finish(
         drop = F.col("_bad")
     else:
         raise ValueError(f"on_bad_row must be drop_file or drop_row, not {on_bad_row!r}")
-    reason = F.when(F.col("_bad"), F.lit("fewer than 15 fields")).otherwise(F.lit("file has a short row"))
-    rejects = data.filter(drop).select("file", "line_no", "line", reason.alias("reason"))
-    good = data.filter(~drop)
     t = [_field(f).try_cast("int") for f in TIME_FIELDS]
+    if default_minute is not None:
+        t[4] = F.when(F.col(_pos_col("mm")).isNull(), F.lit(default_minute)).otherwise(t[4])
     event_time = F.try_make_timestamp(t[0], t[1], t[2], t[3], t[4], F.lit(0), F.lit("UTC"))
-    readings = good.select(
-        event_time.alias("timestamp"),
-        file_stem("file").alias("location"),
+    data = data.withColumn("_time", event_time)
+    reason = F.when(F.col("_bad"), F.lit("fewer than 15 fields")).when(drop, F.lit("file has a short row"))
+    rejected = drop | F.col("_time").isNull()
+    rejects = data.filter(rejected).select("file", "line_no", "line", reason.otherwise(F.lit("no valid event time")).alias("reason"))
+    readings = data.filter(~rejected).select(
+        F.col("_time").alias("timestamp"),
+        (file_stem("file") if location is None else location).alias("location"),
         _number(fmap["temperature"], missing).alias("temperature"),
         _number(fmap["salinity"], missing).alias("salinity"),
         _number(fmap["current_speed"], missing).alias("current_speed"),
@@ -114,6 +122,8 @@ def parse_station_text(
     on_bad_row: str = "drop_file",
     field_for: dict[str, str] | None = None,
     ingest_time: bool = False,
+    default_minute: int | None = None,
+    location: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(file, value) whole station files -> (readings, rejects), in one pass with
     no shuffle: the header and the "any short row" test are evaluated on each
@@ -140,7 +150,7 @@ def parse_station_text(
     data = data.withColumn("_fields", _tokens(F.col("line"))).withColumn(
         "_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS)
     )
-    return _finish(data, missing, on_bad_row, fmap, ingest_time)
+    return _finish(data, missing, on_bad_row, fmap, ingest_time, default_minute, location)
 
 
 def parse_station_lines(
@@ -149,6 +159,8 @@ def parse_station_lines(
     on_bad_row: str = "drop_file",
     field_for: dict[str, str] | None = None,
     ingest_time: bool = False,
+    default_minute: int | None = None,
+    location: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(file, line_no, line) -> (readings, rejects).
 
@@ -157,6 +169,9 @@ def parse_station_lines(
     * A data row with fewer than 15 fields is bad; on_bad_row="drop_file"
       discards the whole file (the original's behaviour), "drop_row" only the row.
     * Blank lines are ignored.
+    * Time fields are found by name, as all others; a row whose date and time fields make no valid time is
+      rejected. default_minute: the minute of files whose header has no ``mm`` (None: their rows are rejected).
+    * location: an expression over ``file`` for the station id, its base name without extension by default.
     * ingest_time=True adds the read time as a separate ``ingest_time`` column.
 
     readings: the station frame with the common column names (timestamp from the
@@ -175,12 +190,13 @@ def parse_station_lines(
     is_header = F.col("line_no") == 0
     info = lines.groupBy("file").agg(
         F.max(is_data & short).alias("_file_bad"),
+        F.max(is_header).alias("_headed"),
         *[F.max(F.when(is_header, _position_expr(names, n))).alias(_pos_col(n)) for n in _wanted(fmap)],
     )
     pos_cols = [_pos_col(n) for n in _wanted(fmap)]
     data = lines.filter(is_data).withColumn("_fields", _tokens(F.col("line")))
     data = data.withColumn("_bad", F.size("_fields") < F.lit(TH.STATION_MIN_FIELDS))
-    defaults = _positions(F.array().cast("array<string>"), fmap)  # files missing from info
+    defaults = _positions(F.array().cast("array<string>"), fmap)  # files without a header line
     data = data.join(info, "file", "left").select(
         "file",
         "line_no",
@@ -188,9 +204,9 @@ def parse_station_lines(
         "_fields",
         "_bad",
         F.coalesce(F.col("_file_bad"), F.lit(False)).alias("_file_bad"),
-        *[F.coalesce(F.col(c), d).alias(c) for c, d in zip(pos_cols, defaults)],
+        *[F.when(F.col("_headed"), F.col(c)).otherwise(d).alias(c) for c, d in zip(pos_cols, defaults)],
     )
-    return _finish(data, missing, on_bad_row, fmap, ingest_time)
+    return _finish(data, missing, on_bad_row, fmap, ingest_time, default_minute, location)
 
 
 def station_list(lines: DataFrame) -> DataFrame:
