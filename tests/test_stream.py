@@ -91,7 +91,14 @@ def test_metrics_table_round_trip_and_model(spark, tmp_path):
 def test_staged_stream_late_rows_and_replay(spark, tmp_path):
     import datetime as dt
 
-    from thermocline.streaming.staged_stream import process_batch, read_staged_metrics, start_staged_metrics_stream
+    from thermocline.streaming.staged_stream import (
+        process_batch,
+        read_late_rows,
+        read_progress,
+        read_rejects,
+        read_staged_metrics,
+        start_staged_metrics_stream,
+    )
 
     inp, stage, out, chk = tmp_path / "in", str(tmp_path / "stage"), str(tmp_path / "out"), str(tmp_path / "chk")
     inp.mkdir()
@@ -112,6 +119,10 @@ def test_staged_stream_late_rows_and_replay(spark, tmp_path):
     rows = {r["window_start"].hour: r for r in run().collect()}
     assert sorted(rows) == [0, 2] and rows[0]["measurement_count"] == 1 and rows[0]["temp_max"] == 10.0
     assert run().count() == 2  # restart with nothing new
+    progress = [tuple(r)[2:] for r in read_progress(spark, stage).orderBy("batch").collect()]
+    assert progress == [(2, 0, 0), (2, 1, 0)]
+    assert [(r["batch"], r["temperature"]) for r in read_late_rows(spark, stage).collect()] == [(1, 99.0)]
+    assert read_rejects(spark, stage).collect() == []
 
     # replaying a batch id rewrites the same partitions: no duplicates
     ddl = "timestamp timestamp, location string, depth double, temperature double, salinity double"
@@ -174,3 +185,17 @@ def test_state_of_a_hot_depth_does_not_grow_with_its_rows(spark):
     assert depths.count() == flagged.select("depth").distinct().count() <= 32
     assert by_bucket(depths, "1 hour").count() <= 32
     assert "collect_list" not in depths._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_staged_stream_keeps_rejects_apart_and_replays(spark, tmp_path):
+    from thermocline.operators.derive import parse_messages
+    from thermocline.streaming.staged_stream import NO_JSON, NO_TIME, process_batch, read_progress, read_rejects
+
+    good = json.dumps({"timestamp": "2024-01-01T00:10:00", "location": "a", "depth": 5.0, "temperature": 10.0})
+    bad = ["", None, "{broken", "[1]", json.dumps({"location": "a"}), json.dumps({"timestamp": "soon"})]
+    batch = parse_messages(spark.createDataFrame([(x,) for x in [good, good, *bad]], "value string"), keep_raw="_raw")
+    for _ in range(2):  # the second time is a replay
+        process_batch(batch, 3, str(tmp_path / "stage"), str(tmp_path / "out"))
+    rejects = sorted((r["value"] or "", r["reason"]) for r in read_rejects(spark, str(tmp_path / "stage")).collect())
+    assert rejects == sorted([("", NO_JSON), ("", NO_JSON), ("{broken", NO_JSON), ("[1]", NO_JSON), (bad[4], NO_TIME), (bad[5], NO_TIME)])
+    assert [tuple(r)[2:] for r in read_progress(spark, str(tmp_path / "stage")).collect()] == [(8, 0, 6)]

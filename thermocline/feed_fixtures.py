@@ -209,3 +209,24 @@ def reading_messages(spark: SparkSession, sf_dir: str, drop_fields: bool = False
         cols["salinity"] = F.when(eid % 19 != 0, F.col("salinity"))
         cols["temperature"] = F.when(eid % 97 != 0, F.col("temperature"))
     return r.select(F.to_json(F.struct(*[v.alias(k) for k, v in cols.items()])).alias("value"))
+
+
+def _cut(r: DataFrame) -> Column:
+    """The middle of the readings' time span (a scalar subquery)."""
+    t = F.unix_micros("timestamp")
+    return r.agg(F.timestamp_micros(F.floor((F.min(t) + F.max(t)) / 2)).alias("cut")).scalar()
+
+
+def delivered_messages(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """(delivery, value): the reading messages in two deliveries. The second holds the later half of the time span
+    and, late, the rows of the first half with event_id % 10 = 3. With ``broken``, messages with event_id % 89 = 5
+    are cut off after 40 characters and those with event_id % 83 = 7 have a word for a time."""
+    r = _readings_plus(spark, sf_dir)
+    eid = F.col("event_id")
+    first = (F.col("timestamp") < _cut(r)) & (eid % 10 != 3)
+    time = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    cols = {c: F.col(c) for c in r.columns} | {"timestamp": F.when(eid % 83 == 7, F.lit("later")).otherwise(time) if broken else time}
+    value = F.to_json(F.struct(*[v.alias(k) for k, v in cols.items()]))
+    if broken:
+        value = F.when(eid % 89 == 5, F.substring(value, 1, 40)).otherwise(value)
+    return r.select(F.when(first, F.lit(1)).otherwise(F.lit(2)).alias("delivery"), value.alias("value"))

@@ -16,15 +16,18 @@ def parse_messages(
     schema: T.StructType = READING_MESSAGE_SCHEMA,
     value_col: str = "value",
     time_col: str = "timestamp",
+    keep_raw: str | None = None,
 ) -> DataFrame:
     """JSON payload (binary or text) -> one typed column per field.
 
     Malformed JSON gives an all-NULL row (PERMISSIVE); unparsable time text gives
     a NULL timestamp (``try_to_timestamp``; plain ``to_timestamp`` raises under
-    ANSI). Such rows carry no event time and fall out at windowing.
+    ANSI). Such rows carry no event time and fall out at windowing. ``keep_raw`` names a column
+    that keeps the payload's text.
     """
     text = raw.select(F.col(value_col).cast("string").alias("_v"))
-    parsed = text.select(parse_json_once("_v", schema).alias("data")).select("data.*")
+    raw_text = [F.col("_v").alias(keep_raw)] if keep_raw else []
+    parsed = text.select("_v", parse_json_once("_v", schema).alias("data")).select("data.*", *raw_text)
     return parsed.withColumn(time_col, F.try_to_timestamp(F.col(time_col)))
 
 

@@ -21,7 +21,13 @@ from thermocline.streaming.metrics_stream import (
     ocean_metrics_from_messages,
     start_append_stream,
 )
-from thermocline.streaming.staged_stream import read_staged_metrics, start_staged_metrics_stream
+from thermocline.streaming.staged_stream import (
+    read_late_rows,
+    read_progress,
+    read_rejects,
+    read_staged_metrics,
+    start_staged_metrics_stream,
+)
 
 
 def _run_available_now(spark, messages, build):
@@ -74,6 +80,59 @@ def ocean_metrics_stream_staged(spark, sf_dir):
     return rounded(read_staged_metrics(spark, f"{root}/out"))
 
 
+def _in_deliveries(spark, messages, start):
+    """Land the two deliveries one after the other; after each, and once more with nothing new, ``start`` a stream on
+    the same folders and checkpoint, run it to its end and stop it."""
+    root = f"{checkpoint_root(spark)}/thermocline/deliveries-{uuid.uuid4().hex}"
+    for delivery in (1, 2, None):
+        if delivery:
+            messages.where(F.col("delivery") == delivery).select("value").write.mode("append").text(f"{root}/in")
+        q = start(read_message_stream(spark, "text", path=f"{root}/in"), root)
+        q.awaitTermination()
+        q.stop()
+    return root
+
+
+@query("ocean_metrics_stream_restart")
+def ocean_metrics_stream_restart(spark, sf_dir):
+    """The stateful stream stopped and started anew on one checkpoint between two deliveries, of which the
+    second holds rows of closed windows: those are dropped, and no window is emitted twice or lost."""
+
+    def start(raw, root):
+        metrics = ocean_metrics_from_messages(raw, gradient_scope="profile")
+        return start_append_stream(metrics, f"{root}/out", f"{root}/chk", trigger={"availableNow": True})
+
+    root = _in_deliveries(spark, FF.delivered_messages(spark, sf_dir), start)
+    return rounded(spark.read.parquet(f"{root}/out").drop("window_date"))
+
+
+def _staged_in_deliveries(spark, sf_dir, broken):
+    def start(raw, root):
+        return start_staged_metrics_stream(raw, f"{root}/stage", f"{root}/out", f"{root}/chk", trigger={"availableNow": True})
+
+    return _in_deliveries(spark, FF.delivered_messages(spark, sf_dir, broken), start)
+
+
+@query("stream_late_counts")
+def stream_late_counts(spark, sf_dir):
+    """T4: messages, late rows and rejects of each batch, observed as the batches are written, and the late rows kept."""
+    stage = f"{_staged_in_deliveries(spark, sf_dir, broken=False)}/stage"
+    kept = read_late_rows(spark, stage).groupBy("batch").agg(F.count(F.lit(1)).alias("late_rows"), F.sum("event_id").alias("late_id_sum"))
+    out = read_progress(spark, stage).join(kept, "batch", "left").withColumn("max_event_time", F.col("max_event_time").cast("timestamp_ntz"))
+    return out.fillna(0, ["late_rows", "late_id_sum"])
+
+
+@query("stream_rejects")
+def stream_rejects(spark, sf_dir):
+    """S16 on a stream: broken messages in a second sink, per batch and reason, with the metrics still emitted."""
+    root = _staged_in_deliveries(spark, sf_dir, broken=True)
+    rejects = read_rejects(spark, f"{root}/stage")
+    id_of = F.regexp_extract("value", r'"event_id":(\d+)', 1).try_cast("long")
+    out = rejects.groupBy("batch", "reason").agg(F.count(F.lit(1)).alias("n_messages"), F.sum(id_of).alias("id_sum"))
+    emitted = read_staged_metrics(spark, f"{root}/out").agg(F.sum("measurement_count")).scalar()
+    return out.withColumn("emitted_rows", emitted)
+
+
 @query("air_quality_stream")
 def air_quality_stream(spark, sf_dir):
     """S17, A31-A34 on the air-quality message stream (closed windows)."""

@@ -159,6 +159,46 @@ ORACLE["ocean_metrics_stream"] = hourly_sql(
 ORACLE["ocean_metrics_stream_profile"] = hourly_sql(None, enrich=enrich_for(list(ALL_AGGS)), where=CLOSED)
 ORACLE["ocean_metrics_stream_staged"] = ORACLE["ocean_metrics_stream_profile"]
 
+# Two deliveries: the second holds the later half of the time span and held-back rows of the first half; rows
+# of windows that the first delivery closed are late.
+DELIVERIES = """
+dealt AS (
+  SELECT *, CASE WHEN epoch_us("timestamp") < (SELECT (min(epoch_us("timestamp")) + max(epoch_us("timestamp"))) // 2 FROM {source})
+                      AND event_id % 10 <> 3 THEN 1 ELSE 2 END AS delivery,
+         time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour' AS closes
+  FROM {source}
+), closed AS (
+  SELECT max("timestamp") - INTERVAL 15 MINUTE AS mark FROM dealt WHERE delivery = 1 AND {usable}
+), marked AS (
+  SELECT dealt.*, delivery = 2 AND closes <= (SELECT mark FROM closed) AS late FROM dealt
+)"""
+
+
+def _delivered(source: str, usable: str = "true") -> str:
+    return DELIVERIES.format(source=source, usable=usable)
+
+
+ALL_READINGS = READINGS.replace("readings AS (", "all_readings AS (", 1)
+ORACLE["ocean_metrics_stream_restart"] = ORACLE["ocean_metrics_stream_profile"].replace(
+    READINGS, f"{ALL_READINGS}, {_delivered('all_readings')},\nreadings AS (SELECT * FROM marked WHERE NOT late)", 1
+)
+ORACLE["stream_late_counts"] = R + "," + _delivered("readings") + """
+SELECT CAST(delivery - 1 AS BIGINT) AS batch, max("timestamp") AS max_event_time, count(*) AS n_messages,
+       count(*) FILTER (late) AS n_late, CAST(0 AS BIGINT) AS n_rejected, count(*) FILTER (late) AS late_rows,
+       CAST(coalesce(sum(event_id) FILTER (late), 0) AS BIGINT) AS late_id_sum
+FROM marked GROUP BY delivery"""
+USABLE = "event_id % 89 <> 5 AND event_id % 83 <> 7"
+ORACLE["stream_rejects"] = R + "," + _delivered("readings", USABLE) + f""",
+emitted AS (
+  SELECT CAST(count(*) AS BIGINT) AS emitted_rows FROM marked
+  WHERE {USABLE} AND NOT late AND closes <= (SELECT max("timestamp") FROM marked WHERE {USABLE}) - INTERVAL 15 MINUTE
+)
+SELECT CAST(delivery - 1 AS BIGINT) AS batch,
+       CASE WHEN event_id % 89 = 5 THEN 'not a JSON object' ELSE 'missing or bad timestamp' END AS reason,
+       count(*) AS n_messages, CAST(sum(event_id) AS BIGINT) AS id_sum,
+       any_value(emitted_rows) AS emitted_rows
+FROM marked, emitted WHERE NOT ({USABLE}) GROUP BY 1, 2"""
+
 AIR = """
 WITH air AS (
   SELECT ts AS "timestamp", 'sensor_' || CAST(user_id % 5 + 1 AS VARCHAR) AS location,
