@@ -104,5 +104,45 @@ def test_tree_finds_all_similar_sets():
     tree = CountTree(counts, sizes)
     for i, s in enumerate(sets):
         assert {j for j, t in enumerate(sets) if similar(s, t)} <= set(tree.search(i).tolist())
-    pairs = candidates(np.arange(len(sets)), sizes, counts, np.arange(len(sets)) // 3)
+    q, at = candidates(sizes, counts, np.arange(len(sets)) // 3)
+    pairs = [(max(a, b), min(a, b)) for a, b in zip(q.tolist(), at.tolist(), strict=True)]
+    assert len(set(pairs)) == len(pairs)
     assert {(i, j) for i in range(len(sets)) for j in range(i) if i // 3 != j // 3 and similar(sets[i], sets[j])} <= set(pairs)
+
+
+def test_large_group_of_near_copies(make_docs):
+    """2000 edits of one text, some similar to it, some only to one another: all links, and fewer rows out than in."""
+    import random
+
+    from thermocline.llm import set_join
+
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for i in range(2000):
+        words = list(base)
+        for at in rng.sample(range(80), rng.choice([1, 2, 2, 3, 3, 8])):
+            words[at] = f"e{at}x{rng.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(76)} for _, t in rows]
+    root = list(range(2000))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i in range(2000):
+        for j in range(i):
+            if (a := find(i)) != (b := find(j)) and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                root[max(a, b)] = min(a, b)
+    searched = []
+    plain = set_join._to_search
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(set_join, "_to_search", lambda *a: searched.append(plain(*a)) or searched[-1])
+        got = {r.doc_id: r.component_id for r in ngram_components(make_docs(rows), hot=128).collect()}
+    assert got == {i: find(i) for i in range(2000)} and len(set(got.values())) > 1
+    keys = ["center", "block", "block_b"]
+    row = f"{set_join.GROUP}, node long, n long, counts binary, root long, mine long"
+    left = searched[0].groupBy(*keys).applyInArrow(set_join._nodes_left, row)
+    assert 0 < left.count() <= searched[0].count()

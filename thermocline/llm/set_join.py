@@ -6,15 +6,17 @@ into the group of the smallest node that it shares a key with. A set is a point:
 elements are hashed into GROUPS groups, whose counts are the coordinates. The sum of the
 coordinate minima of two points bounds the overlap of their sets, and that of a point and of
 a box's upper corner bounds it for all points in the box: a count-vector R-tree (its boxes are
-in the COARSE sums of neighbouring coordinates, its points in all). Only points,
-not sets, go through the groups; pairs that the bound leaves are compared exactly.
+in the COARSE sums of neighbouring coordinates, its points in all). Points, not sets,
+go through the groups; only the nodes that the bound leaves with a partner come back with their
+sets, and a task compares its group's pairs exactly.
 
 Each node is compared with its groups' first nodes, a row each, which connects copies of one
 another by one link each. Pairs of other nodes of a group are then looked for in its R-tree,
 unless they are connected already. A group of more than HOT nodes is dealt into blocks of one
 size class each (boxes of the top level, in the coordinate of the sum); blocks of which one
 holds a node that is not connected with the group's first, and whose sizes can match, are
-searched in a task each.
+searched in a task each. A search returns nodes, and a comparison returns links that connect what
+is similar: never more than the group's rows.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ COARSE = 64
 MOST = 255
 LEAF = 16
 HOT = 512
+#: Elements of the sets of one block.
+ELEMENTS = 4_000_000
 
 
 def _runs(batches):
@@ -156,31 +160,51 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))
 
 
-def candidates(nodes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, roots: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs (larger, smaller) of nodes of different roots that the bound leaves; of two sides, only pairs across them."""
+def candidates(sizes: np.ndarray, counts: np.ndarray, roots: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(q, i): positions of pairs of different roots that the bound leaves, each pair once; of two sides, only pairs
+    across them."""
     if side is not None and (side != side[0]).any():
         ask = side == side[0]
         tree = ~ask
     else:
         # of two roots, one is not the commonest: its nodes look for partners among all
         names, at, times = np.unique(roots, return_inverse=True, return_counts=True)
-        ask, tree = at != times.argmax(), np.ones(len(nodes), bool)
+        ask, tree = at != times.argmax(), np.ones(len(sizes), bool)
     if not ask.any():
-        return []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     asked, held = np.flatnonzero(ask), np.flatnonzero(tree)
     q, i = CountTree(counts[held], sizes[held]).search_all(counts[asked], sizes[asked])
     q, i = asked[q], held[i]
-    keep = (roots[q] != roots[i]) & (~ask[i] | (nodes[i] < nodes[q]))
-    a, b = nodes[q[keep]], nodes[i[keep]]
-    return list(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist(), strict=True))
-
-
-def _search_group(rows: pa.Table) -> pa.Table:
-    """Rows are those of a group, or of one or two blocks of a large one (``mine``)."""
-    at = np.unique(rows.column("node").to_numpy(), return_index=True)[1]
-    rows = rows.take(pa.array(at))
-    node, n, root, mine = (rows.column(c).to_numpy() for c in ("node", "n", "root", "mine"))
-    out = candidates(node, n, _vectors(rows.column("counts").to_pylist()), root, mine)
+    keep = (roots[q] != roots[i]) & (~ask[i] | (i < q))
+    return q[keep], i[keep]
+
+
+def _group_candidates(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """The group's rows, each node once in order, and the pairs that the bound leaves. Rows are those of a group, or of
+    one or two blocks of a large one (``mine``)."""
+    rows = rows.take(pa.array(np.unique(rows.column("node").to_numpy(), return_index=True)[1]))
+    n, root, mine = (rows.column(c).to_numpy() for c in ("n", "root", "mine"))
+    return rows, *candidates(n, _vectors(rows.column("counts").to_pylist()), root, mine)
+
+
+def _nodes_left(rows: pa.Table) -> pa.Table:
+    """The rows of nodes that the bound leaves with a partner: at most those of the group."""
+    rows, q, i = _group_candidates(rows)
+    return rows.take(pa.array(np.unique(np.concatenate([q, i]))))
+
+
+def _group_links(rows: pa.Table) -> pa.Table:
+    """Links that connect all nodes of the group whose sets are similar: pairs are compared exactly and joined as they
+    are found, so connected ones are not compared again and there are fewer links than nodes."""
+    rows, q, i = _group_candidates(rows)
+    node, elements = rows.column("node").to_numpy(), rows.column("elements").combine_chunks()
+    own = [x.values.to_numpy() for x in elements]
+    # a number for each set of connected nodes, at first those of one root
+    group, out = np.unique(rows.column("root").to_numpy(), return_inverse=True)[1], []
+    for a, b in zip(q.tolist(), i.tolist(), strict=True):
+        if group[a] != group[b] and similar(own[a], own[b]):
+            out.append((int(node[a]), int(node[b])))
+            group[group == group[a]] = group[b]
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
@@ -214,26 +238,31 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFram
     return rows.join(own, node, "left").withColumn(root, F.coalesce(root, node))
 
 
-def _searched(members: DataFrame, hot: int) -> DataFrame:
-    """(a, b): pairs that the groups' R-trees leave, from rows (center, node, n, counts, root, main, size)."""
+GROUP = "center long, block long, block_b long"
+
+
+def _to_search(members: DataFrame, hot: int) -> DataFrame:
+    """Rows of groups that are searched in a task each: (center, block, block_b, node, n, counts, root, mine), from rows
+    (center, node, n, counts, root, main). A group of more than ``hot`` nodes or ELEMENTS elements is dealt into blocks."""
     used = ["node", "n", "counts", "root", "mine"]
-    few = members.where(F.col("size") <= hot).withColumn("mine", F.lit(0).cast("long"))
-    found = few.select("center", *used).groupBy("center").applyInArrow(_search_group, "a long, b long")
-    many = members.where(F.col("size") > hot)
+    sizes = members.groupBy("center").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements"))
+    members = materialize(members.join(sizes.withColumn("large", (F.col("size") > hot) | (F.col("elements") > ELEMENTS)), "center"), "group-sized")
+    none = F.lit(0).cast("long")
+    few = members.where("NOT large").select("center", none.alias("block"), none.alias("block_b"), "node", "n", "counts", "root", none.alias("mine"))
+    many = members.where("large")
     if many.isEmpty():
-        return found
+        return few
     # a size class spans a factor of 4/3: similar sets are in the same or in neighbouring classes
     many = many.withColumn("class", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + 1e-9))
-    fill = materialize(many.groupBy("center", "class").agg(F.ceil(F.count(F.lit(1)) / hot).alias("parts")), "group-classes")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / hot), F.ceil(F.sum("n") / ELEMENTS))
+    fill = materialize(many.groupBy("center", "class").agg(parts.alias("parts")), "group-classes")
     placed = many.join(fill, ["center", "class"]).withColumn("mine", F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("parts")))
     placed = materialize(placed.select("center", "class", "mine", "node", "n", "counts", "root", "main"), "group-placed")
     blocks = materialize(placed.groupBy("center", "class", "mine").agg(F.max((F.col("root") != F.col("main")).cast("int")).alias("open")), "group-blocks")
     one, two = blocks.withColumnRenamed("mine", "block"), blocks.toDF("center", "class_b", "block_b", "open_b")
     met = one.join(two, "center").where("block <= block_b AND class_b - class <= 1 AND (open = 1 OR open_b = 1)")
     ends = materialize(met.select("center", "block", "block_b", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("mine")), "group-block-pairs")
-    rows = placed.join(ends, ["center", "mine"])
-    rows = rows.select("center", "block", "block_b", *used)
-    return found.unionByName(rows.groupBy("center", "block", "block_b").applyInArrow(_search_group, "a long, b long"))
+    return few.unionByName(placed.join(ends, ["center", "mine"]).select("center", "block", "block_b", *used))
 
 
 def links(groups: DataFrame, points: DataFrame, fetch: Callable[[DataFrame], DataFrame], hot: int = HOT) -> DataFrame:
@@ -254,9 +283,11 @@ def links(groups: DataFrame, points: DataFrame, fetch: Callable[[DataFrame], Dat
     members = groups.join(materialize(sizes, "group-sizes"), "center").join(points, "node")
     members = materialize(_rooted(_rooted(members, roots, "node", "root"), roots, "center", "main"), "group-members")
     mixed = materialize(members.where("root <> main").select("center").distinct(), "groups-mixed")
-    left = materialize(_searched(members.join(mixed, "center", "left_semi"), hot).distinct(), "pairs-left")
+    searched = _to_search(members.drop("size").join(mixed, "center", "left_semi"), hot)
+    keys, point_row = ["center", "block", "block_b"], "node long, n long, counts binary, root long, mine long"
+    left = materialize(searched.groupBy(*keys).applyInArrow(_nodes_left, f"{GROUP}, {point_row}"), "nodes-left")
     if left.isEmpty():
         return found
-    new = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().join(sets, "node", "left_anti")
+    new = left.select("node").distinct().join(sets, "node", "left_anti")
     sets = materialize(sets.unionByName(fetch(new)), "sets-all")
-    return found.unionByName(_compare(left, sets, "links-left"))
+    return found.unionByName(left.join(sets, "node").groupBy(*keys).applyInArrow(_group_links, "a long, b long"))
