@@ -217,6 +217,11 @@ def _cut(r: DataFrame) -> Column:
     return r.agg(F.timestamp_micros(F.floor((F.min(t) + F.max(t)) / 2)).alias("cut")).scalar()
 
 
+def held_back(r: DataFrame) -> Column:
+    """Readings of the first half of the time span with event_id % 10 = 3: those that arrive late."""
+    return (F.col("timestamp") < _cut(r)) & (F.col("event_id") % 10 == 3)
+
+
 def delivered_messages(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
     """(delivery, value): the reading messages in two deliveries. The second holds the later half of the time span
     and, late, the rows of the first half with event_id % 10 = 3. With ``broken``, messages with event_id % 89 = 5

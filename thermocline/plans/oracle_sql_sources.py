@@ -199,6 +199,12 @@ SELECT CAST(delivery - 1 AS BIGINT) AS batch,
        any_value(emitted_rows) AS emitted_rows
 FROM marked, emitted WHERE NOT ({USABLE}) GROUP BY 1, 2"""
 
+ORACLE["metrics_table_refresh"] = ORACLE["ocean_metrics"].replace(READINGS, f"{READINGS}, {_delivered('readings')}", 1).replace(
+    "\nSELECT ",
+    "\nSELECT CAST(window_start AS DATE) IN (SELECT DISTINCT CAST(\"timestamp\" AS DATE) FROM marked"
+    " WHERE event_id % 10 = 3 AND epoch_us(\"timestamp\") < (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events)) AS rewritten, ",
+)
+
 AIR = """
 WITH air AS (
   SELECT ts AS "timestamp", 'sensor_' || CAST(user_id % 5 + 1 AS VARCHAR) AS location,
@@ -224,3 +230,20 @@ ORACLE["air_features"] = AIR + (
     f" {r7('avg_humidity')} AS feature_2, {r7('max_pm25')} AS feature_3,"
     f" {r7('0.01 * avg_co2 + 0.5 * avg_temp + 0.1 * avg_humidity + 0.2 * max_pm25')} AS impact_score FROM m"
 )
+
+
+def _is_test(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % 100 < 20"
+
+
+CHECKED = "true AS has_prediction, true AS same_prediction, true AS explains_held_out"
+START = "strftime(window_start, '%Y-%m-%d %H:%M:%S')"
+ORACLE["impact_model"] = AIR + (
+    f" SELECT window_start, location, {r7('0.01 * avg_co2 + 0.5 * avg_temp + 0.1 * avg_humidity + 0.2 * max_pm25')} AS impact_score,"
+    f" {_is_test(START + " || '|' || location")} AS is_test, {CHECKED} FROM m"
+)
+MODEL_COLUMNS = ["temp_avg", "salinity_avg", "oxygen_avg", "ph_avg", "oxygen_saturation_avg"]
+ORACLE["ocean_model"] = (
+    f"SELECT window_start, location, depth_layer, oxygen_saturation_avg,"
+    f" {_is_test(START + " || '|' || location || '|' || depth_layer")} AS is_test, {CHECKED} FROM ({hourly_sql(MODEL_COLUMNS)})"
+)
