@@ -104,8 +104,9 @@ def main() -> None:
         spark.sparkContext.setJobGroup(label, label)
         t = time.perf_counter()
         order = profile_order(hot, carry=["depth", "temperature"], keys=["location"])
+        size = {"rows_per_slice": 60_000} if safe else {}
         form = with_successor if safe else with_successor_window
-        out = form(hot, ["location"], order, ["depth", "temperature"], position_col="pos")
+        out = form(hot, ["location"], order, ["depth", "temperature"], position_col="pos", **size)
         out.write.format("noop").mode("overwrite").save()
         results[label] = round(time.perf_counter() - t, 2)
     spark.stop()  # flush the event log
