@@ -15,7 +15,6 @@ PATH = P.path("word_bpe_49k.json")
 
 def reference():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -43,7 +42,7 @@ def check_pieces(rows, texts, capacity):
 
 def test_words_apart_encode_like_whole_texts():
     rng, one = random.Random(3), reference()
-    words = ["The", "it's", "naïve", "Ünïcodé", "123", "a,b!!", "<|endoftext|>", "漢字", "😀", "\x1c", " x", "é", " ", "ＡＢ"]
+    words = ["The", "it's", "naïve", "Ünïcodé", "123", "a,b!!", "<|endoftext|>", "x<|endoftext|>y", "<|ENDOFTEXT|>", "漢字", "😀", "\x1c", " x", "é", " ", "ＡＢ"]
     texts = ["".join(rng.choice(words) + rng.choice([" ", "  ", "\n", "\t\r\n", "\x0b\x0c", ""]) for _ in range(rng.randrange(12))) for _ in range(800)]
     got = word_ids(PATH).encode(texts)
     for text, ids in zip(texts, got, strict=True):

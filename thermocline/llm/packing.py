@@ -8,7 +8,8 @@ length is a power of two. The few bins that end up with more padding than MAX_PA
 therefore resolved: each of their remainders is cut into pieces whose lengths are powers of
 two, sequences without padding. Bins with less padding keep their remainders whole.
 
-Defined results: a null or empty text has the end id alone; each repeated row is packed as
+Defined results: ids are those of the tokenizer as it is loaded, so a special token's string in a text gives that
+token's id; a null or empty text has the end id alone; each repeated row is packed as
 a document of its own; a null doc_id is kept; an empty table has no pieces; other columns
 are ignored.
 """
@@ -46,7 +47,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         alone = {s: self._ids([s])[0] for s in SEPARATORS}
