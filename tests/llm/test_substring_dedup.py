@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 
 from thermocline.llm.queries import QUERIES
-from thermocline.llm.substring_dedup import MIN_WORDS, paragraphs, remove_repeats, repeated_paragraphs, without_words
+from thermocline.llm.substring_dedup import MIN_PASSAGE, MIN_WORDS, paragraphs, remove_repeats, repeated_paragraphs, without_words
 
 
 def prose(rng, n):
@@ -50,23 +50,85 @@ def test_odd_rows(make_docs):
     text = " ".join(prose(random.Random(1), 40))
     docs = make_docs([(1, None), (2, ""), (3, text), (3, text), (None, text.upper()), (4, "short line"), (5, "short line"), (6, "a " * 50_000)])
     got = repeated_paragraphs(docs).collect()
-    assert {r.doc_id for r in got} == {3, None} and all(r.removed == (r.doc_id is None) for r in got if r.start_word == 0)
+    assert {r.doc_id for r in got} == {3, None}
+    # a repeated row repeats its paragraphs: of the three rows, one of document 3 keeps them
+    lines = [r for r in got if r.start_word == 0 and r.n_words == 40]
+    assert sorted((r.doc_id or 0, r.removed) for r in lines) == [(0, True), (3, False), (3, True)]
     assert repeated_paragraphs(docs.limit(0)).count() == 0
     assert without_words("a  b\nc d", [(1, 2)]) == "a   d"
 
 
-def test_whole_table_exact_repeats(spark):
-    """Every paragraph text that occurs twice is reported at each place."""
-    rows = duckdb.sql("select doc_id, text from '/root/testdata/sf0.01/documents.parquet'").fetchall()
+def test_rows_that_share_an_id(make_docs):
+    """Rows are told apart whatever their ids: none collapses into another, no span is cut from another row's text."""
+    rng = random.Random(8)
+    passage, other, third = (prose(rng, n) for n in (60, 30, 50))
+    text = " ".join(prose(rng, 20) + passage)
+    rows = [(None, text), (None, text), (7, " ".join(other)), (7, " ".join(third + passage)), (8, " ".join(passage + prose(rng, 9)))]
+    left = [(r.doc_id, r.text.split()) for r in remove_repeats(make_docs(rows)).collect()]
+    assert (7, other) in left and (7, third + passage) in left and len(left) == 5
+    assert all(not set(passage) & set(words) for i, words in left if i != 7)
+
+
+def test_whole_passages_are_found(make_docs):
+    """Of passages of 51 and 80 words inside longer lines, every word is reported in every document, and no other."""
+    rng = random.Random(11)
+    rows, planted = [], {}
+    for k in range(150):
+        passage = prose(rng, 51 if k % 2 else 80)
+        for _ in range(2):
+            before = prose(rng, rng.randrange(5, 90))
+            planted[len(rows)] = set(range(len(before), len(before) + len(passage)))
+            rows.append((len(rows), " ".join(before + passage + prose(rng, rng.randrange(5, 90)))))
+    rows += [(len(rows) + k, " ".join(prose(rng, 120))) for k in range(100)]
+    found = defaultdict(set)
+    for r in repeated_paragraphs(make_docs(rows)).collect():
+        found[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+    assert set(found) <= set(planted)
+    words = sum(len(p) for p in planted.values())
+    assert sum(len(planted[i] & found[i]) for i in planted) >= 0.98 * words
+    assert sum(len(found[i] - planted[i]) for i in found) <= 0.01 * words
+
+
+def _places(rows):
+    """Words of each paragraph text that occurs more than once -> its places."""
     places = defaultdict(set)
     for i, t in rows:
         words = t.lower().split()
         _, start, end, _ = paragraphs(t)
         for a, b in zip(start.tolist(), end.tolist(), strict=True):
             places[tuple(words[a:b])].add((i, a, b - a))
-    want = {p for x in places.values() if len(x) > 1 for p in x}
-    got = {(r.doc_id, r.start_word, r.n_words) for r in QUERIES["op4_substring_dedup"](spark, "/root/testdata/sf0.01").collect()}
-    assert len(want) > 100 and want <= got and len(got) <= 1.3 * len(want)
+    return {k: v for k, v in places.items() if len(v) > 1}
+
+
+def _words(spans):
+    found = defaultdict(set)
+    for i, start, n in spans:
+        found[i] |= set(range(start, start + n))
+    return found
+
+
+def test_whole_table_exact_repeats(spark):
+    """Every paragraph text that occurs twice is reported at each place; the query leaves only those away that do not
+    occur twice within runs of MIN_PASSAGE words or more."""
+    rows = duckdb.sql("select doc_id, text from '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    places = _places(rows)
+    want = _words(p for x in places.values() for p in x)
+    every = _words((r.doc_id, r.start_word, r.n_words) for r in repeated_paragraphs(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), MIN_WORDS).collect())
+    assert len(want) > 100 and all(want[i] <= every[i] for i in want)
+    # grown words are equal to another document's beyond the paragraph, near copies of lines are few
+    assert sum(map(len, every.values())) <= 1.3 * sum(map(len, want.values()))
+    got = _words((r.doc_id, r.start_word, r.n_words) for r in QUERIES["op4_substring_dedup"](spark, "/root/testdata/sf0.01").collect())
+    long_runs = defaultdict(set)
+    for i, words in want.items():
+        run = []
+        for w in [*sorted(words), None]:
+            if run and w != run[-1] + 1:
+                long_runs[i] |= set(run) if len(run) >= MIN_PASSAGE else set()
+                run = []
+            run.append(w)
+    in_runs = [[p for p in x if p[1] in long_runs[p[0]]] for x in places.values()]
+    passages = _words(p for x in in_runs if len(x) > 1 for p in x)
+    assert len(passages) > 50 and all(passages[i] <= got[i] for i in passages)
 
 
 def test_paragraphs_cover_the_text():
