@@ -13,9 +13,10 @@ The counts grow with the corpus and stay distributed. A block is a run of rows o
 many rows as hold BLOCK_BYTES on average; runs that hold far more are cut by the running sum
 of their bytes, so that no block has more than 5/4 of BLOCK_BYTES unless it is one text. A block gives its distinct (context, byte) grams and words with their training counts; the counts
 are summed by gram and by word; the tree below a context of three bytes is worked out
-where its grams are, the tree above it, at most 65,536 contexts of two bytes by 255 nodes
-whatever the corpus, on the driver; and each block gets back the values of its own grams and
-words to score its texts.
+where its grams are; the level of two bytes is summed from those trees and comes back to each
+of them by a join, only the nodes that it needs; the levels of one byte and none, at most 256
+contexts by 255 nodes whatever the corpus, go through the driver to all tasks; and each block
+gets back the values of its own grams and words to score its texts.
 
 Defined results: a null or empty text is its end symbol alone; repeated rows count and score
 each; a null doc_id is held out or not by the crc32 of the empty text; without training
@@ -213,19 +214,16 @@ def deep_levels(grams: np.ndarray, counts: np.ndarray) -> list[Level]:
     return levels
 
 
-class Top:
-    """The levels of depth 0, 1 and 2, from the sums over depth 3."""
+def top_levels(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> list[Level]:
+    """The levels of depth 0 and 1, from the sums over depth 2."""
+    order = np.argsort(key)
+    one = Level(key[order], zeros[order], ones[order], children[order])
+    return [Level(*one.up(_drop_byte)), one]
 
-    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray):
-        order = np.argsort(key)
-        two = Level(key[order], zeros[order], ones[order], children[order])
-        one = Level(*two.up(_drop_byte))
-        self.levels = [Level(*one.up(_drop_byte)), one, two]
 
-
-def gram_scores(grams: np.ndarray, counts: np.ndarray, top: Top) -> np.ndarray:
-    """log10 probability of each gram's byte after its context."""
-    levels = [*top.levels, *deep_levels(grams, counts)]
+def gram_scores(grams: np.ndarray, counts: np.ndarray, upper: list[Level]) -> np.ndarray:
+    """log10 probability of each gram's byte after its context; ``upper`` are the levels of depth 0 to 2."""
+    levels = [*upper, *deep_levels(grams, counts)]
     context, byte = grams >> 8, grams & 255
     out = np.zeros(len(grams))
     for b in range(8):
@@ -245,21 +243,36 @@ def fit_grams(counts: DataFrame) -> DataFrame:
     parts = max(4, -(-counts.count() // TREE_GRAMS))
     dealt = counts.withColumn("part", F.pmod(F.xxhash64(F.shiftrightunsigned("key", 8 * (DEPTH - 2))), F.lit(parts)))  # by the nearest three bytes
 
-    def summed(rows: pd.DataFrame) -> pd.DataFrame:
-        three = deep_levels(rows["key"].to_numpy(), rows["n"].to_numpy())[0]
-        key, zeros, ones, weighted = three.up(_drop_byte)
+    def below(rows: pd.DataFrame) -> pd.DataFrame:
+        grams, counts = rows["key"].to_numpy(), rows["n"].to_numpy()
+        key = node_counts(grams >> 8 * (DEPTH - 1) << 8 | grams & 255, np.zeros(len(grams), np.int64))[0]
+        out = pd.DataFrame({"part": rows["part"].iloc[0], "key": key, "zeros": 0, "ones": 0, "weighted": 0.0})
+        seen, *sums = deep_levels(grams, counts)[0].up(_drop_byte)
+        for name, x in zip(["zeros", "ones", "weighted"], sums, strict=True):  # grams that training lacks need their nodes too
+            out.loc[np.searchsorted(key, seen), name] = x
+        return out
+
+    def above(rows: pd.DataFrame) -> pd.DataFrame:
+        two = rows.sort_values("key")
+        key, zeros, ones, weighted = Level(*[two[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")]).up(_drop_byte)
         return pd.DataFrame({"key": key, "zeros": zeros, "ones": ones, "weighted": weighted})
 
-    upper = dealt.groupBy("part").applyInPandas(summed, "key long, zeros long, ones long, weighted double")
-    upper = upper.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted")).toArrow()
-    top = Top(*[upper.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted")])
-    shared = counts.sparkSession.sparkContext.broadcast(top)
-
-    def scored(rows: pd.DataFrame) -> pd.DataFrame:
+    nodes = "key long, zeros long, ones long, weighted double"
+    sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
+    parents = materialize(dealt.groupBy("part").applyInPandas(below, "part long, " + nodes), "tree-parents")
+    two = materialize(parents.groupBy("key").agg(*sums), "tree-two")
+    # at most 256 contexts of one byte, whose nodes are at most 255 each; a context's nodes below are at most 65,280
+    one = two.groupBy(F.shiftrightunsigned("key", 16)).applyInPandas(above, nodes).toArrow()
+    shared = counts.sparkSession.sparkContext.broadcast(top_levels(*[one.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted")]))
+    needed = parents.select("part", "key").join(two, "key")
+
+    def scored(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("key")
+        level = Level(*[own[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")])
         key = rows["key"].to_numpy()
-        return pd.DataFrame({"key": key, "value": gram_scores(key, rows["n"].to_numpy(), shared.value)})
+        return pd.DataFrame({"key": key, "value": gram_scores(key, rows["n"].to_numpy(), [*shared.value, level])})
 
-    return dealt.groupBy("part").applyInPandas(scored, "key long, value double")
+    return dealt.groupBy("part").cogroup(needed.groupBy("part")).applyInPandas(scored, "key long, value double")
 
 
 def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
