@@ -34,7 +34,7 @@ from thermocline.session import materialize
 
 COSINE = 0.9
 BLOCK = 4096
-#: Pivots at most, and vectors of least hash among which each is chosen.
+#: Pivots at most for up to PIVOTS * PIVOTS vectors, beyond it their square root; and vectors of least hash among which each is chosen.
 PIVOTS, CHOICES = 128, 16
 SLACK = 1e-6
 
@@ -59,17 +59,18 @@ def choose_pivots(vectors: np.ndarray, n: int) -> np.ndarray:
 
 
 def _assigned(nodes: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """node, times, embedding, cell and reach: the distance to each pivot."""
+    """node, times, embedding, cell and own: the distance to the cell's pivot."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 d = _distances(_unit(batch.column("embedding").to_pylist()), pivots)
-                cell = pa.array(d.argmin(axis=1), pa.int32())
-                yield pa.RecordBatch.from_arrays([*batch.columns, cell, pa.array(list(d), pa.list_(pa.float64()))], names=[*batch.schema.names, "cell", "reach"])
+                cell = d.argmin(axis=1)
+                own = d[np.arange(len(cell)), cell]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(own)], names=[*batch.schema.names, "cell", "own"])
 
     kind = dict(nodes.dtypes)["embedding"]
-    return nodes.select("node", "times", "embedding").mapInArrow(run, f"node long, times long, embedding {kind}, cell int, reach array<double>")
+    return nodes.select("node", "times", "embedding").mapInArrow(run, f"node long, times long, embedding {kind}, cell int, own double")
 
 
 def join_blocks(left: pd.DataFrame, right: pd.DataFrame | None, cosine: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
@@ -97,7 +98,7 @@ def join_blocks(left: pd.DataFrame, right: pd.DataFrame | None, cosine: float) -
     return count_a, count_b, links
 
 
-def _block_pairs(cells: DataFrame, radius: list[float], parts: list[int], r: float) -> DataFrame:
+def _block_pairs(cells: DataFrame, pivots: np.ndarray, radius: list[float], parts: list[int], r: float) -> DataFrame:
     """Rows of ``cells`` once for each pair of blocks (low, high) that they take part in; mine is the row's block."""
     first = np.concatenate([[0], np.cumsum(parts)])
     rad, parts_of = np.array(radius), np.array(parts)
@@ -109,9 +110,8 @@ def _block_pairs(cells: DataFrame, radius: list[float], parts: list[int], r: flo
                 if not part.num_rows:
                     continue
                 cell = part.column("cell").to_numpy()
-                reach = np.array(part.column("reach").to_pylist())
-                node = part.column("node").to_numpy()
-                own = reach[np.arange(len(cell)), cell]
+                reach = _distances(_unit(part.column("embedding").to_pylist()), pivots)
+                node, own = part.column("node").to_numpy(), part.column("own").to_numpy()
                 mine = first[cell] + (node * 2654435761 >> 16) % parts_of[cell]
                 meets = (reach <= rad + r + SLACK) & (reach <= own[:, None] + 2 * r + SLACK) & (parts_of > 0)
                 meets[np.arange(len(cell)), cell] = True
@@ -135,16 +135,16 @@ def linked(nodes: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> Data
     links, and, where ``to`` is not null, links that connect all nodes that are connected."""
     r = math.sqrt(2.0 - 2.0 * cosine)
     n = nodes.count()
-    want = max(1, min(PIVOTS, -(-n // block)))
+    want = max(1, min(max(PIVOTS, math.isqrt(n)), -(-n // block)))
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(CHOICES * want).select("embedding").collect()
     if not sample:
         return nodes.sparkSession.createDataFrame([], "node long, to long, links long")
     pivots = choose_pivots(_unit([x.embedding for x in sample]), want)
     cells = materialize(_assigned(nodes, pivots), "vector-cells")
-    stats = {s.cell: s for s in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("reach[cell]")).alias("radius")).collect()}
+    stats = {s.cell: s for s in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("radius")).collect()}
     size = [stats[k].n if k in stats else 0 for k in range(len(pivots))]
     radius = [stats[k].radius if k in stats else -9.0 for k in range(len(pivots))]
-    pairs = _block_pairs(cells, radius, [-(-s // block) for s in size], r)
+    pairs = _block_pairs(cells, pivots, radius, [-(-s // block) for s in size], r)
 
     def run(key, rows):
         if key[0] == key[1]:
