@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import random
 import re
 import time
 
 from thermocline.llm.common import table
-from thermocline.llm.secret_scan import MASK, candidates_of, labelled_by_format, mask_secrets, scan
+from thermocline.llm.secret_scan import FEATURES, MASK, _features, candidates_of, dictionary, labelled_by_format, mask_secrets, scan
 
 SF = "/root/testdata/sf0.1"
 PLANTED = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?<=password=)[0-9a-f]+|(?<=token = \")[0-9a-f]+", re.I)
@@ -42,6 +43,29 @@ def test_odd_rows(make_docs):
     assert scan(docs.limit(0)).count() == 0 and mask_secrets(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_keep_their_own_findings(make_docs):
+    """Rows without an id, or with one id, are masked by their own text alone, also where findings stand at the same place."""
+    texts = [f"key AKIAABCDEFGHIJKLMN{k:02d} end" for k in range(30)]
+    rows = [(None, t) for t in texts] + [(7, t) for t in texts[:5]] + [(7, "key nothing is here at all end"), (None, "clean words only"), (None, None), (7, "")]
+    rows += [(100 + k, f"note {k:09d} of the day") for k in range(20)]
+    masked = mask_secrets(make_docs(rows)).collect()
+    assert len(masked) == len(rows)
+    assert sum(r.text == "key <SECRET> end" for r in masked) == 35
+    assert {r.text for r in masked if r.doc_id is None} == {"key <SECRET> end", "clean words only", None}
+
+
+def test_features_see_the_whole_candidate(tmp_path):
+    """Two runs that agree in their first 300 characters differ in features; words count by the dictionary, in names too."""
+    path = tmp_path / "words.json"
+    path.write_text(json.dumps({"model": {"vocab": {"user</w>": 0, "name</w>": 1, "na": 2, "of</w>": 3}}}))
+    known = dictionary(str(path))
+    assert known == {"user", "name"}
+    of = lambda v: dict(zip(FEATURES, _features(v, "", False, f"see {v} there", 4, 4 + len(v), known), strict=True))
+    a, b = of("a1" * 150 + "x" * 100), of("a1" * 150 + "9Z" * 50)
+    assert a["length"] == b["length"] and all(a[k] != b[k] for k in ("transitions", "digit_ratio", "entropy", "upper_ratio"))
+    assert of("getUserName12")["coverage"] == 8 / 13 and of("qx7UsrNm12")["coverage"] == 0 and of("there99")["repeated_near"] == 5 / 7
+
+
 def test_given_labels_win(spark, make_docs):
     docs = make_docs([(k, f"ticket {'ab' if k % 2 else 'zz-9-'}{k:08d}x end") for k in range(60)])
     value = lambda k: f"{'ab' if k % 2 else 'zz-9-'}{k:08d}x"

@@ -2,9 +2,10 @@
 
 Candidates are tokens that could be a credential: long runs of key characters with a digit,
 values assigned to some name, each at its full length, and private keys from BEGIN to END.
-Features of a candidate: length; of its first FEATURE_CHARS characters,
-character transitions, entropy, dictionary coverage, whether it looks like a path or an
-address, and its neighbouring words. The forest is fitted on labelled findings, at most
+Features of a whole candidate: length, character transitions, entropy, dictionary coverage,
+whether it looks like a path or an address, and its neighbouring words. The dictionary is the
+whole words of a public vocabulary file, whose path is a parameter; its size is that of the
+file, whatever the corpus. The forest is fitted on labelled findings, at most
 MAX_TRAIN of each label, chosen by hash. Where no labels are given, findings of a fixed
 well-known format (provider prefixes, hex values assigned to a credential's name) count as
 1, and mail and network addresses, plain numbers, paths, dates and placeholders as 0; other
@@ -12,17 +13,19 @@ findings are left to the forest. Reports hold a hash of the finding, never the f
 
 Defined results: a null or empty text has no findings; every occurrence in every row is a
 finding, also in repeated rows; a null doc_id is kept; an empty table gives an empty
-result; other columns are ignored.
+result; other columns are ignored. Masking knows a row by its doc_id and the hash of its text, so
+that rows of one doc_id, or of none, with different texts are each cut at their own findings.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from collections import Counter
 
-import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +36,7 @@ from thermocline.session import materialize
 MAX_TRAIN = 5_000
 THRESHOLD = 0.5
 MASK = "<SECRET>"
-FEATURE_CHARS = 200
+VOCABULARY = "word_bpe_49k.json"
 CREDENTIAL = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|client[_-]?secret)"
 #: value of an assignment | run of key characters; neither is given back, so that long ones take linear time
 CANDIDATE = re.compile(
@@ -51,27 +54,37 @@ HARMLESS = re.compile(
     r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+\.?$|\+?[\d.,:/() -]+$|\w+://|(?:[\w.-]*/){2,}|.*(?:example|sample|dummy|changeme|placeholder|xxxx|\*\*\*|your[_-])", re.I | re.ASCII
 )
 WORD = re.compile(r"[A-Za-z]{2,}", re.ASCII)
+#: Words inside a candidate: also the parts of a name like getUserName.
+PART = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}(?![a-z])", re.ASCII)
 FEATURES = [
-    "length", "transitions", "case_changes", "digit_ratio", "upper_ratio", "symbol_ratio", "entropy", "distinct_ratio", "hex_ratio", "vowel_ratio", "coverage",
+    "length", "transitions", "case_changes", "digit_ratio", "upper_ratio", "symbol_ratio", "entropy", "distinct_ratio", "hex_ratio", "vowel_ratio", "coverage", "repeated_near",
     "slashes", "dots", "has_at", "colons", "assigned", "named", "near_named", "quoted", "header", "prose_before", "prose_after",
 ]
 KINDS = {c: 0 for c in "abcdefghijklmnopqrstuvwxyz"} | {c: 1 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {c: 2 for c in "0123456789"}
 
 
-def _features(value: str, name: str, header: bool, text: str, start: int, end: int) -> list[float]:
-    length, value = len(value), value[:FEATURE_CHARS]
+def dictionary(path: str) -> frozenset[str]:
+    """Whole words of three letters or more of a vocabulary file of word pieces."""
+    with open(path, encoding="utf-8") as f:
+        pieces = json.load(f)["model"]["vocab"]
+    words = (p.removesuffix("</w>") for p in pieces if p.endswith("</w>"))
+    return frozenset(w for w in words if len(w) > 2 and w.isascii() and w.isalpha())
+
+
+def _features(value: str, name: str, header: bool, text: str, start: int, end: int, known: frozenset[str]) -> list[float]:
     n, kinds = len(value), [KINDS.get(c, 3) for c in value]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
     cases = sum({a, b} == {0, 1} for a, b in zip(kinds, kinds[1:], strict=False))
     counts = Counter(value)
     before, after = text[max(0, start - 60) : start], text[end : end + 60]
-    known = set(WORD.findall(before.lower())) | set(WORD.findall(after.lower()))
-    covered = sum(len(w) for w in WORD.findall(value.lower()) if w in known or len(w) > 3 and sum(c in "aeiou" for c in w) >= len(w) / 4)
+    near = set(WORD.findall(before.lower())) | set(WORD.findall(after.lower()))
+    covered = sum(len(w) for w in PART.findall(value) if w.lower() in known)
+    repeated = sum(len(w) for w in WORD.findall(value.lower()) if w in near)
     words = lambda s: sum(w.isalpha() for w in s.split()) / max(1, len(s.split()))
     return [
-        length, changes / max(1, n - 1), cases / max(1, n - 1), kinds.count(2) / n, kinds.count(1) / n, kinds.count(3) / n,
+        n, changes / max(1, n - 1), cases / max(1, n - 1), kinds.count(2) / n, kinds.count(1) / n, kinds.count(3) / n,
         -sum(c / n * math.log2(c / n) for c in counts.values()), len(counts) / n, sum(c in "0123456789abcdefABCDEF" for c in value) / n,
-        sum(c in "aeiouAEIOU" for c in value) / n, covered / n, value.count("/"), value.count("."), float("@" in value), value.count(":"), float(bool(name)),
+        sum(c in "aeiouAEIOU" for c in value) / n, covered / n, repeated / n, value.count("/"), value.count("."), float("@" in value), value.count(":"), float(bool(name)),
         float(bool(NAMED.search(name))), float(bool(NAMED.search(before))), float(before[-1:] in "\"'" and bool(before)), float(header), words(before), words(after),
     ]
 
@@ -105,23 +118,25 @@ def labelled_by_format(value: str, name: str) -> int | None:
     return 0 if value.isalpha() else None
 
 
-def find_candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, start and length (in characters), secret_sha256, label (by format, or null) and FEATURES of every candidate."""
-    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length_chars", pa.int64()), ("secret_sha256", pa.string()), ("label", pa.int32()), *((f, pa.float64()) for f in FEATURES)]
+def find_candidates(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, hash of the text, start and length (in characters), secret_sha256, label (by format, or null) and FEATURES
+    of every candidate; ``vocabulary`` is the path of the dictionary's file."""
+    known = docs.sparkSession.sparkContext.broadcast(dictionary(vocabulary or public_tokenizers.path(VOCABULARY)))
+    kinds = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64()), ("length_chars", pa.int64()), ("secret_sha256", pa.string()), ("label", pa.int32()), *((f, pa.float64()) for f in FEATURES)]
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
-                for i, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                for i, row, text in zip(*[part.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")], strict=True):
                     for start, end, value, name, header in candidates_of(text or ""):
                         digest = hashlib.sha256(value.encode()).hexdigest()
-                        out.append((i, start, end - start, digest, labelled_by_format(value, name), *_features(value, name, header, text, start, end)))
+                        out.append((i, row, start, end - start, digest, labelled_by_format(value, name), *_features(value, name, header, text, start, end, known.value)))
                 columns = zip(*out, strict=True) if out else [[] for _ in kinds]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
 
-    schema = "doc_id long, start long, length_chars long, secret_sha256 string, label int, " + ", ".join(f"{f} double" for f in FEATURES)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, text_hash long, start long, length_chars long, secret_sha256 string, label int, " + ", ".join(f"{f} double" for f in FEATURES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
 def fit(found: DataFrame, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN) -> Scorer:
@@ -134,20 +149,26 @@ def fit(found: DataFrame, labelled: DataFrame | None = None, max_train: int = MA
     return random_forest(materialize(mixed[0].unionByName(mixed[1]).coalesce(4), "secret-train"), FEATURES)
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
+def _scored(docs: DataFrame, labelled: DataFrame | None, max_train: int, vocabulary: str | None) -> DataFrame:
+    found = materialize(find_candidates(docs, vocabulary), "secret-candidates")
+    return fit(found, labelled, max_train)(found).withColumn("is_secret", F.col("score") >= THRESHOLD)
+
+
+def scan(docs: DataFrame, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN, vocabulary: str | None = None) -> DataFrame:
     """doc_id, start, length, secret_sha256, score and is_secret of every candidate."""
-    found = materialize(find_candidates(docs), "secret-candidates")
-    out = fit(found, labelled, max_train)(found)
-    return out.select("doc_id", "start", F.col("length_chars").alias("length"), "secret_sha256", "score", (F.col("score") >= THRESHOLD).alias("is_secret"))
+    return _scored(docs, labelled, max_train, vocabulary).select("doc_id", "start", F.col("length_chars").alias("length"), "secret_sha256", "score", "is_secret")
 
 
-def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
+def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None, max_train: int = MAX_TRAIN, vocabulary: str | None = None) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by MASK and n_chars brought up to date; no row goes.
-    Secrets are few against texts; their spans are joined to the rows by doc_id and start, so that rows of one
-    doc_id with other texts are only cut where they hold the same finding."""
-    spans = scan(docs, labelled, max_train).where("is_secret").select("doc_id", "start", "length", "secret_sha256").distinct()
-    hit = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "length", "secret_sha256"))).alias("__spans")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    Secrets are few against texts; their spans are joined to the rows by doc_id and the hash of the text, so that a
+    span list is that of one text, whatever number of rows has its doc_id or none."""
+    keys = ["doc_id", "text_hash"]
+    spans = _scored(docs, labelled, max_train, vocabulary).where("is_secret").select(*keys, "start", F.col("length_chars").alias("length"), "secret_sha256").distinct()
+    hit = spans.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("start", "length", "secret_sha256"))).alias("__spans"))
+    hit = hit.withColumnsRenamed({"doc_id": "__id", "text_hash": "__text"})
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text"))
+    joined = docs.join(hit, same, "left").drop("__id", "__text")
     names = docs.columns
     at = names.index("text")
 
