@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermocline.llm.common import id_and_text
-from thermocline.llm.shingles import word_hashes
+from thermocline.llm.shingles import distinct, word_hashes
 from thermocline.session import materialize
 
 DEPTH = 5
@@ -92,7 +92,7 @@ class Counts:
         self.parts, self.waiting = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
 
     def add(self, keys: np.ndarray, learn: np.ndarray) -> None:
-        key, trained = np.unique(keys), np.sort(keys[learn])
+        key, trained = distinct(keys), np.sort(keys[learn])
         self.parts.append((key, np.searchsorted(trained, key, "right") - np.searchsorted(trained, key)))
         self.waiting += len(key)
         if self.waiting > MERGE_KEYS:
@@ -252,17 +252,16 @@ def fit_grams(counts: DataFrame) -> DataFrame:
             out.loc[np.searchsorted(key, seen), name] = x
         return out
 
-    def above(rows: pd.DataFrame) -> pd.DataFrame:
-        two = rows.sort_values("key")
-        key, zeros, ones, weighted = Level(*[two[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")]).up(_drop_byte)
-        return pd.DataFrame({"key": key, "zeros": zeros, "ones": ones, "weighted": weighted})
+    def above(batches):
+        for two in batches:
+            key, zeros, ones, weighted = Level(*[two[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")]).up(_drop_byte)
+            yield pd.DataFrame({"key": key, "zeros": zeros, "ones": ones, "weighted": weighted})
 
     nodes = "key long, zeros long, ones long, weighted double"
     sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
     parents = materialize(dealt.groupBy("part").applyInPandas(below, "part long, " + nodes), "tree-parents")
     two = materialize(parents.groupBy("key").agg(*sums), "tree-two")
-    # at most 256 contexts of one byte, whose nodes are at most 255 each; a context's nodes below are at most 65,280
-    one = two.groupBy(F.shiftrightunsigned("key", 16)).applyInPandas(above, nodes).toArrow()
+    one = two.mapInPandas(above, nodes).groupBy("key").agg(*sums).toArrow()  # at most 256 contexts of one byte by 255 nodes
     shared = counts.sparkSession.sparkContext.broadcast(top_levels(*[one.column(c).to_numpy() for c in ("key", "zeros", "ones", "weighted")]))
     needed = parents.select("part", "key").join(two, "key")
 
@@ -342,12 +341,12 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
             sorted_values[k] = key[kind == k][order], value[kind == k][order]
 
         def values_of(k: int, keys: np.ndarray) -> np.ndarray:
-            codes, uniques = pd.factorize(keys)
-            of, values = sorted_values[k]
-            at = np.minimum(np.searchsorted(of, uniques), len(of) - 1)
-            if len(uniques) and not (len(of) and np.array_equal(of[at], uniques)):
+            (of, values), order, out = sorted_values[k], np.argsort(keys), np.empty(len(keys))
+            at = np.minimum(np.searchsorted(of, keys[order]), len(of) - 1)  # in order, so that look-ups are near each other
+            if len(keys) and not (len(of) and np.array_equal(of[at], keys[order])):
                 raise RuntimeError("a block's values are not complete")
-            return values[at][codes] if len(uniques) else np.zeros(0)
+            out[order] = values[at] if len(keys) else out
+            return out
 
         out = []
         log = lambda c: np.log10((c + 1) / (n + v + 1))

@@ -52,9 +52,15 @@ def shingle_hashes(hashes: np.ndarray, k: int = WORDS, seed: int = 0) -> np.ndar
     return out
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorting integers is several times faster than hashing them one by one."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def shingle_set(text: str, seed: int = 0) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
-    return np.unique(shingle_hashes(word_hashes(words_of(text)), seed=seed))
+    return distinct(shingle_hashes(word_hashes(words_of(text)), seed=seed))
 
 
 def set_digest(s: np.ndarray) -> tuple[int, int]:
