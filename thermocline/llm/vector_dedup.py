@@ -34,8 +34,9 @@ from thermocline.session import materialize
 
 COSINE = 0.9
 BLOCK = 4096
-#: Pivots at most for up to PIVOTS * PIVOTS vectors, beyond it their square root; and vectors of least hash among which each is chosen.
-PIVOTS, CHOICES = 128, 16
+#: Pivots: one a block up to PIVOTS, beyond it the square root of the vectors up to MAX_PIVOTS, which bounds what the
+#: driver and each task hold of them. They are chosen among CHOICES vectors of least hash for each up to PIVOTS, or four.
+PIVOTS, MAX_PIVOTS, CHOICES = 128, 4096, 16
 SLACK = 1e-6
 
 
@@ -135,8 +136,8 @@ def linked(nodes: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> Data
     links, and, where ``to`` is not null, links that connect all nodes that are connected."""
     r = math.sqrt(2.0 - 2.0 * cosine)
     n = nodes.count()
-    want = max(1, min(max(PIVOTS, math.isqrt(n)), -(-n // block)))
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(CHOICES * want).select("embedding").collect()
+    want = max(1, min(max(PIVOTS, math.isqrt(n)), MAX_PIVOTS, -(-n // block)))
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(max(CHOICES * min(want, PIVOTS), 4 * want)).select("embedding").collect()
     if not sample:
         return nodes.sparkSession.createDataFrame([], "node long, to long, links long")
     pivots = choose_pivots(_unit([x.embedding for x in sample]), want)
