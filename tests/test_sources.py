@@ -347,3 +347,24 @@ def test_observatory_documents_by_line(spark, tmp_path):
     (tmp_path / "inv" / "n1.json").write_text('[{"node": "n1", "instrument": "ctd"}]')
     feed, rejects = observatory_feed_from(spark, str(tmp_path / "docs"), str(tmp_path / "inv"), per_line=True)
     assert feed.count() == 100 and rejects.count() == 1
+
+
+def test_document_lines_are_read_once_and_long_paths_are_matched_at_one_place(spark, tmp_path):
+    """Document lines without numbers need no shuffle; the pattern of a path is not tried at each of its characters."""
+    import time
+
+    from thermocline.sources.observatory_json import node_instrument_from_path
+
+    _write(tmp_path / "d", "node=a/instrument=b/part.txt", "one\r\ntwo\n\nfour")
+    plain = read_landed_lines(spark, str(tmp_path / "d"), numbered=False)
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    numbered = read_landed_lines(spark, str(tmp_path / "d"))
+    assert sorted(map(tuple, plain.collect())) == sorted((r.file, r.line) for r in numbered.collect())
+    paths = ["/x/node=a/instrument=b/p.json", "a/b/p", "b/p", "p", "", None, "/x//b/p", "/x/a=/c=d=e/p", "x-y=z/q/p", "/x/a/b/", "file:///l/o.n=g/a/b/p"]
+    want = [("a", "b"), ("a", "b"), ("", ""), ("", ""), ("", ""), (None, None), ("", ""), ("a=", "d=e"), ("x-y=z", "q"), ("", ""), ("a", "b")]
+    rows = node_instrument_from_path(spark.createDataFrame(list(enumerate(paths)), "i int, file string").coalesce(1)).orderBy("i").collect()
+    assert [(r.node, r.instrument) for r in rows] == want
+    long = spark.createDataFrame([("x" * 200_000 + "/node=a/instrument=b/p",)], "file string")
+    begun = time.monotonic()
+    assert node_instrument_from_path(long).select("node", "instrument").first() == ("a", "b")
+    assert time.monotonic() - begun < 20

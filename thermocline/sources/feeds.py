@@ -51,7 +51,7 @@ def observatory_feed_from(
     """Observatory JSON documents under <node>/<instrument>/ -> (readings, rejects). With ``per_line`` each line of
     a file is a document: such files may be of any size, as they are read by byte range."""
     if per_line:
-        docs = read_landed_lines(spark, docs_path).where(F.trim("line") != "").select("file", F.col("line").alias("value"))
+        docs = read_landed_lines(spark, docs_path, numbered=False).where(F.trim("line") != "").select("file", F.col("line").alias("value"))
     else:
         docs = read_landed_text(spark, docs_path)
     points, rejects = parse_observatory_docs(docs, missing)

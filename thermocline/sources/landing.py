@@ -27,8 +27,9 @@ def landed_lines(text: DataFrame) -> DataFrame:
     return exploded.withColumn("line_no", F.col("line_no").cast("long"))
 
 
-def read_landed_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_landed_lines(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
     """(file, line_no, line) for every file under ``path`` (a folder, searched recursively, or a glob).
+    Without ``numbered`` the same lines as (file, line): read once and without a shuffle.
 
     Files are read by byte range, so one large file is read by many tasks. A range's lines come in
     order and are numbered as they are read; a count of lines for each (file, range), one row a range,
@@ -37,8 +38,11 @@ def read_landed_lines(spark: SparkSession, path: str) -> DataFrame:
     """
     # The row id is not deterministic in Spark's sense, so no filter on the result reaches the
     # scans below it: both branches read the same ranges in the same tasks and agree on the ids.
-    raw = spark.read.option("recursiveFileLookup", "true").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_from"),
+    text, file = spark.read.option("recursiveFileLookup", "true").text(path), F.col("_metadata.file_path").alias("file")
+    if not numbered:
+        return text.select(file, F.col("value").alias("line"))
+    raw = text.select(
+        file, F.col("_metadata.file_block_start").alias("_from"),
         F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"),
     )
     ranges = raw.groupBy("file", "_from").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))

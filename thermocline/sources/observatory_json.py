@@ -81,9 +81,10 @@ def parse_inventory(docs: DataFrame) -> DataFrame:
 def node_instrument_from_path(points: DataFrame, file_col: str = "file") -> DataFrame:
     """Attach (node, instrument) from a ``.../<node>/<instrument>/<doc>`` path, whose folders may also be
     named ``key=value`` as table writers do."""
-    pattern = r"(?:\w+=)?([^/]+)/(?:\w+=)?([^/]+)/[^/]+$"
+    # the last three parts of the path first, so that the pattern is tried at one place only
+    tail, pattern = F.substring_index(file_col, "/", -3), r"^(?:\w+=)?([^/]+)/(?:\w+=)?([^/]+)/[^/]+$"
     return points.withColumns(
-        {"node": F.regexp_extract(file_col, pattern, 1), "instrument": F.regexp_extract(file_col, pattern, 2)}
+        {"node": F.regexp_extract(tail, pattern, 1), "instrument": F.regexp_extract(tail, pattern, 2)}
     )
 
 
