@@ -16,7 +16,7 @@ are summed by gram and by word; the tree below a context of three bytes is worke
 where its grams are; the level of two bytes is summed from those trees and comes back to each
 of them by a join, only the nodes that it needs; the levels of one byte and none, at most 256
 contexts by 255 nodes whatever the corpus, go through the driver to all tasks; and each block
-gets back the values of its own grams and words to score its texts.
+gets back the values of its own grams and words, and then its texts, which are scored a few at a time.
 
 Defined results: a null or empty text is its end symbol alone; repeated rows count and score
 each; a null doc_id is held out or not by the crc32 of the empty text; without training
@@ -49,7 +49,7 @@ CHUNK_BYTES = 1 << 20
 MERGE_KEYS = 1_000_000
 #: Grams whose trees one task works out.
 TREE_GRAMS = 200_000
-GRAM, WORD, TOTAL = 0, 1, 2
+GRAM, WORD, TOTAL, TEXT = 0, 1, 2, 3
 
 
 
@@ -106,39 +106,78 @@ class Counts:
         return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _count_block(block: int, ids: list, texts: list[str]) -> pa.RecordBatch:
-    """block, kind, key, n: training count of each distinct gram and word of a block, and its training texts."""
-    learn, grams, words = np.array([not is_held_out(i) for i in ids]), Counts(), Counts()
-    for at, lengths, keys, counts, hashes in _chunks(texts):
-        own = learn[at : at + len(lengths)]
-        grams.add(keys, np.repeat(own, lengths))
-        words.add(hashes, np.repeat(own, counts))
-    parts = [(GRAM, *grams.summed()), (WORD, *words.summed()), (TOTAL, np.zeros(1, np.int64), np.array([learn.sum()], np.int64))]
-    columns = [
-        pa.array(np.full(sum(len(k) for _, k, _ in parts), block), pa.int64()),
-        pa.array(np.concatenate([np.full(len(k), kind) for kind, k, _ in parts]), pa.int32()),
-        pa.array(np.concatenate([k for _, k, _ in parts]), pa.int64()),
-        pa.array(np.concatenate([n for _, _, n in parts]), pa.int32()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["block", "kind", "key", "n"])
+class Block:
+    """Training counts of the distinct grams and words of a block, and its training texts."""
 
+    def __init__(self, block: int):
+        self.block, self.grams, self.words, self.learnt = block, Counts(), Counts(), 0
 
-def _count_blocks(batches):
-    """Counts of each run of rows of one block."""
-    now, ids, texts = None, [], []
+    def add(self, ids: list, texts: list[str]) -> None:
+        learn = np.array([not is_held_out(i) for i in ids])
+        self.learnt += int(learn.sum())
+        for at, lengths, keys, counts, hashes in _chunks(texts):
+            own = learn[at : at + len(lengths)]
+            self.grams.add(keys, np.repeat(own, lengths))
+            self.words.add(hashes, np.repeat(own, counts))
+
+    def rows(self):
+        """block, kind, key, n, sorted by kind and key, up to MERGE_KEYS rows at a time."""
+        for kind, keys, n in ((GRAM, *self.grams.summed()), (WORD, *self.words.summed()), (TOTAL, np.zeros(1, np.int64), np.array([self.learnt]))):
+            for at in range(0, len(keys), MERGE_KEYS):
+                key, own = keys[at : at + MERGE_KEYS], n[at : at + MERGE_KEYS]
+                columns = [np.full(len(key), self.block), np.full(len(key), kind, np.int32), key, own.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "kind", "key", "n"])
+
+
+def _runs(batches):
+    """(block, rows) for each run of rows of one block in a batch."""
     for batch in batches:
         blocks = batch.column("block").to_numpy()
         cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if a < b and blocks[a] != now:
-                if ids:
-                    yield _count_block(now, ids, texts)
-                now, ids, texts = int(blocks[a]), [], []
-            part = batch.slice(a, b - a)
-            ids += part.column("doc_id").to_pylist()
-            texts += part.column("text").to_pylist()
-    if ids:
-        yield _count_block(now, ids, texts)
+            if a < b:
+                yield int(blocks[a]), batch.slice(a, b - a)
+
+
+def _count_blocks(batches):
+    """Counts of each run of rows of one block."""
+    now = None
+    for block, part in _runs(batches):
+        if now is None or block != now.block:
+            if now is not None:
+                yield from now.rows()
+            now = Block(block)
+        for at in range(0, part.num_rows, 512):
+            some = part.slice(at, 512)
+            now.add(some.column("doc_id").to_pylist(), some.column("text").to_pylist())
+    if now is not None:
+        yield from now.rows()
+
+
+class Values:
+    """Values of the grams and words of one block, looked up in sorted arrays."""
+
+    def __init__(self):
+        self.parts, self.sorted = {GRAM: [], WORD: []}, {}
+
+    def add(self, kind: np.ndarray, key: np.ndarray, value: np.ndarray) -> None:
+        """Rows in order of kind."""
+        at = int(np.searchsorted(kind, WORD))
+        self.parts[GRAM].append((key[:at].astype(np.int64), value[:at].copy()))
+        self.parts[WORD].append((key[at:].astype(np.int64), value[at:].copy()))
+
+    def of(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        if kind not in self.sorted:
+            parts = self.parts.pop(kind)
+            key = np.concatenate([np.zeros(0, np.int64), *[k for k, _ in parts]])
+            order = np.argsort(key)
+            self.sorted[kind] = key[order], np.concatenate([np.zeros(0), *[v for _, v in parts]])[order]
+        (of, values), order, out = self.sorted[kind], np.argsort(keys), np.empty(len(keys))
+        at = np.minimum(np.searchsorted(of, keys[order]), len(of) - 1)  # in order, so that look-ups are near each other
+        if len(keys) and not (len(of) and np.array_equal(of[at], keys[order])):
+            raise RuntimeError("a block's values are not complete")
+        out[order] = values[at] if len(keys) else out
+        return out
 
 
 _LOG_GAMMA = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 4096)))])  # ln (n!)
@@ -330,37 +369,40 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFram
     grams = materialize(fit_grams(counts.where(F.col("kind") == GRAM).select("key", "n")), "gram-scores")
     values = grams.select(F.lit(GRAM).alias("kind"), "key", "value").unionByName(counts.where(F.col("kind") == WORD).select("kind", "key", F.col("n").cast("double").alias("value")))
     values = materialize(values, "values")
-    own = seen.where(F.col("kind") != TOTAL).select("block", "kind", "key").join(values, ["kind", "key"])
-
-    def score(table: pa.Table, known: pa.Table) -> pa.Table:
-        ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
-        kind, key, value = (known.column(c).to_numpy() for c in ("kind", "key", "value"))
-        sorted_values = {}
-        for k in (GRAM, WORD):
-            order = np.argsort(key[kind == k])
-            sorted_values[k] = key[kind == k][order], value[kind == k][order]
-
-        def values_of(k: int, keys: np.ndarray) -> np.ndarray:
-            (of, values), order, out = sorted_values[k], np.argsort(keys), np.empty(len(keys))
-            at = np.minimum(np.searchsorted(of, keys[order]), len(of) - 1)  # in order, so that look-ups are near each other
-            if len(keys) and not (len(of) and np.array_equal(of[at], keys[order])):
-                raise RuntimeError("a block's values are not complete")
-            out[order] = values[at] if len(keys) else out
-            return out
-
+    # the values of a block, then its texts: a task holds the values of one block and a batch of texts at a time
+    known = seen.where(F.col("kind") != TOTAL).select("block", "kind", "key").join(values, ["kind", "key"])
+    known = known.select("block", "kind", "key", "value", F.lit(None).cast("string").alias("text"))
+    texts = placed.select("block", F.lit(TEXT).alias("kind"), F.col("doc_id").alias("key"), F.lit(None).cast("double").alias("value"), "text")
+    rows = known.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
+    log = lambda c: np.log10((c + 1) / (n + v + 1))
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"]
+    kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.float64()]
+
+    def scored(ids: list, texts: list[str], values: Values) -> pa.RecordBatch:
         out = []
-        log = lambda c: np.log10((c + 1) / (n + v + 1))
         for at, lengths, grams, per_doc, hashes in _chunks(texts):
             total = lambda size, x: np.bincount(np.repeat(np.arange(len(size)), size), x, minlength=len(size))
-            model, counted = total(lengths, values_of(GRAM, grams)), values_of(WORD, hashes)
+            model, counted = total(lengths, values.of(GRAM, grams)), values.of(WORD, hashes)
             base, hits = total(per_doc, log(counted)) + log(float(ends)), total(per_doc, (counted > 0).astype(float)) + (ends > 0)
             for k in range(len(lengths)):
                 bits, i = -model[k] / math.log10(2) / int(lengths[k]), ids[at + k]
                 out.append((i, is_held_out(i), int(per_doc[k]) + 1, int(hits[k]), n, float(base[k]), float(model[k]), int(lengths[k]), float(bits)))
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"]
-        kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.float64()]
         columns = list(zip(*out, strict=True)) if out else [[] for _ in names]
-        return pa.table({m: pa.array(c, t) for m, c, t in zip(names, columns, kinds, strict=True)})
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    def score(batches):
+        now = values = None
+        for a, part in _runs(batches):
+            if a != now:
+                now, values = a, Values()
+            kind = part.column("kind").to_numpy()
+            here = int(np.searchsorted(kind, TEXT))
+            if here:
+                given = part.slice(0, here)
+                values.add(kind[:here], given.column("key").to_numpy(zero_copy_only=False), given.column("value").to_numpy(zero_copy_only=False))
+            for at in range(here, len(kind), 512):
+                some = part.slice(at, 512)
+                yield scored(some.column("key").to_pylist(), some.column("text").to_pylist(), values)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
-    return placed.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(score, schema)
+    return rows.mapInArrow(score, schema)
