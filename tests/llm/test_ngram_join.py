@@ -146,3 +146,31 @@ def test_large_group_of_near_copies(make_docs):
     row = f"{set_join.GROUP}, node long, n long, counts binary, root long, mine long"
     left = searched[0].groupBy(*keys).applyInArrow(set_join._nodes_left, row)
     assert 0 < left.count() <= searched[0].count()
+
+
+def test_a_frequent_shingle_does_not_bring_unlike_documents_together(spark, monkeypatch):
+    """Unlike texts that share one line meet in no group, and similar ones are still found, whatever the order."""
+    import numpy as np
+
+    from thermocline.llm import ngram_join
+    from thermocline.llm.shingles import shingle_set
+
+    r = random.Random(5)
+    word = lambda: f"w{r.randrange(10**6)}"
+    line = " ".join(f"common{k}" for k in range(14))
+    bodies = [[word() for _ in range(60)] for _ in range(120)]
+    texts = [f"{line} {' '.join(b)}" for b in bodies] + [f"{line} {' '.join(b[:-2])} x y" for b in bodies[:10]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    seen = []
+    plain = ngram_join.groups_of
+    monkeypatch.setattr(ngram_join, "groups_of", lambda keyed: seen.append(plain(keyed)) or seen[-1])
+    got = {x.doc_id: x.component_id for x in ngram_components(docs, hot=32).collect()}
+    assert got == {i: i - 120 if i >= 120 else i for i in range(130)}
+    assert seen[0].groupBy("center").count().agg({"count": "max"}).first()[0] <= 3
+    sets = [shingle_set(t) for t in texts]
+    for frequent in (np.zeros(0, np.uint64), ngram_join.frequent_shingles(docs, 0, 32), r.choices(sets[0], k=30)):
+        frequent = np.unique(np.array(frequent, np.uint64))
+        for a in range(10):
+            one, two = (ngram_join.prefix(sets[k], frequent) for k in (a, a + 120))
+            assert len(one) == len(sets[a]) - -(-3 * len(sets[a]) // 4) + 1
+            assert len(np.intersect1d(one, two))

@@ -1,8 +1,10 @@
 """Similarity join of documents on their sets of five-word shingles (Jaccard of 0.75 or more).
 
-Every document's distinct shingles are hashed to 64 bits and ordered by hash. Two sets of
-this similarity share an element among the first n - ceil(0.75 n) + 1 of each, so these
-are the keys that bring candidates together; set_join then looks for links with a
+Every document's distinct shingles are hashed to 64 bits and ordered by hash, those that are
+frequent in the corpus after all others, the most frequent last. In any order that all sets share, two
+sets of this similarity have a common element among the first n - ceil(0.75 n) + 1 of each, so these
+are the keys that bring candidates together, and unlike documents rarely meet in one. (Frequencies are
+estimated on ORDER_ROWS rows: they decide the order, not what is compared or found.) Then set_join looks for links with a
 count-vector R-tree and compares sets exactly. Documents with equal sets are one node. A
 node's number is half of a 128-bit digest of its set; should two sets of the corpus
 ever share a number, the hashes are drawn anew with another seed.
@@ -35,7 +37,44 @@ def text_hashes(text: Column) -> dict[str, Column]:
     return {c: F.xxhash64(F.lit(k), F.coalesce(text, F.lit(""))) for k, c in enumerate(TEXT_HASHES)}
 
 
-def _describe(docs: DataFrame, seed: int) -> DataFrame:
+#: Rows, about, on which frequencies of shingles are estimated, and shingles at most that count as frequent.
+ORDER_ROWS = 40_000
+FREQUENT = 20_000
+
+
+def frequent_shingles(docs: DataFrame, seed: int, least: int = HOT) -> np.ndarray:
+    """Hashes of shingles that about ``least`` texts or more hold, the most frequent last: at most FREQUENT. Equal texts
+    count once."""
+    every = max(1, docs.count() // ORDER_ROWS)
+    few = max(8, least // every)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                sets = [shingle_set(t, seed) for t in batch.column("text").slice(at, 2048).to_pylist()]
+                key, n = np.unique(np.concatenate(sets), return_counts=True)
+                keep = n > 1 if len(sets) > 1 else slice(None)  # a shingle that is frequent comes again within so many texts
+                yield pa.RecordBatch.from_arrays([pa.array(key[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], names=["key", "n"])
+
+    code = text_hashes(F.col("text"))["text_1"]
+    chosen = docs.where(F.pmod(code, F.lit(every)) == 0).withColumn("__code", code).dropDuplicates(["__code"]).select("text")
+    counts = chosen.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= few)
+    top = counts.orderBy(F.col("n").desc(), "key").limit(FREQUENT).collect()
+    return np.array([r.key for r in reversed(top)], np.int64).view(np.uint64)
+
+
+def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The first elements of a set: those of which two similar sets share one. ``frequent`` ones come last, in their order."""
+    first = len(s) - (3 * len(s) + 3) // 4 + 1
+    if len(frequent):
+        by_hash = np.argsort(frequent)
+        at = np.minimum(np.searchsorted(frequent[by_hash], s), len(frequent) - 1)
+        rank = np.where(frequent[by_hash][at] == s, by_hash[at] + 1, 0)
+        s = s[np.argsort(rank, kind="stable")]
+    return s[:first].view(np.int64)
+
+
+def _describe(docs: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
     """doc_id, two hashes of the text, n, node, check, counts (the node's point) and keys of every row; node and check
     are null for empty sets, counts and keys also where the task has had the set already."""
 
@@ -51,7 +90,7 @@ def _describe(docs: DataFrame, seed: int) -> DataFrame:
                     if n and node not in seen:
                         seen.add(node)
                         own = s.view(np.int64)
-                        out.append((n, node, check, point(own), own[: n - (3 * n + 3) // 4 + 1]))
+                        out.append((n, node, check, point(own), prefix(s, frequent)))
                     else:
                         out.append((n, node, check, None, None))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
@@ -85,7 +124,7 @@ def _components(docs: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     """The described rows of ``docs``, and root and component_id (its least doc_id) of every node."""
     docs, seed = id_and_text(docs), 0
     while True:
-        rows = materialize(_describe(docs, seed), "shingle-sets")
+        rows = materialize(_describe(docs, seed, frequent_shingles(docs, seed, hot)), "shingle-sets")
         nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("check").alias("c"), F.max("check").alias("d"))
         nodes = materialize(nodes, "set-nodes")
         if nodes.where("c <> d").isEmpty():

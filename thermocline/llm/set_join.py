@@ -241,28 +241,28 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFram
 GROUP = "center long, block long, block_b long"
 
 
-def _to_search(members: DataFrame, hot: int) -> DataFrame:
+def _to_search(members: DataFrame, points: DataFrame, hot: int) -> DataFrame:
     """Rows of groups that are searched in a task each: (center, block, block_b, node, n, counts, root, mine), from rows
-    (center, node, n, counts, root, main). A group of more than ``hot`` nodes or ELEMENTS elements is dealt into blocks."""
-    used = ["node", "n", "counts", "root", "mine"]
+    (center, node, n, root, main) and ``points``. A group of more than ``hot`` nodes or ELEMENTS elements is dealt into blocks."""
+    used = ["node", "n", "root", "mine"]
     sizes = members.groupBy("center").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements"))
     members = materialize(members.join(sizes.withColumn("large", (F.col("size") > hot) | (F.col("elements") > ELEMENTS)), "center"), "group-sized")
-    none = F.lit(0).cast("long")
-    few = members.where("NOT large").select("center", none.alias("block"), none.alias("block_b"), "node", "n", "counts", "root", none.alias("mine"))
+    none, counted = F.lit(0).cast("long"), lambda rows: rows.join(points.select("node", "counts"), "node").select("center", "block", "block_b", "node", "n", "counts", "root", "mine")
+    few = members.where("NOT large").select("center", none.alias("block"), none.alias("block_b"), "node", "n", "root", none.alias("mine"))
     many = members.where("large")
     if many.isEmpty():
-        return few
+        return counted(few)
     # a size class spans a factor of 4/3: similar sets are in the same or in neighbouring classes
     many = many.withColumn("class", F.floor(F.log("n") / F.log(F.lit(4 / 3)) + 1e-9))
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / hot), F.ceil(F.sum("n") / ELEMENTS))
     fill = materialize(many.groupBy("center", "class").agg(parts.alias("parts")), "group-classes")
     placed = many.join(fill, ["center", "class"]).withColumn("mine", F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("parts")))
-    placed = materialize(placed.select("center", "class", "mine", "node", "n", "counts", "root", "main"), "group-placed")
+    placed = materialize(placed.select("center", "class", "mine", "node", "n", "root", "main"), "group-placed")
     blocks = materialize(placed.groupBy("center", "class", "mine").agg(F.max((F.col("root") != F.col("main")).cast("int")).alias("open")), "group-blocks")
     one, two = blocks.withColumnRenamed("mine", "block"), blocks.toDF("center", "class_b", "block_b", "open_b")
     met = one.join(two, "center").where("block <= block_b AND class_b - class <= 1 AND (open = 1 OR open_b = 1)")
     ends = materialize(met.select("center", "block", "block_b", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("mine")), "group-block-pairs")
-    return few.unionByName(placed.join(ends, ["center", "mine"]).select("center", "block", "block_b", *used))
+    return counted(few.unionByName(placed.join(ends, ["center", "mine"]).select("center", "block", "block_b", *used)))
 
 
 def links(groups: DataFrame, points: DataFrame, fetch: Callable[[DataFrame], DataFrame], hot: int = HOT) -> DataFrame:
@@ -280,10 +280,11 @@ def links(groups: DataFrame, points: DataFrame, fetch: Callable[[DataFrame], Dat
     found = materialize(found.unionByName(_compare(rest.select(F.col("center").alias("a"), F.col("node").alias("b")), sets, "links-rest")), "links-stars")
     roots = materialize(components(found), "roots-stars")
     sizes = groups.groupBy("center").agg(F.count(F.lit(1)).alias("size")).where("size > 2")
-    members = groups.join(materialize(sizes, "group-sizes"), "center").join(points, "node")
+    # points are a hundred times as wide as a member's other columns: they come to it where it is searched, not before
+    members = groups.join(materialize(sizes, "group-sizes"), "center").join(points.select("node", "n"), "node")
     members = materialize(_rooted(_rooted(members, roots, "node", "root"), roots, "center", "main"), "group-members")
     mixed = materialize(members.where("root <> main").select("center").distinct(), "groups-mixed")
-    searched = _to_search(members.drop("size").join(mixed, "center", "left_semi"), hot)
+    searched = _to_search(members.drop("size").join(mixed, "center", "left_semi"), points, hot)
     keys, point_row = ["center", "block", "block_b"], "node long, n long, counts binary, root long, mine long"
     left = materialize(searched.groupBy(*keys).applyInArrow(_nodes_left, f"{GROUP}, {point_row}"), "nodes-left")
     if left.isEmpty():
