@@ -16,7 +16,10 @@ are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -34,11 +37,82 @@ MAX_PADDING = 64
 CACHE_ENTRIES = 250_000
 #: Tried in this order: the first that is one token separates words that are encoded together.
 SEPARATORS = ("\u203b", "\u2603", "\u00a4", "~")
+#: Letters whose lower case is one of them, that NFC leaves alone in any order, and that are no mark, digit or space.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: ASCII marks without the apostrophe, which the tokenizer's pattern takes together with some letters.
+_MARKS = r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(f"[{_LETTERS}]+[{_MARKS}]*")
+_EDGE = re.compile(f"(?<=[{_LETTERS}])(?=[{_MARKS}])")
+#: The steps before the merges that PlainWords knows.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+}
+_END = "</w>"
+
+
+class PlainWords:
+    """Ids of words of Latin letters, with or without ASCII marks after them. The tokenizer's steps before the merges are
+    known for these: lower case, the letters and the marks apart, bytes as characters. A tokenizer of the same merges
+    without these steps gives the ids; a last symbol of its own shows where a part ends."""
+
+    def __init__(self, tokenizer, vocabulary: dict[str, int]):
+        self.tokenizer = tokenizer
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(_END)]] = True
+
+    @classmethod
+    def of(cls, path: str) -> PlainWords | None:
+        """None where the tokenizer takes other steps or lacks a symbol."""
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        ends = model.get("type") == "BPE" and model.get("end_of_word_suffix") == _END
+        odd = [k for k in ("dropout", "continuing_subword_prefix", "ignore_merges") if model.get(k)]
+        special = any(_PLAIN.fullmatch(t["content"]) or t["normalized"] for t in spec["added_tokens"])
+        if not ends or odd or special or any(spec.get(k) != v for k, v in _STEPS.items()):
+            return None
+        symbols = {_symbol(b) for b in [*range(0x21, 0x7F), *range(0x80, 0xC0), 0xC3]}
+        if not all(x in model["vocab"] and x + _END in model["vocab"] for x in symbols):
+            return None
+        bare = spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        return cls(Tokenizer.from_str(json.dumps(bare)), model["vocab"])
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of words that _PLAIN matches."""
+        parts = _EDGE.sub(" ", "\n".join(words).lower())
+        symbols = parts
+        if not parts.isascii():
+            symbols = parts.encode().decode("latin-1")
+            for byte in (0x9F, 0xA0, 0xAD):  # in lower case, the only bytes that do not stand for themselves
+                symbols = symbols.replace(chr(byte), _symbol(byte))
+        ids = np.array(self.tokenizer.encode_batch_fast([symbols], add_special_tokens=False)[0].ids, "<u4")
+        of_word = [w.count(" ") + 1 for w in parts.split("\n")]
+        ends = 4 * (np.flatnonzero(self.is_end[ids])[np.cumsum(of_word) - 1] + 1)
+        data, ends = ids.tobytes(), ends.tolist()
+        return [data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _symbol(byte: int) -> str:
+    """The character that stands for a byte from 0x21 on in byte-level vocabularies."""
+    if byte in (0x7F, 0xAD) or 0x80 <= byte <= 0xA0:
+        return chr({0x7F: 0x121, 0xAD: 0x143}.get(byte, byte + 0xA2))
+    return chr(byte)
 
 
 class WordIds:
     """Ids of texts by a tokenizer that drops white space: words between ASCII spaces are encoded apart, each new one
-    once and in its own case, as the tokenizer composes characters before it drops case, and kept: a full cache becomes the older one, whose words are taken over when they come again."""
+    once and, but for plain ones, in its own case, as the tokenizer composes characters before it drops case, and kept: a full cache becomes the older one, whose words are taken over when they come again."""
 
     def __init__(self, path: str):
         import os
@@ -50,6 +124,7 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         alone = {s: self._ids([s])[0] for s in SEPARATORS}
+        self.plain = PlainWords.of(path)
         self.separator, self.separator_id = next(((s, ids[0]) for s, ids in alone.items() if len(ids) == 1), (None, None))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -72,13 +147,16 @@ class WordIds:
         if len(self.known) + len(new) > CACHE_ENTRIES:
             self.older, self.known = self.known, {}
             new = set().union(*words)
-        again = new.intersection(self.older)
-        for word in again:
-            self.known[word] = self.older[word]
-        fresh = list(new.difference(again))
-        for at in range(0, len(fresh), 128):
-            part = fresh[at : at + 128]
-            self.known.update(zip(part, self._encode_words([w.decode() for w in part]), strict=True))
+        again = list(filter(self.older.__contains__, new))
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        fresh = list(filterfalse(self.older.__contains__, new))
+        plain, other = [], []
+        for word in map(bytes.decode, fresh):
+            (plain if self.plain and _PLAIN.fullmatch(word) else other).append(word)
+        for some, encode in ((plain, self.plain and self.plain.encode), (other, self._encode_words)):
+            for at in range(0, len(some), 128):
+                part = some[at : at + 128]
+                self.known.update(zip(map(str.encode, part), encode(part), strict=True))
         find = self.known.__getitem__
         out = [b"".join(map(find, w)) for w in words]
         for word in fresh:
