@@ -151,3 +151,16 @@ def test_short_pieces_are_not_lost():
         first_cut.append(len(covered))
         lost += bool(spans) and len(covered) < max(b for _, b in spans) - spans[0][0]
     assert lost == 0 and sum(first_cut) / 300 > 0.64 * 60
+
+
+def test_tables_between_the_steps_are_deleted(make_docs, spark, monkeypatch, tmp_path):
+    """When the passages are there, what led to them no longer takes disk; the result can still be read, twice."""
+    from thermocline import session
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
+    passage = " ".join(prose(random.Random(3), 60))
+    got = repeated_paragraphs(make_docs([(1, passage), (2, "first " + passage), (3, passage + " last"), (4, "none of it")]))
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "thermocline").iterdir()}
+    assert not left & {"paragraphs-all", "key-runs", "paragraphs", "line-sets", "line-points", "paragraphs-placed", "paragraph-sides"}
+    assert {"texts-numbered", "passages"} <= left
+    assert {r.doc_id for r in got.collect()} == {1, 2, 3} and got.count() == got.count() > 0

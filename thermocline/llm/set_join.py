@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from thermocline.llm.components import components
 from thermocline.llm.shingles import enough
-from thermocline.session import materialize
+from thermocline.session import discard, materialize
 
 GROUPS = 1024
 #: Coordinates of the tree's boxes: sums of neighbouring groups.
@@ -78,6 +78,7 @@ def groups_of(keyed: DataFrame) -> DataFrame:
     rows = runs.where("node is not null").select("key", "center", "node").unionByName(heads.withColumn("node", F.col("center")))
     pairs = rows.join(F.broadcast(over), "key", "left").select(F.coalesce("origin", "center").alias("center"), "node").where("center <> node").distinct()
     pairs = materialize(pairs, "groups")
+    discard(runs, over)
     return pairs.unionByName(pairs.select("center", F.col("center").alias("node")).distinct())
 
 

@@ -17,6 +17,9 @@ passages: a cluster is reported by its occurrences in longer runs, if it has two
 ``least=MIN_WORDS`` reports all.
 The first occurrence of a cluster stays.
 
+Tables between the steps are deleted as soon as those derived from them are written, so that a run holds the
+texts, the table of the step it is at and what later steps read.
+
 Rows are told apart by a number given when the texts are written once, not by doc_id: repeated
 rows and rows that share an id (or have none) are occurrences of their own.
 
@@ -40,7 +43,7 @@ from thermocline.llm.common import attach_group, id_and_text
 from thermocline.llm.components import components
 from thermocline.llm.set_join import groups_of, links, point
 from thermocline.llm.shingles import WORDS, mixed, shingle_hashes, word_hashes, words_of
-from thermocline.session import materialize
+from thermocline.session import discard, materialize
 
 MIN_WORDS = 8
 #: Runs of repeated words that are reported, from so many words on.
@@ -281,6 +284,7 @@ def _grown(texts: DataFrame, spans: DataFrame) -> DataFrame:
     pairs = ends.join(sides.drop("n_words"), ["node", "row", "start"]).join(of_first, "node")
     grown = pairs.select("node", "row", "start", "first_row", "first_start", "at_left", "at_right", "left", "right", "first_left", "first_right")
     grown = materialize(grown.mapInArrow(_agreement, "node long, row long, start long, first_row long, first_start long, left int, right int"), "paragraph-growth")
+    discard(firsts, ends, wanted, sides)
     of_firsts = grown.groupBy("node", F.col("first_row").alias("row"), F.col("first_start").alias("start")).agg(F.max("left").alias("left"), F.max("right").alias("right"))
     own = grown.select("node", "row", "start", "left", "right").unionByName(of_firsts)
     left, right = F.coalesce("left", F.lit(0)), F.coalesce("right", F.lit(0))
@@ -299,15 +303,23 @@ def _repeats(texts: DataFrame, least: int) -> DataFrame:
     dealt = every.drop("keys").repartitionByRange("node", "row", "start").sortWithinPartitions("node", "row", "start")
     found = materialize(dealt.mapInArrow(_repeated, SPAN), "paragraphs")
     groups = groups_of(every.where("line").select(F.explode("keys").alias("key"), "node"))
+    discard(every)
     active = groups.select("node").distinct()
     homes = found.where("line").groupBy("node").agg(F.min(F.struct("row", "start", "n_words")).alias("at")).join(active, "node")
     wanted = homes.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct("node", "at.start", "at.n_words")).alias("spans"))
-    sets = materialize(_sets(texts, materialize(wanted, "lines-wanted")), "line-sets")  # wanted: at most the text's lines
+    wanted = materialize(wanted, "lines-wanted")  # at most the text's lines
+    sets = materialize(_sets(texts, wanted), "line-sets")
     points = materialize(sets.mapInArrow(_points, "node long, n long, counts binary"), "line-points")
     of = lambda nodes: sets.join(nodes, "node", "left_semi")
-    roots = materialize(components(materialize(links(groups, points, of), "line-links")), "line-roots")
+    linked = materialize(links(groups, points, of), "line-links")
+    discard(wanted, sets, points)
+    roots = materialize(components(linked), "line-roots")
     placed = found.join(roots, "node", "left").select(F.coalesce("root", "node").alias("cluster_id"), "node", "row", "doc_id", "start", "n_words")
-    grown = _with_runs(_grown(texts, materialize(_several(materialize(placed, "paragraphs-placed")), "paragraphs-repeated")), "row")
+    placed = materialize(placed, "paragraphs-placed")
+    discard(found)
+    repeated = materialize(_several(placed), "paragraphs-repeated")
+    discard(placed)
+    grown = _with_runs(_grown(texts, repeated), "row")
     passages = materialize(grown.where(F.col("run_end") - F.col("run_start") >= least).drop("end", "run_start", "run_end"), "passages")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start"))
     out = attach_group(passages, ["cluster_id"], {"first": first, "occurrences": F.count(F.lit(1))}).where("occurrences > 1")

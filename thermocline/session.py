@@ -74,4 +74,15 @@ def materialize(df: DataFrame, label: str = "pinned") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/thermocline/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``materialize`` returned and that nothing reads any more: all
+    that was derived from them has been written itself."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
