@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,3 +65,32 @@ def attach_group(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> Dat
         same = same & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
     joined = rows.join(F.broadcast(groups), same).drop(*[f"__g_{k}" for k in keys])
     return cold.unionByName(joined).drop("__is_hot")
+
+
+#: What a worker keeps between the batches of a task; emptied when the task ends.
+TASK_CACHES: list[dict] = []
+
+
+def give_back() -> None:
+    """Gives memory that a task has used and no longer needs back to the system."""
+    for cache in TASK_CACHES:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not the GNU library
+
+
+def tidy(run):
+    """``run`` (batches to batches), after which its worker is small again: Spark keeps the workers of ended tasks
+    and takes them in turn, so that an executor holds more of them than it has tasks at a time."""
+
+    @wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thermocline.llm.common import id_and_text
+from thermocline.llm.common import id_and_text, tidy
 from thermocline.llm.components import components
 from thermocline.llm.set_join import HOT, groups_of, links, point
 from thermocline.llm.shingles import set_digest, shingle_set
@@ -48,6 +48,7 @@ def frequent_shingles(docs: DataFrame, seed: int, least: int = HOT) -> np.ndarra
     every = max(1, docs.count() // ORDER_ROWS)
     few = max(8, least // every)
 
+    @tidy
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
@@ -78,6 +79,7 @@ def _describe(docs: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
     """doc_id, two hashes of the text, n, node, check, counts (the node's point) and keys of every row; node and check
     are null for empty sets, counts and keys also where the task has had the set already."""
 
+    @tidy
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
@@ -105,6 +107,7 @@ def _describe(docs: DataFrame, seed: int, frequent: np.ndarray) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     """(node, elements) of the nodes that ``wanted`` (doc_id, nodes) names for a document."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermocline.llm.common import id_and_text
+from thermocline.llm.common import TASK_CACHES, id_and_text
 from thermocline.session import materialize
 
 CAPACITY = 4096
@@ -166,6 +166,7 @@ class WordIds:
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
+TASK_CACHES.append(_TOKENIZERS)  # the tasks here keep it for the next; those of other operators drop it
 
 
 def word_ids(path: str) -> WordIds:

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thermocline.llm.common import tidy
 from thermocline.llm.trees import Scorer, random_forest
 from thermocline.session import materialize
 
@@ -124,6 +125,7 @@ def find_candidates(docs: DataFrame, vocabulary: str | None = None) -> DataFrame
     known = docs.sparkSession.sparkContext.broadcast(dictionary(vocabulary or public_tokenizers.path(VOCABULARY)))
     kinds = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64()), ("length_chars", pa.int64()), ("secret_sha256", pa.string()), ("label", pa.int32()), *((f, pa.float64()) for f in FEATURES)]
 
+    @tidy
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -172,6 +174,7 @@ def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None, max_train:
     names = docs.columns
     at = names.index("text")
 
+    @tidy
     def run(batches):
         for batch in batches:
             texts, marked = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()

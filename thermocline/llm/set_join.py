@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thermocline.llm.common import tidy
 from thermocline.llm.components import components
 from thermocline.llm.shingles import enough
 from thermocline.session import discard, materialize
@@ -43,6 +44,7 @@ HOT = 512
 ELEMENTS = 4_000_000
 
 
+@tidy
 def _runs(batches):
     """From rows sorted by (key, node): (key, first node of the key's run, node) for all further nodes,
     and, with a null node, the first and last run of the task."""
@@ -209,6 +211,7 @@ def _group_links(rows: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
+@tidy
 def _bounded(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
@@ -219,6 +222,7 @@ def _bounded(batches):
             yield part.select(["center", "node"]).filter(pa.array(keep))
 
 
+@tidy
 def _compared(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 256):

@@ -5,12 +5,14 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from thermocline.llm.common import TASK_CACHES
+
 WORDS = 5
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, each worked out once (emptied when it has grown large)."""
+    """64-bit hashes of words, each worked out once (emptied when it has grown large and when a task ends)."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > 250_000:
@@ -22,6 +24,7 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
+TASK_CACHES.append(_HASHES)
 
 
 def words_of(text: str) -> list[bytes]:

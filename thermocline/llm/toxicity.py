@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermocline.llm.common import id_and_text, id_crc
+from thermocline.llm.common import id_and_text, id_crc, tidy
 from thermocline.llm.trees import Scorer, boosted_trees, calibrated
 from thermocline.session import materialize
 
@@ -128,6 +128,7 @@ def add_features(docs: DataFrame, learned: list[str], carry: list[str] = ()) ->
     """doc_id, the columns ``carry`` and FEATURES of rows (doc_id, text, ...)."""
     lexicon = frozenset(learned)
 
+    @tidy
     def run(batches):
         if lexicon not in _WORDS:
             _WORDS.clear()
@@ -149,6 +150,7 @@ def learn_lexicon(train: DataFrame) -> list[str]:
     """Beginnings of words that far more toxic than clean documents hold, at most LEXICON_WORDS of them.
     A beginning is left out if a shorter one of about the same odds is in."""
 
+    @tidy
     def beginnings(batches):
         counts: dict[str, list[int]] = {}
         for batch in batches:
