@@ -164,3 +164,29 @@ def test_tables_between_the_steps_are_deleted(make_docs, spark, monkeypatch, tmp
     assert not left & {"paragraphs-all", "key-runs", "paragraphs", "line-sets", "line-points", "paragraphs-placed", "paragraph-sides"}
     assert {"texts-numbered", "passages"} <= left
     assert {r.doc_id for r in got.collect()} == {1, 2, 3} and got.count() == got.count() > 0
+
+
+def test_tasks_leave_nothing_in_their_workers(make_docs):
+    """A worker that waits for its next task no longer holds the words of the last one."""
+    import pyarrow as pa
+
+    from thermocline.llm import shingles
+    from thermocline.llm.packing import _TOKENIZERS
+    from thermocline.llm.substring_dedup import _paragraph_rows
+
+    words = prose(random.Random(5), 200)
+    batch = pa.RecordBatch.from_pydict({"row": [1], "doc_id": [1], "text": [" ".join(words)]})
+    _TOKENIZERS["a file"] = None  # of the packing stage, which is over when other tasks run
+    tasks = _paragraph_rows(iter([batch]))
+    assert next(tasks).num_rows and len(shingles._HASHES) >= len(set(words))
+    assert list(tasks) == [] and not shingles._HASHES and not _TOKENIZERS
+
+    def kept(batches):
+        from thermocline.llm.shingles import _HASHES
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(_HASHES)]})
+
+    docs = make_docs([(i, " ".join(prose(random.Random(i), 100))) for i in range(40)])
+    assert repeated_paragraphs(docs).count() == 0
+    assert {r.n for r in docs.repartition(16).mapInArrow(kept, "n long").collect()} == {0}

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermocline.llm.common import attach_group, id_and_text
+from thermocline.llm.common import attach_group, id_and_text, tidy
 from thermocline.llm.components import components
 from thermocline.llm.set_join import groups_of, links, point
 from thermocline.llm.shingles import WORDS, mixed, shingle_hashes, word_hashes, words_of
@@ -155,6 +155,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return materialize(id_and_text(docs).withColumn("row", F.monotonically_increasing_id()), "texts-numbered")
 
 
+@tidy
 def _paragraph_rows(batches):
     """node, row, doc_id, start, n_words, line and, for lines, band keys of every paragraph."""
     for batch in batches:
@@ -177,6 +178,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, elements) of the lines that ``wanted`` (row, spans: node, start, n_words) names."""
     schema = pa.schema([("node", pa.int64()), ("elements", pa.list_(pa.int64()))])
 
+    @tidy
     def run(batches):
         for batch in batches:
             for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
@@ -187,6 +189,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "row").select("text", "spans").mapInArrow(run, "node long, elements array<long>")
 
 
+@tidy
 def _points(batches):
     for batch in batches:
         own = [x.values.to_numpy() for x in batch.column("elements")]
@@ -194,6 +197,7 @@ def _points(batches):
         yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "counts"])
 
 
+@tidy
 def _repeated(batches):
     """From occurrences sorted by node: all lines, and pieces whose node has another occurrence or stands at
     the edge of the task, where the other one may be in the next."""
@@ -230,6 +234,7 @@ def _sides(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     ``wanted`` (row, spans) names, from the span outwards; a side that the text ends on is shorter."""
     schema = pa.schema([("node", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n_words", pa.int32()), ("left", pa.binary()), ("right", pa.binary())])
 
+    @tidy
     def run(batches):
         for batch in batches:
             for row, text, spans in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("spans"), strict=True):
@@ -253,6 +258,7 @@ def _alike(one: list[bytes], two: list[bytes]) -> np.ndarray:
     return np.minimum(differ.argmax(axis=1), lengths)
 
 
+@tidy
 def _agreement(batches):
     """For each span how far it grows on either side, 0 where it is not at that end of its run."""
     kept = ["node", "row", "start", "first_row", "first_start"]
@@ -353,6 +359,7 @@ def remove_repeats(docs: DataFrame, least: int = MIN_PASSAGE) -> DataFrame:
     texts = _texts(docs)
     cut = _repeats(texts, least).where("removed").groupBy("row").agg(F.collect_set(F.struct("start_word", "n_words")).alias("spans"))  # at most the text's paragraphs
 
+    @tidy
     def run(batches):
         for batch in batches:
             rows = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
