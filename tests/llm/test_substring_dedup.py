@@ -190,3 +190,41 @@ def test_tasks_leave_nothing_in_their_workers(make_docs):
     docs = make_docs([(i, " ".join(prose(random.Random(i), 100))) for i in range(40)])
     assert repeated_paragraphs(docs).count() == 0
     assert {r.n for r in docs.repartition(16).mapInArrow(kept, "n long").collect()} == {0}
+
+
+def test_spans_asked_for_are_read_many_texts_at_a_time():
+    """Sets of lines and sides of spans come in a batch for many texts, not one for each, and are those of the definition."""
+    import pyarrow as pa
+
+    from thermocline.llm.shingles import shingle_hashes, word_hashes
+    from thermocline.llm.substring_dedup import REACH, _line_sets, _span_sides
+
+    rng = random.Random(12)
+    texts = ["A  b\nc d E f g h\x1c i", "", *[" ".join(prose(rng, rng.randrange(8, 150))) for _ in range(300)]]
+    words, spans = [t.encode().lower().split() for t in texts], []
+    for k, w in enumerate(words):
+        starts = [rng.randrange(len(w) - 7) for _ in range(k % 4)] if w else []
+        spans.append([{"node": 1000 * k + n, "start": a, "n_words": rng.randrange(8, len(w) - a + 1)} for n, a in enumerate(starts)])
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("start", pa.int64()), ("n_words", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7, len(texts) + 7)), pa.array(texts), pa.array(spans, kind)], names=["row", "text", "spans"])
+    sets, sides = (list(f(iter([batch.slice(0, 2), batch.slice(2)]))) for f in (_line_sets, _span_sides))
+    assert len(sets) <= 2 and len(sides) <= 2
+    hashes, asked = [word_hashes(w) for w in words], [(k, s, s["start"], s["start"] + s["n_words"]) for k, x in enumerate(spans) for s in x]
+    got = [r for b in sets for r in b.to_pylist()]
+    assert got == [{"node": s["node"], "elements": np.unique(shingle_hashes(hashes[k][a:b])).view(np.int64).tolist()} for k, s, a, b in asked]
+    short = [(h >> np.uint64(32)).astype(np.uint32) for h in hashes]
+    got = [r for b in sides for r in b.to_pylist()]
+    assert got == [{"node": s["node"], "row": k + 7, "start": a, "n_words": b - a, "left": short[k][max(0, a - REACH) : a][::-1].tobytes(), "right": short[k][b : b + REACH].tobytes()} for k, s, a, b in asked]
+
+
+def test_few_words_are_kept_with_their_hashes():
+    """A large dictionary of words is slower than hashing them; hashes are the same whether kept or not."""
+    from thermocline.llm import shingles
+
+    shingles._HASHES.clear()
+    words = [b"w%d" % i for i in range(30_000)]
+    one, two = shingles.word_hashes(words), shingles.word_hashes(words)
+    assert len(shingles._HASHES) == shingles.KEPT_WORDS <= 10_000 and (one == two).all() and len(set(one.tolist())) == len(words)
+    shingles._HASHES.clear()
+    assert (shingles.word_hashes(words[:100]) == one[:100]).all() and len(shingles._HASHES) == 100
+    shingles._HASHES.clear()

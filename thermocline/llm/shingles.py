@@ -11,14 +11,16 @@ WORDS = 5
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
+#: Words whose hashes are kept. Beyond that a word is hashed sooner than found: a large dictionary lies in slow memory.
+KEPT_WORDS = 10_000
+
+
 class WordHashes(dict):
-    """64-bit hashes of words, each worked out once (emptied when it has grown large and when a task ends)."""
+    """64-bit hashes of the first KEPT_WORDS words of a task (emptied when it ends)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
-            self.clear()
         h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
+        if len(word) <= 64 and len(self) < KEPT_WORDS:
             self[word] = h
         return h
 
@@ -33,7 +35,8 @@ def words_of(text: str) -> list[bytes]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    full = len(_HASHES) >= KEPT_WORDS
+    return np.fromiter(map(xxhash.xxh3_64_intdigest if full else _HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -32,6 +32,7 @@ white space.
 from __future__ import annotations
 
 import re
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -174,19 +175,52 @@ def _paragraph_rows(batches):
 SPAN = "node long, row long, doc_id long, start long, n_words int, line boolean"
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, elements) of the lines that ``wanted`` (row, spans: node, start, n_words) names."""
-    schema = pa.schema([("node", pa.int64()), ("elements", pa.list_(pa.int64()))])
+def _asked(batches):
+    """From rows with a text and the spans asked for in it, of CHUNK bytes at a time: the rows, the words of all their texts,
+    and for each span its row's place, the first word of its text and of the next, its node, start (in its text) and number
+    of words."""
+    for batch in batches:
+        for a, b in _chunks(batch.column("text")):
+            part = batch.slice(a, b - a)
+            words, first = [], [0]
+            for text in part.column("text").to_pylist():
+                words += words_of(text)
+                first.append(len(words))
+            lists, first = part.column("spans"), np.array(first, np.int64)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            spans = lists.flatten()
+            yield part, words, row, first[row], first[row + 1], *[spans.field(c).to_numpy() for c in ("node", "start", "n_words")]
 
-    @tidy
-    def run(batches):
-        for batch in batches:
-            for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-                words, spans = words_of(text.as_py()), spans.as_py()
-                own = [np.unique(shingle_hashes(word_hashes(words[s["start"] : s["start"] + s["n_words"]]))).view(np.int64) for s in spans]
-                yield pa.RecordBatch.from_arrays([pa.array([s["node"] for s in spans], pa.int64()), pa.array(own, schema.field(1).type)], schema=schema)
 
-    return texts.join(wanted, "row").select("text", "spans").mapInArrow(run, "node long, elements array<long>")
+def _hashed(words: list[bytes], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words that lie in one of the ranges; 0 for all others."""
+    n = len(words) + 1
+    used = np.cumsum(np.bincount(start, minlength=n) - np.bincount(end, minlength=n))[:-1] > 0
+    out = np.zeros(len(words), np.uint64)
+    out[used] = word_hashes(list(compress(words, used.tobytes())))
+    return out
+
+
+@tidy
+def _line_sets(batches):
+    """node and elements (sorted distinct shingle hashes) of each line asked for."""
+    for _, words, _, begin, _, node, start, n_words in _asked(batches):
+        at = begin + start
+        shingles, size = shingle_hashes(_hashed(words, at, at + n_words)), n_words.astype(np.int64) - WORDS + 1
+        ends = np.cumsum(size)
+        own = shingles[np.repeat(at - ends + size, size) + np.arange(size.sum())]
+        for i, j in zip((ends - size).tolist(), ends.tolist(), strict=True):
+            own[i:j].sort()
+        fresh = np.concatenate([[True], own[1:] != own[:-1]])[: len(own)]
+        fresh[ends - size] = True
+        offsets = np.concatenate([[0], np.cumsum(fresh)[ends - 1]]).astype(np.int32)
+        elements = pa.ListArray.from_arrays(pa.array(offsets), pa.array(own[fresh].view(np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(node), elements], names=["node", "elements"])
+
+
+def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, elements) of the lines that ``wanted`` (row, spans: node, start, n_words) names."""
+    return texts.join(wanted, "row").select("text", "spans").mapInArrow(_line_sets, "node long, elements array<long>")
 
 
 @tidy
@@ -229,23 +263,35 @@ def _with_runs(spans: DataFrame, *by: str) -> DataFrame:
     return runs.withColumns({"run_start": F.min("start").over(whole), "run_end": F.max("end").over(whole)}).drop("run")
 
 
+def _gathered(values: np.ndarray, at: np.ndarray, step: int, n: np.ndarray) -> pa.Array:
+    """For each ``at`` the bytes of the ``n`` (at most REACH) values from there on, forwards or backwards."""
+    k = np.arange(REACH)
+    data = values[(at[:, None] + step * k)[k < n[:, None]]]
+    offsets = np.concatenate([[0], np.cumsum(values.itemsize * n)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+@tidy
+def _span_sides(batches):
+    """node, row, start, n_words, left and right of each span asked for."""
+    for part, words, row, begin, stop, node, start, n_words in _asked(batches):
+        at, row_numbers = begin + start, part.column("row").to_numpy()[row]
+        end = at + n_words
+        before, after = np.minimum(start, REACH), np.minimum(stop - end, REACH)
+        hashes = _hashed(words, np.concatenate([at - before, end]), np.concatenate([at, end + after]))
+        hashes = (hashes >> np.uint64(32)).astype(np.uint32)
+        for k in range(0, len(node), 16384):
+            s = slice(k, k + 16384)
+            sides = [_gathered(hashes, at[s] - 1, -1, before[s]), _gathered(hashes, end[s], 1, after[s])]
+            columns = [pa.array(c[s]) for c in (node, row_numbers, start, n_words)]
+            yield pa.RecordBatch.from_arrays([*columns, *sides], names=["node", "row", "start", "n_words", "left", "right"])
+
+
 def _sides(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, row, start, n_words, left and right: 32-bit hashes of the REACH words on each side of the spans that
     ``wanted`` (row, spans) names, from the span outwards; a side that the text ends on is shorter."""
-    schema = pa.schema([("node", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n_words", pa.int32()), ("left", pa.binary()), ("right", pa.binary())])
-
-    @tidy
-    def run(batches):
-        for batch in batches:
-            for row, text, spans in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("spans"), strict=True):
-                hashes, spans = (word_hashes(words_of(text.as_py())) >> np.uint64(32)).astype(np.uint32), spans.as_py()
-                ends = [s["start"] + s["n_words"] for s in spans]
-                left = [hashes[max(0, s["start"] - REACH) : s["start"]][::-1].tobytes() for s in spans]
-                right = [hashes[e : e + REACH].tobytes() for e in ends]
-                columns = [[s["node"] for s in spans], [row] * len(spans), [s["start"] for s in spans], [s["n_words"] for s in spans], left, right]
-                yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(columns, schema, strict=True)], schema=schema)
-
-    return texts.join(wanted, "row").select("row", "text", "spans").mapInArrow(run, "node long, row long, start long, n_words int, left binary, right binary")
+    rows = texts.join(wanted, "row").select("row", "text", "spans")
+    return rows.mapInArrow(_span_sides, "node long, row long, start long, n_words int, left binary, right binary")
 
 
 def _alike(one: list[bytes], two: list[bytes]) -> np.ndarray:
