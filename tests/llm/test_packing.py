@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from thermocline.llm.packing import PlainWords, first_fit_decreasing, pack_documents, packed_sequences, word_ids
+from thermocline.llm.packing import PlainWords, WordIds, first_fit_decreasing, pack_documents, packed_sequences, word_ids
 
 PATH = P.path("word_bpe_49k.json")
 
@@ -75,6 +75,23 @@ def test_plain_words_encode_like_the_whole_tokenizer(tmp_path):
     assert [np.frombuffer(x, "<u4").tolist() for x in word_ids(str(other)).encode(words)] == [cased.encode(w, add_special_tokens=False).ids for w in words]
 
 
+def test_known_letters_are_not_encoded_again(monkeypatch):
+    """A word with marks or in capitals takes the ids of its letters where these are known; long words are not kept."""
+    words, one, asked = WordIds(PATH), reference(), []
+    words.encode(["alpha beta"])
+    encode = words.plain.encode
+    monkeypatch.setattr(words.plain, "encode", lambda some: asked.extend(some) or encode(some))
+    text = "Alpha, BETA! alpha. (beta) Gamma, GAMMA " + "Ab" * 50 + "! \u00c9t\u00c9; it's <|endoftext|> a<|endoftext|>"
+    for _ in range(2):
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == one(text)[:-1]
+        assert not any(len(w) > 64 for w in words.known)
+    assert not {"alpha", "beta"} & {w.lower().strip(",.!") for w in asked} and asked.count("gamma") == 1
+    words.older, words.known = words.known, {}
+    asked.clear()
+    assert np.frombuffer(words.encode(["ALPHA. delta, gamma"])[0], "<u4").tolist() == one("ALPHA. delta, gamma")[:-1]
+    assert asked == ["delta"]
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = random.Random(5)
     sizes = [rng.randrange(1, 100) for _ in range(300)]

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from itertools import filterfalse
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,6 +42,8 @@ _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 #: ASCII marks without the apostrophe, which the tokenizer's pattern takes together with some letters.
 _MARKS = r"!-&(-/:-@\[-`{-~"
 _PLAIN = re.compile(f"[{_LETTERS}]+[{_MARKS}]*")
+#: The bytes of such a word on a line of its own, its letters and its marks; else the line.
+_PARTS = re.compile(rf"^(?:((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([{_MARKS}]*)|(.+))$".encode("latin-1"), re.MULTILINE)
 _EDGE = re.compile(f"(?<=[{_LETTERS}])(?=[{_MARKS}])")
 #: The steps before the merges that PlainWords knows.
 _STEPS = {
@@ -89,17 +91,20 @@ class PlainWords:
         return cls(Tokenizer.from_str(json.dumps(bare)), model["vocab"])
 
     def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of words that _PLAIN matches."""
-        parts = _EDGE.sub(" ", "\n".join(words).lower())
+        """Ids of words that _PLAIN matches, or of marks alone."""
+        parts = "\n".join(words).lower()
+        if not parts.replace("\n", "").isalpha():
+            parts = _EDGE.sub(" ", parts)
         symbols = parts
         if not parts.isascii():
             symbols = parts.encode().decode("latin-1")
             for byte in (0x9F, 0xA0, 0xAD):  # in lower case, the only bytes that do not stand for themselves
                 symbols = symbols.replace(chr(byte), _symbol(byte))
         ids = np.array(self.tokenizer.encode_batch_fast([symbols], add_special_tokens=False)[0].ids, "<u4")
-        of_word = [w.count(" ") + 1 for w in parts.split("\n")]
-        ends = 4 * (np.flatnonzero(self.is_end[ids])[np.cumsum(of_word) - 1] + 1)
-        data, ends = ids.tobytes(), ends.tolist()
+        ends = np.flatnonzero(self.is_end[ids])
+        if len(ends) > len(words):  # some have marks apart
+            ends = ends[np.cumsum([w.count(" ") + 1 for w in parts.split("\n")]) - 1]
+        data, ends = ids.tobytes(), (4 * ends + 4).tolist()
         return [data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -112,7 +117,8 @@ def _symbol(byte: int) -> str:
 
 class WordIds:
     """Ids of texts by a tokenizer that drops white space: words between ASCII spaces are encoded apart, each new one
-    once and, but for plain ones, in its own case, as the tokenizer composes characters before it drops case, and kept: a full cache becomes the older one, whose words are taken over when they come again."""
+    once and, but for plain ones, in its own case, as the tokenizer composes characters before it drops case, and kept: a full
+    cache becomes the older one, whose words are taken over when they come again."""
 
     def __init__(self, path: str):
         import os
@@ -140,29 +146,57 @@ class WordIds:
                 return [data[i:j] for i, j in zip(starts, ends, strict=True)]
         return [np.array(x, "<u4").tobytes() for x in self._ids(words)]
 
+    def _add(self, words: list[bytes], encode) -> None:
+        for at in range(0, len(words), 512):
+            part = words[at : at + 512]
+            self.known.update(zip(part, encode([w.decode() for w in part]), strict=True))
+
+    def _learn(self, words: list[bytes]) -> set[bytes]:
+        """Adds the ids of words that are not known. A plain word with marks or ASCII capitals has the ids of its letters in
+        lower case, which may be known, and of its marks. Returns what was added."""
+        if self.plain is None:
+            self._add(words, self._encode_words)
+            return set(words)
+        alone, made, other = [], [], []
+        for word, (letters, marks, _) in zip(words, _PARTS.findall(b"\n".join(words).lower()), strict=True):
+            if not letters:
+                other.append(word)
+            elif marks or letters != word:
+                made.append((word, letters, marks))
+            else:
+                alone.append(word)
+        self._add(other, self._encode_words)
+        self._add(alone, self.plain.encode)
+        parts = {letters for _, letters, _ in made}.union(marks for _, _, marks in made if marks)
+        parts = {x: self.older.get(x) for x in parts.difference(self.known)}
+        self.known.update((x, ids) for x, ids in parts.items() if ids is not None)
+        self._add([x for x, ids in parts.items() if ids is None], self.plain.encode)
+        known = self.known
+        known.update([(word, known[letters] + known[marks] if marks else known[letters]) for word, letters, marks in made])
+        return parts.keys() | words
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [t.encode().split() for t in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > CACHE_ENTRIES:
+        flat = list(chain.from_iterable(words))
+        ids = list(map(self.known.get, flat))
+        gaps = [k for k, x in enumerate(ids) if x is None]
+        fresh = list({flat[k] for k in gaps})
+        if len(self.known) + len(fresh) > CACHE_ENTRIES:
             self.older, self.known = self.known, {}
-            new = set().union(*words)
-        again = list(filter(self.older.__contains__, new))
-        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        fresh = list(filterfalse(self.older.__contains__, new))
-        plain, other = [], []
-        for word in map(bytes.decode, fresh):
-            (plain if self.plain and _PLAIN.fullmatch(word) else other).append(word)
-        for some, encode in ((plain, self.plain and self.plain.encode), (other, self._encode_words)):
-            for at in range(0, len(some), 128):
-                part = some[at : at + 128]
-                self.known.update(zip(map(str.encode, part), encode(part), strict=True))
-        find = self.known.__getitem__
-        out = [b"".join(map(find, w)) for w in words]
-        for word in fresh:
+        if self.older:
+            again = list(map(self.older.get, fresh))
+            self.known.update([(word, x) for word, x in zip(fresh, again, strict=True) if x is not None])
+            fresh = [word for word, x in zip(fresh, again, strict=True) if x is None]
+        added = self._learn(fresh) if fresh else ()
+        known = self.known
+        for k in gaps:
+            ids[k] = known[flat[k]]
+        for word in added:
             if len(word) > 64:
-                del self.known[word]
-        return out
+                del known[word]
+        ends = np.cumsum([len(w) for w in words]).tolist()
+        return [b"".join(ids[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -186,7 +220,9 @@ def _ids(batches, path: str):
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            yield part, [x + end for x in tokenizer.encode([t or "" for t in part.column("text").to_pylist()])]
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            # the words of a few texts at a time stay in fast memory
+            yield part, [x + end for k in range(0, len(texts), 32) for x in tokenizer.encode(texts[k : k + 32])]
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
