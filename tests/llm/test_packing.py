@@ -92,6 +92,16 @@ def test_known_letters_are_not_encoded_again(monkeypatch):
     assert asked == ["delta"]
 
 
+def test_parts_of_words():
+    """Words are taken apart in their bytes as the pattern of plain words has it."""
+    from thermocline.llm.packing import _PARTS, _PLAIN
+
+    rng, some = random.Random(7), [chr(c) for c in [*range(0x21, 0x180), 0x301, 0x3B1, 0x2019]]
+    words = ["".join(rng.choices(some, k=rng.randrange(1, 4))) for _ in range(20_000)]
+    for word, (letters, marks, rest) in zip(words, _PARTS.findall("\n".join(words).encode()), strict=True):
+        assert (letters + marks or rest).decode() == word and bool(letters) == bool(_PLAIN.fullmatch(word))
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = random.Random(5)
     sizes = [rng.randrange(1, 100) for _ in range(300)]
